@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The capabilities rebuilt here are batch only: there is no stream source, no
+event-time window and no stateful operator to reproduce. The row-wise helpers
+in ``sparkscope.functions`` are plain column expressions and work unchanged on a
+streaming DataFrame.
+"""

@@ -1,0 +1,26 @@
+"""Run every registered query against its SQL at a scale: check_all.py <sf_dir> [names]."""
+import sys, time, traceback, os
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from pyspark.sql import SparkSession
+from tests.oracle import duck, spark_rows, sql_rows
+import __spark_entry__ as e
+sf = sys.argv[1]; names = sys.argv[2:] or list(e.queries())
+spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+spark.sparkContext.setLogLevel("ERROR")
+con = duck(sf); q = e.queries(); sql = e.oracle_sql(); bad = []
+for n in names:
+    t = time.time()
+    try:
+        df = q[n](spark, sf); got = spark_rows(df); dt = time.time() - t
+        if n in sql:
+            want = sql_rows(con, sql[n])
+            ok = got == want
+            types = dict(df.dtypes)
+            print(f"{n:28s} {'OK ' if ok else 'BAD'} {dt:6.2f}s rows={sum(got[1].values())}", flush=True)
+            if not ok:
+                bad.append(n); print("   cols", got[0], want[0]); print("   spark-only", list((got[1]-want[1]).items())[:3]); print("   sql-only  ", list((want[1]-got[1]).items())[:3])
+        else:
+            print(f"{n:28s} rows-only {dt:6.2f}s rows={sum(got[1].values())}", flush=True)
+    except Exception as x:
+        bad.append(n); print(n, "ERROR", str(x)[:1500].replace("\n", "\n    "), flush=True)
+print("bad:", bad)
