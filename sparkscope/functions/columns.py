@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Unit capture of an ISO-8601 duration and the unit's seconds.
 DURATION_UNITS = {"([0-9]+)H": 3600, "([0-9]+)M": 60, "([0-9]+)S": 1}
@@ -45,15 +46,27 @@ def clean_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+def present(text: Column) -> Column:
+    """Null for empty text. A failing ``try_cast`` costs an exception, a null one nothing."""
+    return F.when(text != "", text)
+
+
+def leading_zero(figure: Column) -> Column:
+    """Makes an empty capture read as zero and changes no other number."""
+    return F.concat(F.lit("0"), figure)
+
+
 def coerce(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast columns to the named types; values that do not parse become null.
 
     ``date`` parses timestamps too and drops the time of day.
     """
     def cast(name: str, kind: str) -> Column:
-        if kind == "date":
-            return F.try_to_date(F.col(name).cast("string"))
-        return F.col(name).try_cast(kind)
+        value, source = F.col(name), df.schema[name].dataType
+        if isinstance(source, StringType) and kind != "string":
+            value = present(value)
+            return F.try_to_date(value) if kind == "date" else value.try_cast(kind)
+        return value if source.simpleString() == kind else value.try_cast(kind)
 
     return df.withColumns({name: cast(name, kind) for name, kind in types.items()})
 
@@ -93,11 +106,11 @@ def duration_seconds(value: str | Column, include_days: bool = False) -> Column:
     clock = F.regexp_extract(text, "T(.*)$", 1) if include_days else text
     seconds = F.lit(0)
     for pattern, scale in DURATION_UNITS.items():
-        figure = F.regexp_extract(clock, pattern, 1).try_cast("int")
+        figure = leading_zero(F.regexp_extract(clock, pattern, 1)).try_cast("int")
         seconds = seconds + F.coalesce(figure, F.lit(0)) * scale
     if include_days:
         for pattern, scale in (("^P[^T]*?([0-9]+)W", 604800), ("^P[^T]*?([0-9]+)D", 86400)):
-            figure = F.regexp_extract(text, pattern, 1).try_cast("int")
+            figure = leading_zero(F.regexp_extract(text, pattern, 1)).try_cast("int")
             seconds = seconds + F.coalesce(figure, F.lit(0)) * scale
     return seconds.cast("int")
 

@@ -9,13 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import (
     IndexToString, MinMaxScaler, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler,
 )
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -108,10 +111,30 @@ def classifier_pipeline(scenario: Scenario, predictors: Sequence[str],
     return Pipeline(stages=[label_index, *features, scenario.estimator()])
 
 
+def strongest_class(model: OneVsRestModel, features: str = "features") -> Column:
+    """Index of the binary model with the largest margin, the first one on ties.
+
+    ``OneVsRestModel.transform`` gathers the margins in Python functions, row by
+    row; the margins are linear, so plain column arithmetic gives the same.
+    """
+    values = vector_to_array(features)
+    margins = F.array(*[
+        reduce(add, [F.lit(float(w)) * values[i] for i, w in enumerate(binary.coefficients)])
+        + F.lit(float(binary.intercept))
+        for binary in model.models
+    ])
+    return (F.array_position(margins, F.array_max(margins)) - 1).cast("double")
+
+
 def predict(model: PipelineModel, df: DataFrame, target: str, keep: Sequence[str] = ()) -> DataFrame:
     """``keep..., target, prediction, predicted_label``."""
+    *features, classifier = model.stages
+    if isinstance(classifier, OneVsRestModel):
+        scored = PipelineModel(features).transform(df).withColumn("prediction", strongest_class(classifier))
+    else:
+        scored = model.transform(df)
     decode = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=model.stages[0].labels)
-    return decode.transform(model.transform(df)).select(*keep, target, "prediction", "predicted_label")
+    return decode.transform(scored).select(*keep, target, "prediction", "predicted_label")
 
 
 def stage_summary(model: PipelineModel) -> list[tuple[int, str]]:

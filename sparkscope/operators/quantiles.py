@@ -2,9 +2,10 @@
 
 ``approx_quantiles`` is Spark's sketch. ``exact_quantiles`` gives the exact order
 statistics without ever gathering a column: it counts values into bins, keeps
-only the bins that hold a wanted rank, splits those again, and ranks the few
-distinct values that remain. Each pass is a scan with map-side counting, so a
-group or value that holds most of the rows costs one counter, not one task.
+only the bins that hold a wanted rank, splits those again while they are large,
+and ranks the distinct values that remain. Each pass is a scan with map-side
+counting, so a group or value that holds most of the rows costs one counter, not
+one task, and the window that ranks values never sees more than a bounded number.
 """
 
 from __future__ import annotations
@@ -15,13 +16,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import is_missing
-from sparkscope.runtime import equal_keys, join_summary
+from sparkscope.runtime import join_counted, materialize
 
 # First pass: logarithmic bins, so no range has to be known in advance.
 BINS_PER_OCTAVE = 512
 SMALLEST_MAGNITUDE = 2.0 ** -30
-# Second pass: equal-width bins inside each bin that is kept.
+# Further passes: equal-width bins inside each bin that is kept.
 SUB_BINS = 4096
+# A kept bin with more rows than this (and more than one value) is split again.
+MAX_RANKED_ROWS = 1_000_000
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -75,40 +78,42 @@ def _bins_with_ranks(bins: DataFrame, keys: list[str], within: list[str], probs:
         _wanted_ranks(F.col("total"), probs, interpolate),
         lambda r: (r["rank"] >= F.col("before")) & (r["rank"] < F.col("before") + F.col("n")),
     )
-    return placed.filter(hit).select(*keys, "lo", "hi", "before", "total")
+    return placed.filter(hit).select(*keys, "lo", "hi", "n", "before", "total")
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), interpolate: bool = False) -> DataFrame:
+                    by: Sequence[str] = (), interpolate: bool = False,
+                    max_ranked: int = MAX_RANKED_ROWS) -> DataFrame:
     """``by..., column, p, value``: exact quantiles of the non-null, non-NaN values.
 
     Without ``interpolate`` the result is the smallest value whose cumulative
     share reaches ``p``; with it, neighbouring ranks are blended linearly.
 
-    Ungrouped, the call is lazy: the kept bins number at most two per column and
-    probability, so they are broadcast. Grouped, the kept bins are written and
-    counted before each join (see ``join_summary``).
+    Narrowing down runs at once: each pass writes the bins it keeps, at most two
+    per group, column and probability, and looks at their number and size to
+    choose the join and whether to go on. A pass separates the smallest from the
+    largest value of every bin it splits, so the narrowing always ends. The
+    returned frame reads ``df`` once more; pass a table, not an expensive query.
     """
     keys = [*by, "column"]
     values = long_values(df, columns, by).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     value = F.col("value")
-
-    def inside(kept: DataFrame) -> DataFrame:
-        within = value.between(F.col("lo"), F.col("hi"))
-        if by:
-            return join_summary(values, kept, keys, extra=within)
-        return equal_keys(values, F.broadcast(kept), keys, extra=within)
-
     counted = [F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")]
     octave = F.signum(value) * F.log2(1 + F.abs(value) / SMALLEST_MAGNITUDE)
-    coarse = values.groupBy(*keys, F.floor(octave * BINS_PER_OCTAVE).alias("bin")).agg(*counted)
-    kept = _bins_with_ranks(coarse, keys, [], probs, interpolate)
-
-    position = F.when(F.col("hi") > F.col("lo"), (value - F.col("lo")) / (F.col("hi") - F.col("lo"))).otherwise(0.0)
-    fine = inside(kept).groupBy(*keys, "before", "total", F.floor(position * SUB_BINS).alias("bin")).agg(*counted)
-    kept = _bins_with_ranks(fine, keys, ["before", "total"], probs, interpolate)
-
-    distinct = inside(kept).groupBy(*keys, "before", "total", "value").agg(F.count(F.lit(1)).alias("n"))
+    bins = values.groupBy(*keys, F.floor(octave * BINS_PER_OCTAVE).alias("bin")).agg(*counted)
+    within: list[str] = []
+    while True:
+        kept = materialize(_bins_with_ranks(bins, keys, within, probs, interpolate), "bins")
+        rows, largest = kept.agg(F.count(F.lit(1)), F.max(F.when(F.col("hi") > F.col("lo"), F.col("n")))).first()
+        inside = join_counted(values, kept.drop("n"), rows, keys, extra=value.between(F.col("lo"), F.col("hi")))
+        if (largest or 0) <= max_ranked:
+            break
+        within = ["before", "total"]
+        position = F.when(F.col("hi") > F.col("lo"), (value - F.col("lo")) / (F.col("hi") - F.col("lo")))
+        part = F.floor(F.coalesce(position, F.lit(0.0)) * SUB_BINS)
+        bins = inside.groupBy(*keys, *within, part.alias("bin")).agg(*counted)
+
+    distinct = inside.groupBy(*keys, "before", "total", "value").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy(*keys, "before", "total").orderBy("value")
                            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = distinct.withColumn("after", F.col("before") + upto)

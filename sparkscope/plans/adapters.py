@@ -23,9 +23,9 @@ def raw_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     return table(spark, sf_dir, "lineitem").selectExpr(
         "if(l_orderkey % 211 = 0, null, concat('v', l_partkey)) as video_id",
-        "date_format(l_shipdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") as publishedAt",
+        "l_shipdate as publishedAt",
         f"cast({CATEGORY_OF_PART} as string) as categoryId",
-        "if(l_orderkey % 223 = 0, null, date_format(l_shipdate, 'yyyy-MM-dd')) as trending_date",
+        "if(l_orderkey % 223 = 0, null, l_shipdate) as trending_date",
         "case when l_orderkey % 227 = 0 then null when l_partkey % 97 = 0 then 0 else l_extendedprice end as view_count",
         "if(l_orderkey % 17 = 0, null, l_quantity) as likes",
         "l_discount as dislikes",

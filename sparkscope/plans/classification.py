@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +16,7 @@ from sparkscope.operators.models import Scenario, classifier_pipeline, fit_label
 from sparkscope.operators.reshape import best_row, stack, stack_tagged
 from sparkscope.operators.split import fold_number, hash_split
 from sparkscope.plans.prepare import PREDICTORS
-from sparkscope.runtime import materialize, persisted
+from sparkscope.runtime import in_parallel, materialize, persisted
 
 METRICS = ("accuracy", "macro_f1", "macro_precision", "macro_recall")
 # Share of the rows used for training and for testing.
@@ -82,8 +80,7 @@ def run_study(data: DataFrame, target: str, scenarios: Sequence[Scenario],
             rows = held if fold is None else held.filter(F.col("fold") != fold)
             return classifier_pipeline(scenario, predictors, index).fit(rows)
 
-        with ThreadPool(parallelism) as pool:
-            fitted = dict(zip(jobs, pool.map(inheritable_thread_target(spark)(fit), jobs)))
+        fitted = dict(zip(jobs, in_parallel(spark, fit, jobs, parallelism)))
 
     tested = stack_tagged(
         {s.name: predict(fitted[s, None], test, target) for s in scenarios}, "scenario")

@@ -17,7 +17,7 @@ from sparkscope.operators.reshape import melt
 from sparkscope.operators.rollup import group_counts, group_means
 from sparkscope.operators.split import hash_sample
 from sparkscope.plans.prepare import EXTENDED_PREDICTORS, PREDICTORS
-from sparkscope.runtime import persisted
+from sparkscope.runtime import in_parallel, materialize, persisted
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,7 @@ CLUSTER_SCENARIOS = (
     ClusterScenario("Scenario D: k=6, extended features", 6, "extended"),
 )
 ELBOW_K = tuple(range(2, 11))
+ROWS_PER_TASK = 200_000
 SUMMARY_SCHEMA = "key string, scenario string, k int, feature_set string, wcss double"
 
 
@@ -51,14 +52,20 @@ def scaled_features(df: DataFrame, features: Sequence[str], keep: Sequence[str]
     return Pipeline(stages=[assembler(features), scaler]).fit(usable).transform(usable).drop("features_raw")
 
 
-def fixed_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+def cluster_input(df: DataFrame, key: str, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Complete rows with the key and the features, written once for the passes of a study."""
+    columns = dict.fromkeys([key, *features, *keep])
+    return materialize(complete_cases(df, features).select(*columns), "clustering")
+
+
+def fixed_layout(df: DataFrame, key: str, rows: int) -> DataFrame:
     """The same rows in the same tasks in the same order, whatever the input layout.
 
     K-means seeding samples per partition, so without this a seed fixes nothing.
-    ``key`` should be unique, which also spreads the rows evenly.
+    The number of tasks follows from the row count alone. ``key`` should be
+    unique, which also spreads the rows evenly.
     """
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(count, key).sortWithinPartitions(key)
+    return df.repartition(max(1, -(-rows // ROWS_PER_TASK)), key).sortWithinPartitions(key)
 
 
 def fit_kmeans(scaled: DataFrame, k: int, seed: int = 42) -> KMeansModel:
@@ -66,39 +73,48 @@ def fit_kmeans(scaled: DataFrame, k: int, seed: int = 42) -> KMeansModel:
                   initSteps=5).fit(scaled)
 
 
+def scaled_input(data: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
+    return fixed_layout(scaled_features(data, features, data.columns), key, data.count())
+
+
 def assign_clusters(df: DataFrame, key: str, features: Sequence[str], k: int, seed: int = 42,
-                    partitions: int | None = None) -> DataFrame:
-    """Input columns plus ``prediction``, clustered on standardised features."""
-    scaled = fixed_layout(scaled_features(df, features, [key]), key, partitions)
+                    keep: Sequence[str] = ()) -> DataFrame:
+    """``key, features..., keep..., prediction``, clustered on standardised features."""
+    scaled = scaled_input(cluster_input(df, key, features, keep), key, features)
     with persisted(scaled) as held:
         model = fit_kmeans(held, k, seed)
     return model.transform(scaled).drop("features")
 
 
 def elbow(df: DataFrame, key: str, features: Sequence[str] = PREDICTORS, ks: Sequence[int] = ELBOW_K,
-          seed: int = 42, partitions: int | None = None) -> DataFrame:
+          seed: int = 42) -> DataFrame:
     """``k, wcss``. The features are scaled once for all k."""
-    with persisted(fixed_layout(scaled_features(df, features, [key]), key, partitions)) as held:
-        rows = [(k, float(fit_kmeans(held, k, seed).summary.trainingCost)) for k in ks]
+    with persisted(scaled_input(cluster_input(df, key, features), key, features)) as held:
+        def cost(k: int) -> float:
+            return float(fit_kmeans(held, k, seed).summary.trainingCost)
+
+        rows = list(zip(ks, in_parallel(df.sparkSession, cost, ks)))
     return df.sparkSession.createDataFrame(rows, "k int, wcss double")
 
 
 def cluster_sweep(df: DataFrame, key: str, scenarios: Sequence[ClusterScenario] = CLUSTER_SCENARIOS,
-                  seed: int = 42, partitions: int | None = None
-                  ) -> tuple[dict[str, DataFrame], DataFrame]:
+                  seed: int = 42) -> tuple[dict[str, DataFrame], DataFrame]:
     """Assignments per scenario key, and the rounded WCSS table.
 
     Costs of different feature sets are not comparable: more features, more variance.
     """
     assignments: dict[str, DataFrame] = {}
     costs: dict[str, float] = {}
-    for feature_set in dict.fromkeys(s.feature_set for s in scenarios):
-        scaled = fixed_layout(scaled_features(df, FEATURE_SETS[feature_set], [key]), key, partitions)
+    sets = dict.fromkeys(s.feature_set for s in scenarios)
+    data = cluster_input(df, key, list(dict.fromkeys(f for name in sets for f in FEATURE_SETS[name])))
+    for feature_set in sets:
+        chosen = [s for s in scenarios if s.feature_set == feature_set]
+        scaled = scaled_input(data, key, FEATURE_SETS[feature_set])
         with persisted(scaled) as held:
-            for scenario in (s for s in scenarios if s.feature_set == feature_set):
-                model = fit_kmeans(held, scenario.k, seed)
-                costs[scenario.key] = float(model.summary.trainingCost)
-                assignments[scenario.key] = model.transform(scaled).drop("features")
+            fitted = in_parallel(df.sparkSession, lambda s: fit_kmeans(held, s.k, seed), chosen)
+        for scenario, model in zip(chosen, fitted):
+            costs[scenario.key] = float(model.summary.trainingCost)
+            assignments[scenario.key] = model.transform(scaled).drop("features")
     rows = [(s.key, s.name, s.k, s.feature_set, costs[s.key]) for s in scenarios]
     summary = df.sparkSession.createDataFrame(rows, SUMMARY_SCHEMA).withColumn("wcss", F.round("wcss", 2))
     return assignments, summary

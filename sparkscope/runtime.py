@@ -17,11 +17,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,16 +88,28 @@ def equal_keys(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
 
 def join_summary(detail: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "inner",
                  extra: Column | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a large table to per-group statistics of it.
+    """Join a large table to per-group statistics of it, writing and counting those first."""
+    table = materialize(summary, "summary")
+    return join_counted(detail, table, table.count(), on, how, extra, max_rows)
 
-    ``summary`` is written and counted first. Up to ``max_rows`` it is broadcast,
-    so the detail side is not shuffled at all. Beyond that each summary row is
-    repeated per salt and the detail rows are spread over the salts by the
-    partition they come from, so that a hot key lands in ``SALTS`` tasks.
+
+def join_counted(detail: DataFrame, summary: DataFrame, rows: int, on: Sequence[str], how: str = "inner",
+                 extra: Column | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join to a summary whose row count is known.
+
+    Up to ``max_rows`` it is broadcast, so the detail side is not shuffled at
+    all. Beyond that each summary row is repeated per salt and the detail rows
+    are spread over the salts by the partition they come from, so that a hot key
+    lands in ``SALTS`` tasks.
     """
-    summary = materialize(summary, "summary")
-    if summary.count() <= max_rows:
+    if rows <= max_rows:
         return equal_keys(detail, F.broadcast(summary), on, how, extra)
     salted = detail.withColumn("__salt", F.spark_partition_id() % SALTS)
     spread = summary.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return equal_keys(salted, spread, [*on, "__salt"], how, extra).drop("__salt")
+
+
+def in_parallel(spark: SparkSession, function: Callable, jobs: Sequence, width: int = 4) -> list:
+    """Run independent Spark actions a few at a time, so small stages overlap."""
+    with ThreadPool(width) as pool:
+        return pool.map(inheritable_thread_target(spark)(function), jobs)
