@@ -29,7 +29,7 @@ def log_histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> Data
     # ``ranges`` has one row per named column, so broadcasting it is safe.
     placed = equal_keys(logs.filter(F.col("x").isNotNull()), F.broadcast(ranges), ["column"])
     position = F.floor(ratio(F.col("x") - F.col("lo"), "width"))
-    slot = F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(0)).cast("int")
+    slot = F.when(F.col("width") > 0, F.least(position, F.lit(bins - 1))).otherwise(0).cast("int")
     per_bin = placed.groupBy("column", "lo", "width", "n_dropped", slot.alias("bin")).agg(
         F.count(F.lit(1)).alias("n"))
     filled = per_bin.groupBy("column", "lo", "width", "n_dropped").agg(
