@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import log10_positive, ratio
 from sparkscope.operators.quantiles import exact_quantiles, long_values
+from sparkscope.operators.reshape import per_column
 from sparkscope.runtime import equal_keys, join_summary
 
 
@@ -20,14 +21,15 @@ def log_histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> Data
 
     ``n_dropped`` counts the values a log axis cannot show (null, zero, negative).
     """
-    logs = long_values(df, columns).withColumn("x", log10_positive("value"))
-    ranges = logs.groupBy("column").agg(
-        F.min("x").alias("lo"),
-        ((F.max("x") - F.min("x")) / bins).alias("width"),
-        F.count_if(F.col("x").isNull()).alias("n_dropped"),
-    ).filter(F.col("lo").isNotNull())
+    logs = df.select(*[log10_positive(F.col(name).cast("double")).alias(name) for name in columns])
+    ranges = per_column(logs, columns, {
+        "lo": F.min,
+        "width": lambda x: (F.max(x) - F.min(x)) / bins,
+        "n_dropped": lambda x: F.count_if(x.isNull()),
+    }).filter(F.col("lo").isNotNull())
     # ``ranges`` has one row per named column, so broadcasting it is safe.
-    placed = equal_keys(logs.filter(F.col("x").isNotNull()), F.broadcast(ranges), ["column"])
+    points = long_values(logs, columns).withColumnRenamed("value", "x").filter(F.col("x").isNotNull())
+    placed = equal_keys(points, F.broadcast(ranges), ["column"])
     position = F.floor(ratio(F.col("x") - F.col("lo"), "width"))
     slot = F.when(F.col("width") > 0, F.least(position, F.lit(bins - 1))).otherwise(0).cast("int")
     per_bin = placed.groupBy("column", "lo", "width", "n_dropped", slot.alias("bin")).agg(

@@ -10,17 +10,13 @@ from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import ratio
 from sparkscope.operators.clean import complete_cases
-from sparkscope.operators.quantiles import long_values, quantiles
+from sparkscope.operators.quantiles import quantiles
+from sparkscope.operators.reshape import per_column
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
     """One row per column: mean, median, sd, min, max, q1, q3 (discrete quantiles)."""
-    moments = long_values(df, columns).groupBy("column").agg(
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("sd"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    moments = per_column(df, columns, {"mean": F.avg, "sd": F.stddev_samp, "min": F.min, "max": F.max})
     spread = quantiles(df, columns, [0.25, 0.5, 0.75], accuracy=accuracy).groupBy("column").agg(
         F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
         F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("median"),

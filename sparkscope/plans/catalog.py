@@ -5,18 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import (
-    clean_names, coerce, duration_seconds, is_missing, log10_positive, percent, ratio, recode, round_columns,
+    clean_names, coerce, duration_seconds, log10_positive, percent, ratio, recode, round_columns,
     string_key,
 )
 from sparkscope.operators import clean, distributions, evaluate, models, quantiles, reshape, rollup, split, stats
 from sparkscope.plans import classification, clustering
 from sparkscope.plans.adapters import part_peaks, raw_snapshots, table
 from sparkscope.plans.prepare import EXTENDED_PREDICTORS, PREDICTORS, prepare, typed_snapshots
-from sparkscope.runtime import new_path
+from sparkscope.runtime import materialize, new_path
 from sparkscope.sources import results, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +116,18 @@ def prepare_trending(spark, sf):
     return prepare(raw_snapshots(spark, sf), tables.category_dimension(spark))
 
 
+@query(f"WITH {PREPARED_SQL} SELECT * FROM prepared")
+def prepare_from_csv(spark, sf):
+    """The whole path of a raw file: written and scanned as CSV with the declared schema."""
+    raw = raw_snapshots(spark, sf)
+    path = new_path(spark, "raw-csv")
+    raw.select(*[
+        (F.col(field.name) if field.name in raw.columns else F.lit(None)).cast(field.dataType).alias(field.name)
+        for field in tables.SNAPSHOT_SCHEMA
+    ]).write.option("header", True).option("escape", '"').csv(path)
+    return prepare(tables.read_csv(spark, path), tables.category_dimension(spark))
+
+
 LINEITEM_COLUMNS = ("l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,"
                     "l_returnflag,l_linestatus,l_shipdate")
 
@@ -406,7 +418,7 @@ def describe_numeric(spark, sf):
 
 @query(f"WITH {PREPARED_SQL} " + union_sql(DESCRIBE_SQL + "prepared", PREDICTORS))
 def describe_prepared(spark, sf):
-    return round_columns(stats.describe_numeric(prepare_trending(spark, sf), PREDICTORS), ["mean", "sd"], 6)
+    return round_columns(stats.describe_numeric(materialize(prepare_trending(spark, sf)), PREDICTORS), ["mean", "sd"], 6)
 
 
 @query(union_sql("""SELECT '{c}' AS "column", CAST(b AS INTEGER) AS bin, round(lo + b * w, 6) AS log_lo,
@@ -540,7 +552,7 @@ def unpacked(scaled: DataFrame, names) -> DataFrame:
 @query(f"WITH {PEAKS_SQL} SELECT video_id, " + ", ".join(
     f"round(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER (), 6) AS {c}" for c in PREDICTORS) + " FROM peaks")
 def standard_scale(spark, sf):
-    return unpacked(clustering.scaled_features(part_peaks(spark, sf), PREDICTORS, ["video_id"]), PREDICTORS)
+    return unpacked(clustering.scaled_features(materialize(part_peaks(spark, sf)), PREDICTORS, ["video_id"]), PREDICTORS)
 
 
 @query(f"WITH {PEAKS_SQL} SELECT video_id, " + ", ".join(
@@ -548,7 +560,7 @@ def standard_scale(spark, sf):
     + " FROM peaks")
 def minmax_scale(spark, sf):
     return unpacked(
-        clustering.scaled_features(part_peaks(spark, sf), PREDICTORS, ["video_id"], minmax=True), PREDICTORS)
+        clustering.scaled_features(materialize(part_peaks(spark, sf)), PREDICTORS, ["video_id"], minmax=True), PREDICTORS)
 
 
 # --- Evaluation, on rule-based predictors over whole tables -----------------------------------
@@ -625,7 +637,7 @@ def rule_folds(spark, sf) -> DataFrame:
 
 
 def rule_comparison(spark, sf) -> DataFrame:
-    ordinals = rule_predictions(spark, sf).select("ordinal", "scenario").distinct()
+    ordinals = tables.inline_dimension(spark, enumerate(RULES, 1), "ordinal int, scenario string")
     return classification.scenario_comparison(rule_classes(spark, sf), rule_folds(spark, sf), ordinals)
 
 

@@ -25,16 +25,16 @@ SPLIT = {"training": 0.8, "test": 0.2}
 
 def modelling_table(df: DataFrame, key: str, target: str, predictors: Sequence[str] = PREDICTORS,
                     min_samples: int = 50, folds: int = 3, seed: int = 42) -> DataFrame:
-    """Rows fit for modelling with their ``part`` and ``fold``, written once.
+    """Rows fit for modelling with their ``part`` and ``fold``.
 
-    Classes with few samples and incomplete rows are dropped. ``key`` must be
-    unique; it alone decides part and fold, so a rerun splits identically.
+    The narrow input is written once; what follows reads that copy. Classes with
+    few samples and incomplete rows are dropped. ``key`` must be unique; it alone
+    decides part and fold, so a rerun splits identically.
     """
-    narrow = df.select(key, target, *predictors)
-    usable = complete_cases(frequent_classes(narrow, target, min_samples), [target, *predictors])
-    return materialize(usable.withColumns({
+    narrow = materialize(df.select(key, target, *predictors).withColumns({
         "part": hash_split(key, SPLIT, seed), "fold": fold_number(key, folds, seed),
     }), "modelling")
+    return complete_cases(frequent_classes(narrow, target, min_samples), [target, *predictors])
 
 
 @dataclass(frozen=True)

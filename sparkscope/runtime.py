@@ -30,6 +30,7 @@ BROADCAST_MAX_ROWS = 200_000
 SALTS = 64
 
 _local_dirs: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,7 +50,23 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder; nothing is ever overwritten."""
-    return f"{shared_dir(spark)}/sparkscope/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/sparkscope/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def discard_written(spark: SparkSession) -> int:
+    """Delete the intermediate tables this session wrote; returns how many.
+
+    Call it when no frame built on them is needed any more. Only paths handed out
+    by ``new_path`` are touched.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in map(hadoop, paths):
+        path.getFileSystem(configuration).delete(path, True)
+    return len(paths)
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -89,6 +89,15 @@ def test_shared_folder_is_the_configured_one(spark):
     assert runtime.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_written_tables_can_be_discarded(spark, monkeypatch):
+    monkeypatch.setattr(runtime, "_written", {})
+    table = runtime.materialize(spark.range(3))
+    assert table.count() == 3
+    assert runtime.discard_written(spark) == 1 and runtime.discard_written(spark) == 0
+    with pytest.raises(Exception):
+        spark.read.parquet(*table.inputFiles()).count()
+
+
 def test_dedup_keeps_first_in_order_even_for_a_hot_key(spark):
     rows = [(1, i % 977, i) for i in range(5000)] + [(2, 5, 1), (2, 5, 0)]
     df = spark.createDataFrame(rows, "k int, v int, id int").repartition(7)
