@@ -83,8 +83,9 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     return stats.withColumn("rank", F.row_number().over(order))
 
 
-def pair_density(df: DataFrame, pairs: Sequence[tuple[str, str]], width: float = 0.1) -> DataFrame:
-    """Counts on a log10-log10 grid for each pair of columns, in one pass.
+def pair_density(df: DataFrame, pairs: Sequence[tuple[str, str]], width: float = 0.1,
+                 by: Sequence[str] = ()) -> DataFrame:
+    """Counts on a log10-log10 grid for each pair of columns (and group), in one pass.
 
     Replaces a scatter plot: points outside the positive quadrant drop out and the
     rest are counted per cell.
@@ -96,5 +97,5 @@ def pair_density(df: DataFrame, pairs: Sequence[tuple[str, str]], width: float =
         F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), cell(x).alias("x_cell"), cell(y).alias("y_cell"))
         for x, y in pairs
     ])
-    cells = df.select(F.inline(points)).filter(F.col("x_cell").isNotNull() & F.col("y_cell").isNotNull())
-    return cells.groupBy("x", "y", "x_cell", "y_cell").agg(F.count(F.lit(1)).alias("n"))
+    cells = df.select(*by, F.inline(points)).filter(F.col("x_cell").isNotNull() & F.col("y_cell").isNotNull())
+    return cells.groupBy(*by, "x", "y", "x_cell", "y_cell").agg(F.count(F.lit(1)).alias("n"))

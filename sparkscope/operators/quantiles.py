@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import is_missing
-from sparkscope.runtime import join_counted, materialize
+from sparkscope.runtime import join_measured, materialize, total_bytes
 
 # First pass: logarithmic bins, so no range has to be known in advance.
 BINS_PER_OCTAVE = 512
@@ -104,8 +104,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     within: list[str] = []
     while True:
         kept = materialize(_bins_with_ranks(bins, keys, within, probs, interpolate), "bins")
-        rows, largest = kept.agg(F.count(F.lit(1)), F.max(F.when(F.col("hi") > F.col("lo"), F.col("n")))).first()
-        inside = join_counted(values, kept.drop("n"), rows, keys, extra=value.between(F.col("lo"), F.col("hi")))
+        size, largest = kept.agg(total_bytes(kept), F.max(F.when(F.col("hi") > F.col("lo"), F.col("n")))).first()
+        inside = join_measured(values, kept.drop("n"), size, keys, extra=value.between(F.col("lo"), F.col("hi")))
         if (largest or 0) <= max_ranked:
             break
         within = ["before", "total"]

@@ -406,19 +406,24 @@ def sorted_top_n(spark, sf):
 # --- Statistics and distributions ------------------------------------------------------
 
 MEASURES = ["l_extendedprice", "l_quantity", "l_discount", "l_tax"]
-DESCRIBE_SQL = """SELECT '{c}' AS "column", round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS sd,
+DESCRIBE_SQL = """SELECT '{c}' AS "column", round(avg({c}), 8) AS mean, round(stddev_samp({c}), 6) AS sd,
  min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, quantile_disc({c}, 0.25)::DOUBLE AS q1,
  quantile_disc({c}, 0.5)::DOUBLE AS median, quantile_disc({c}, 0.75)::DOUBLE AS q3 FROM """
 
 
+def rounded_description(description: DataFrame) -> DataFrame:
+    # Means of two-digit values over round row counts end in a 5 at seven digits.
+    return round_columns(round_columns(description, ["mean"], 8), ["sd"], 6)
+
+
 @query(union_sql(DESCRIBE_SQL + "lineitem", MEASURES))
 def describe_numeric(spark, sf):
-    return round_columns(stats.describe_numeric(table(spark, sf, "lineitem"), MEASURES), ["mean", "sd"], 6)
+    return rounded_description(stats.describe_numeric(table(spark, sf, "lineitem"), MEASURES))
 
 
 @query(f"WITH {PREPARED_SQL} " + union_sql(DESCRIBE_SQL + "prepared", PREDICTORS))
 def describe_prepared(spark, sf):
-    return round_columns(stats.describe_numeric(materialize(prepare_trending(spark, sf)), PREDICTORS), ["mean", "sd"], 6)
+    return rounded_description(stats.describe_numeric(materialize(prepare_trending(spark, sf)), PREDICTORS))
 
 
 @query(union_sql("""SELECT '{c}' AS "column", CAST(b AS INTEGER) AS bin, round(lo + b * w, 6) AS log_lo,
@@ -760,6 +765,17 @@ def rf_study(spark, sf):
     return study(spark, sf, models.FOREST_SCENARIOS).comparison
 
 
+@query()
+def saved_study_comparison(spark, sf):
+    """Two fitted, saved and reloaded studies, compared."""
+    data = study_table(spark, sf)
+    chosen = {"Logistic Regression": models.LOGISTIC_SCENARIOS[:1], "Random Forest": models.FOREST_SCENARIOS[:1]}
+    folders = {name: new_path(spark, "study") for name in chosen}
+    for name, scenarios in chosen.items():
+        classification.save_study(classification.run_study(data, "category_name", scenarios), folders[name])
+    return classification.compare_saved(spark, folders)[0]
+
+
 @query()
 def cv_accuracy(spark, sf):
     return study(spark, sf, models.LOGISTIC_SCENARIOS[:1]).fold_accuracies
@@ -842,6 +858,16 @@ def cluster_sample_2d(spark, sf):
     return clustering.cluster_sample(rule_clusters(spark, sf), "video_id", "view_count", "like_rate")
 
 
+@query(f"""WITH {CLUSTERS_SQL} SELECT prediction, 'view_count' AS x, 'like_rate' AS y,
+ CAST(floor(log10(view_count) / 0.1::DOUBLE) AS INTEGER) AS x_cell,
+ CAST(floor(log10(like_rate) / 0.1::DOUBLE) AS INTEGER) AS y_cell, count(*) AS n
+FROM clusters WHERE view_count > 0 AND like_rate > 0 GROUP BY ALL""")
+def cluster_density(spark, sf):
+    """All points of the two-dimensional cluster view, counted per cell."""
+    return distributions.pair_density(
+        rule_clusters(spark, sf), [("view_count", "like_rate")], 0.1, ["prediction"])
+
+
 @query()
 def kmeans_assign(spark, sf):
     return clustering.assign_clusters(part_peaks(spark, sf), "video_id", PREDICTORS, 4)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import round_columns
@@ -17,6 +17,7 @@ from sparkscope.operators.reshape import best_row, stack, stack_tagged
 from sparkscope.operators.split import fold_number, hash_split
 from sparkscope.plans.prepare import PREDICTORS
 from sparkscope.runtime import in_parallel, materialize, persisted
+from sparkscope.sources.results import load_results, save_model, save_results
 
 METRICS = ("accuracy", "macro_f1", "macro_precision", "macro_recall")
 # Share of the rows used for training and for testing.
@@ -105,3 +106,28 @@ def compare_algorithms(best_rows: Mapping[str, DataFrame]) -> DataFrame:
     rows = stack_tagged({name: row.drop("ordinal") for name, row in best_rows.items()}, "algorithm")
     gap = F.round(F.col("cv_accuracy") - F.col("accuracy"), 4)
     return rows.select("algorithm", "scenario", *METRICS, "cv_accuracy", gap.alias("generalization"))
+
+
+def save_study(study: ClassificationStudy, folder: str) -> None:
+    """Keep the best scenario: its comparison row, class metrics, predictions and model.
+
+    The one comparison row is read first, to know which model to save.
+    """
+    best = materialize(study.best(), "best")
+    name = best.first().scenario
+    chosen = F.col("scenario") == name
+    save_results({
+        "comparison": best,
+        "per_class": study.per_class.filter(chosen),
+        "predictions": study.predictions.filter(chosen),
+    }, folder)
+    save_model(study.models[name], f"{folder}/model")
+
+
+def compare_saved(spark: SparkSession, folders: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Algorithm comparison and class F1 by algorithm, from saved studies, without refitting."""
+    saved = {name: load_results(spark, folder, ["comparison", "per_class"]) for name, folder in folders.items()}
+    comparison = compare_algorithms({name: tables["comparison"] for name, tables in saved.items()})
+    per_class = stack_tagged(
+        {name: tables["per_class"].select("class", "f1") for name, tables in saved.items()}, "algorithm")
+    return comparison, per_class

@@ -6,7 +6,7 @@ Two rules of the library live here:
   folder the cluster names in ``spark.checkpoint.dir``. That cuts the lineage,
   survives the loss of executors, and (unlike cached rows) keeps column pruning
   for the passes that follow.
-* A summary table is broadcast only after its rows have been counted. Beyond the
+* A summary table is broadcast only after its size has been measured. Beyond the
   limit the join is shuffled, with the detail side salted so that one hot key
   is spread over many tasks.
 """
@@ -26,7 +26,7 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 SALTS = 64
 
 _local_dirs: dict[str, str] = {}
@@ -103,23 +103,30 @@ def equal_keys(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     return joined if how == "left_semi" else joined.drop(*[f"__right_{key}" for key in on])
 
 
+def total_bytes(df: DataFrame) -> Column:
+    """Aggregate that measures a summary table: its texts plus 16 bytes per value."""
+    texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in df.dtypes if kind == "string"]
+    row = reduce(lambda a, b: a + b, texts, F.lit(16 * len(df.columns)))
+    return F.coalesce(F.sum(row.cast("bigint")), F.lit(0))
+
+
 def join_summary(detail: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "inner",
-                 extra: Column | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a large table to per-group statistics of it, writing and counting those first."""
+                 extra: Column | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Join a large table to per-group statistics of it, writing and measuring those first."""
     table = materialize(summary, "summary")
-    return join_counted(detail, table, table.count(), on, how, extra, max_rows)
+    return join_measured(detail, table, table.agg(total_bytes(table)).first()[0], on, how, extra, max_bytes)
 
 
-def join_counted(detail: DataFrame, summary: DataFrame, rows: int, on: Sequence[str], how: str = "inner",
-                 extra: Column | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join to a summary whose row count is known.
+def join_measured(detail: DataFrame, summary: DataFrame, size: int, on: Sequence[str], how: str = "inner",
+                  extra: Column | None = None, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Join to a summary of known size in bytes.
 
-    Up to ``max_rows`` it is broadcast, so the detail side is not shuffled at
+    Up to ``max_bytes`` it is broadcast, so the detail side is not shuffled at
     all. Beyond that each summary row is repeated per salt and the detail rows
     are spread over the salts by the partition they come from, so that a hot key
     lands in ``SALTS`` tasks.
     """
-    if rows <= max_rows:
+    if size <= max_bytes:
         return equal_keys(detail, F.broadcast(summary), on, how, extra)
     salted = detail.withColumn("__salt", F.spark_partition_id() % SALTS)
     spread = summary.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -70,14 +70,14 @@ def test_sketch_stays_within_its_rank_error(spark):
         assert abs(rank - r.p * 100_000) <= 100_000 / 1000
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
+@pytest.mark.parametrize("max_bytes", [0, 1000])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_summary_join_gives_the_same_either_way(spark, max_rows, how):
+def test_summary_join_gives_the_same_either_way(spark, max_bytes, how):
     detail = spark.createDataFrame(
         [("hot", i) for i in range(900)] + [(None, i) for i in range(50)] + [("rare", 1), ("absent", 2)],
         "k string, v int").repartition(6)
     summary = spark.createDataFrame([("hot", 1.0), (None, 2.0), ("rare", 3.0)], "k string, s double")
-    joined = runtime.join_summary(detail, summary, ["k"], how, max_rows=max_rows)
+    joined = runtime.join_summary(detail, summary, ["k"], how, max_bytes=max_bytes)
     counts = {r.k: r["count"] for r in joined.groupBy("k").count().collect()}
     assert counts == {"hot": 900, None: 50, "rare": 1, **({"absent": 1} if how == "left" else {})}
     if how == "inner":
@@ -85,6 +85,27 @@ def test_summary_join_gives_the_same_either_way(spark, max_rows, how):
             ("hot", 1.0), (None, 2.0), ("rare", 3.0)}
 
 
+def test_summary_join_switches_plan_on_measured_size(spark):
+    detail = spark.range(100).select((F.col("id") % 3).cast("string").alias("k"))
+    summary = spark.createDataFrame([("0", 1.0), ("1" * 500, 2.0)], "k string, s double")
+    assert summary.agg(runtime.total_bytes(summary)).first()[0] == 501 + 2 * 2 * 16
+    small = runtime.join_summary(detail, summary, ["k"])
+    large = runtime.join_summary(detail, summary, ["k"], max_bytes=500)
+    plans = [frame._jdf.queryExecution().optimizedPlan().toString() for frame in (small, large)]
+    assert "broadcast" in plans[0] and "__salt" not in plans[0]
+    assert "broadcast" not in plans[1] and "__salt" in plans[1]
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+
+
+def test_persisted_frames_are_released(spark):
+    frame = spark.range(10).select((F.col("id") + 1).alias("x"))
+    with pytest.raises(RuntimeError):
+        with runtime.persisted(frame) as held:
+            assert held.count() == 10 and held.storageLevel.useMemory and held.storageLevel.useDisk
+            raise RuntimeError
+    assert not frame.storageLevel.useMemory
+
+
 def test_shared_folder_is_the_configured_one(spark):
     assert runtime.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
@@ -164,6 +185,13 @@ def test_pair_density_covers_positive_points(spark):
     assert distributions.pair_density(df, [("x", "y")]).agg(F.sum("n")).first()[0] == 900
 
 
+def test_pair_density_per_group(spark):
+    df = spark.createDataFrame([("a", 10.0, 10.0), ("a", 11.0, 10.0), ("b", 10.0, 1.0), ("b", 0.0, 1.0)],
+                               "g string, x double, y double")
+    rows = {(r.g, r.x_cell, r.y_cell): r.n for r in distributions.pair_density(df, [("x", "y")], 0.5, ["g"]).collect()}
+    assert rows == {("a", 2, 2): 2, ("b", 2, 0): 1}
+
+
 def test_ratios_need_a_positive_denominator(spark):
     df = spark.createDataFrame([(1.0, 4.0), (1.0, 0.0), (None, 2.0), (3.0, -1.0)], "a double, b double")
     assert [tuple(r) for r in rollup.add_ratios(df, {"r": ("a", "b")}).collect()] == [(1.0, 4.0, 0.25)]

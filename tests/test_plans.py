@@ -9,7 +9,7 @@ from sparkscope.sources import results, tables
 
 SF = "/root/testdata/sf0.001"
 STUDIES = {"lr_study", "svc_study", "rf_study", "cv_accuracy", "rf_importance", "pipeline_stages", "model_roundtrip",
-           "elbow", "kmeans_sweep", "wcss_summary"}
+           "elbow", "kmeans_sweep", "wcss_summary", "saved_study_comparison"}
 
 
 def plan(df):

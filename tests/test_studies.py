@@ -52,6 +52,20 @@ def test_study(spark, separable, scenarios):
     assert "BatchEvalPython" not in study.predictions._jdf.queryExecution().executedPlan().toString()
 
 
+def test_saved_studies_compare_like_the_originals(spark, separable, tmp_path):
+    scenarios = {"logistic": models.LOGISTIC_SCENARIOS[:2], "forest": (models.ForestScenario("f", 3, 2, 1, 16),)}
+    studies = {k: classification.run_study(separable, TARGET, v) for k, v in scenarios.items()}
+    folders = {k: str(tmp_path / k) for k in studies}
+    for k, study in studies.items():
+        classification.save_study(study, folders[k])
+    comparison, per_class = classification.compare_saved(spark, folders)
+    direct = classification.compare_algorithms({k: s.best() for k, s in studies.items()})
+    assert sorted(map(str, comparison.collect())) == sorted(map(str, direct.collect()))
+    assert {(r.algorithm, r["class"]) for r in per_class.collect()} == {(a, c) for a in scenarios for c in "abc"}
+    reloaded = models.predict(results.load_model(folders["forest"] + "/model"), separable.filter("part = 'test'"), TARGET)
+    assert reloaded.count() == results.load_results(spark, folders["forest"], ["predictions"])["predictions"].count()
+
+
 def test_modelling_table_parts_and_folds(spark, data):
     rows = data.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("fold").alias("folds")).collect()
     share = {r.part: r.n / data.count() for r in rows}
