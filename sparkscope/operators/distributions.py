@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import log10_positive, ratio
 from sparkscope.operators.quantiles import exact_quantiles, long_values
-from sparkscope.operators.reshape import per_column
 from sparkscope.runtime import equal_keys, join_summary
 
 
@@ -20,29 +19,36 @@ def log_histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> Data
     """Equal-width bins of log10(value) per column, empty bins included.
 
     ``n_dropped`` counts the values a log axis cannot show (null, zero, negative).
+    The ranges are a one-row scalar subquery, so the counting pass needs no join.
     """
     logs = df.select(*[log10_positive(F.col(name).cast("double")).alias(name) for name in columns])
-    ranges = per_column(logs, columns, {
-        "lo": F.min,
-        "width": lambda x: (F.max(x) - F.min(x)) / bins,
-        "n_dropped": lambda x: F.count_if(x.isNull()),
-    }).filter(F.col("lo").isNotNull())
-    # ``ranges`` has one row per named column, so broadcasting it is safe.
-    points = long_values(logs, columns).withColumnRenamed("value", "x").filter(F.col("x").isNotNull())
-    placed = equal_keys(points, F.broadcast(ranges), ["column"])
-    position = F.floor(ratio(F.col("x") - F.col("lo"), "width"))
-    slot = F.when(F.col("width") > 0, F.least(position, F.lit(bins - 1))).otherwise(0).cast("int")
-    per_bin = placed.groupBy("column", "lo", "width", "n_dropped", slot.alias("bin")).agg(
+    ranges = logs.agg(F.struct(*[
+        F.struct(
+            F.min(name).alias("lo"),
+            ((F.max(name) - F.min(name)) / bins).alias("width"),
+            F.count_if(F.col(name).isNull()).alias("n_dropped"),
+        ).alias(name) for name in columns
+    ])).scalar()
+
+    def slot(name: str) -> Column:
+        x, lo, width = F.col(name), ranges[name]["lo"], ranges[name]["width"]
+        last = F.lit(bins - 1)
+        return F.when(x.isNotNull(), F.when(width > 0, F.least(F.floor(ratio(x - lo, width)), last)).otherwise(0))
+
+    points = F.array(*[F.struct(F.lit(name).alias("column"), slot(name).cast("int").alias("bin")) for name in columns])
+    counts = logs.select(F.inline(points)).filter(F.col("bin").isNotNull()).groupBy("column", "bin").agg(
         F.count(F.lit(1)).alias("n"))
-    filled = per_bin.groupBy("column", "lo", "width", "n_dropped").agg(
-        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("counts"))
-    expanded = filled.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    filled = counts.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("counts"))
+    of_column = F.create_map(*[part for name in columns for part in (F.lit(name), ranges[name])])[F.col("column")]
+    expanded = filled.withColumns({
+        "range": of_column, "bin": F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))})
+    lo, width = F.col("range.lo"), F.col("range.width")
     return expanded.select(
         "column", "bin",
-        (F.col("lo") + F.col("bin") * F.col("width")).alias("log_lo"),
-        (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("log_hi"),
+        (lo + F.col("bin") * width).alias("log_lo"),
+        (lo + (F.col("bin") + 1) * width).alias("log_hi"),
         F.coalesce(F.try_element_at("counts", F.col("bin")), F.lit(0)).cast("bigint").alias("n"),
-        "n_dropped",
+        F.col("range.n_dropped").alias("n_dropped"),
     )
 
 

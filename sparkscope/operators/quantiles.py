@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import is_missing
+from sparkscope.operators.reshape import stack
 from sparkscope.runtime import join_measured, materialize, total_bytes
 
 # First pass: logarithmic bins, so no range has to be known in advance.
@@ -81,6 +82,14 @@ def _bins_with_ranks(bins: DataFrame, keys: list[str], within: list[str], probs:
     return placed.filter(hit).select(*keys, "lo", "hi", "n", "before", "total")
 
 
+def _ranked_values(inside: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct values of the open bins with their counts and last ranks."""
+    distinct = inside.groupBy(*keys, "before", "total", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(*keys, "before", "total").orderBy("value")
+                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return distinct.withColumn("after", F.col("before") + upto).select(*keys, "value", "n", "after", "total")
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), interpolate: bool = False,
                     max_ranked: int = MAX_RANKED_ROWS) -> DataFrame:
@@ -90,41 +99,49 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     share reaches ``p``; with it, neighbouring ranks are blended linearly.
 
     Narrowing down runs at once: each pass writes the bins it keeps, at most two
-    per group, column and probability, and looks at their number and size to
-    choose the join and whether to go on. A pass separates the smallest from the
-    largest value of every bin it splits, so the narrowing always ends. The
-    returned frame reads ``df`` once more; pass a table, not an expensive query.
+    per group, column and probability, and looks at their size to choose the join
+    and whether to go on. A bin of one distinct value is settled and not read for
+    again; a pass separates the smallest from the largest value of every bin it
+    splits, so the narrowing always ends. Unless all bins are settled by then, the
+    returned frame reads the open columns of ``df`` once more; pass a table, not an
+    expensive query.
     """
     keys = [*by, "column"]
-    values = long_values(df, columns, by).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     value = F.col("value")
     counted = [F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")]
+
+    def numbers(names: Sequence[str]) -> DataFrame:
+        return long_values(df, names, by).filter(value.isNotNull() & ~F.isnan(value))
+
     octave = F.signum(value) * F.log2(1 + F.abs(value) / SMALLEST_MAGNITUDE)
-    bins = values.groupBy(*keys, F.floor(octave * BINS_PER_OCTAVE).alias("bin")).agg(*counted)
+    bins = numbers(columns).groupBy(*keys, F.floor(octave * BINS_PER_OCTAVE).alias("bin")).agg(*counted)
+    settled: list[DataFrame] = []
     within: list[str] = []
     while True:
         kept = materialize(_bins_with_ranks(bins, keys, within, probs, interpolate), "bins")
-        size, largest = kept.agg(total_bytes(kept), F.max(F.when(F.col("hi") > F.col("lo"), F.col("n")))).first()
-        inside = join_measured(values, kept.drop("n"), size, keys, extra=value.between(F.col("lo"), F.col("hi")))
-        if (largest or 0) <= max_ranked:
+        is_open = F.col("hi") > F.col("lo")
+        settled.append(kept.filter(~is_open).select(
+            *keys, F.col("lo").alias("value"), "n", (F.col("before") + F.col("n")).alias("after"), "total"))
+        size, largest, open_columns = kept.filter(is_open).agg(
+            total_bytes(kept), F.max("n"), F.collect_set("column")).first()
+        if largest is None:
+            break
+        inside = join_measured(
+            numbers(sorted(open_columns)), kept.filter(is_open).drop("n"), size, keys,
+            extra=value.between(F.col("lo"), F.col("hi")))
+        if largest <= max_ranked:
+            settled.append(_ranked_values(inside, keys))
             break
         within = ["before", "total"]
-        position = F.when(F.col("hi") > F.col("lo"), (value - F.col("lo")) / (F.col("hi") - F.col("lo")))
-        part = F.floor(F.coalesce(position, F.lit(0.0)) * SUB_BINS)
-        bins = inside.groupBy(*keys, *within, part.alias("bin")).agg(*counted)
+        position = (value - F.col("lo")) / (F.col("hi") - F.col("lo"))
+        bins = inside.groupBy(*keys, *within, F.floor(position * SUB_BINS).alias("bin")).agg(*counted)
 
-    distinct = inside.groupBy(*keys, "before", "total", "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy(*keys, "before", "total").orderBy("value")
-                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = distinct.withColumn("after", F.col("before") + upto)
-    wanted = ranked.select(
-        *keys, "value", "n", "after",
-        F.explode(_wanted_ranks(F.col("total"), probs, interpolate)).alias("want"))
+    wanted = stack(settled).withColumn("want", F.explode(_wanted_ranks(F.col("total"), probs, interpolate)))
     found = wanted.filter((F.col("want.rank") < F.col("after")) & (F.col("want.rank") >= F.col("after") - F.col("n")))
-    low = F.max(F.when(F.col("want.side") == 0, F.col("value")))
+    low = F.max(F.when(F.col("want.side") == 0, value))
     if not interpolate:
         return found.groupBy(*keys, F.col("want.p").alias("p")).agg(low.alias("value"))
-    high = F.max(F.when(F.col("want.side") == 1, F.col("value")))
+    high = F.max(F.when(F.col("want.side") == 1, value))
     weight = F.max("want.weight")
     return found.groupBy(*keys, F.col("want.p").alias("p")).agg((low + (high - low) * weight).alias("value"))
 
