@@ -543,10 +543,11 @@ def label_index(spark, sf):
     return rollup.group_counts(models.fit_label_index(parts, "p_type").transform(parts), ["p_type", "label"])
 
 
-@query()
+@query(f"WITH {PEAKS_SQL} " + " UNION ALL ".join(
+    f"SELECT video_id, {i} AS position, {c}::DOUBLE AS value FROM peaks" for i, c in enumerate(PREDICTORS)))
 def vector_assemble(spark, sf):
     assembled = models.assembler(PREDICTORS).transform(part_peaks(spark, sf))
-    return assembled.select("video_id", vector_to_array("features_raw").alias("features"))
+    return assembled.select("video_id", F.posexplode(vector_to_array("features_raw")).alias("position", "value"))
 
 
 def unpacked(scaled: DataFrame, names) -> DataFrame:
