@@ -43,8 +43,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = sized(materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), "low"))
-        large = both.join(low, "a").where("b > a and b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = materialize(large.union(links.join(low, "a").select("a", F.col("low").alias("b"))).where("a <> b")
+        large = materialize(both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
                             .distinct(), "links")
         low = sized(materialize(large.groupBy("a").agg(F.min("b").alias("low")), "low"))
         joined = large.join(low, "a")

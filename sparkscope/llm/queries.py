@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkscope.llm.decontaminate import contamination
 from sparkscope.llm.exact_dedup import exact_duplicates
+from sparkscope.llm.jaccard_join import jaccard_components
+from sparkscope.llm.mixing import mix_sources
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,3 +38,96 @@ WITH t AS (SELECT doc_id, sha256({ASCII_LOWER.format("coalesce(text, '')")}) AS
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, text_sha256
 FROM t WINDOW g AS (PARTITION BY text_sha256)"""
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+WORD_SETS = r"""
+w AS (SELECT doc_id, list_filter(string_split_regex({lower}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {n} THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(generate_series(1, len(w) - {n} + 1),
+                                          lambda i: array_to_string(w[i:i + {n} - 1], ' '))) END AS s FROM w)"""
+
+SQL["op9_jaccard_join"] = f"""
+WITH RECURSIVE {WORD_SETS.format(lower=ASCII_LOWER.format("coalesce(text, '')"), n=3)},
+p AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM p a JOIN p b ON a.g = b.g AND a.doc_id <> b.doc_id
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach(a, b) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON p.a = r.b)
+SELECT s.doc_id, len(s.s) AS n_shingles, m.component_id
+FROM s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) m ON m.a = s.doc_id"""
+
+
+@query
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+def _number(text: str, start: int) -> str:
+    return f"('0x' || substr(md5({text}), {start}, 8))::BIGINT"
+
+
+SQL["op10_mix_sources"] = rf"""
+WITH d AS (SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS k,
+             len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size,
+             {_number("coalesce(doc_id::VARCHAR, '')", 1)} AS pick, {_number("coalesce(doc_id::VARCHAR, '')", 9)} AS place
+           FROM documents),
+s AS (SELECT source, k, sum(size)::BIGINT AS source_size,
+        [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w FROM d GROUP BY source, k),
+v AS (SELECT *, (1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE - (2 * (sum(source_size) OVER r - source_size))::DOUBLE)
+        / (sum(w) OVER () - sum(w) OVER r + w)::DOUBLE AS level
+      FROM s WINDOW r AS (ORDER BY source_size * (10 // w), k ROWS UNBOUNDED PRECEDING)),
+t AS (SELECT *, least(w * max(level) OVER (), (2 * source_size)::DOUBLE) AS target FROM v),
+q AS (SELECT k, count(*) FILTER (WHERE won) AS quota FROM (
+        SELECT t.k, row_number() OVER (ORDER BY t.target / (2 * seat - 1) DESC, t.k)
+                 <= (SELECT round(sum(target) / 32) FROM t) AND t.target > 0 AS won
+        FROM t, LATERAL (SELECT unnest(generate_series(1, (t.target / 32)::BIGINT + 25)) AS seat)) GROUP BY k),
+g AS (SELECT d.*, t.source_size, t.target, q.quota,
+        d.pick % greatest(1, ceil(t.source_size / 2097152))::BIGINT AS shard FROM d JOIN t USING (k) JOIN q USING (k)),
+h AS (SELECT k, shard, any_value(quota) AS quota, sum(size)::BIGINT AS shard_size FROM g GROUP BY k, shard),
+o AS (SELECT k, shard, count(*) FILTER (WHERE won) AS quota, any_value(shard_size) AS shard_size FROM (
+        SELECT h.*, row_number() OVER (PARTITION BY k ORDER BY shard_size / (2 * seat - 1) DESC, shard) <= quota
+                 AND shard_size > 0 AS won
+        FROM h, LATERAL (SELECT unnest(generate_series(1, (shard_size / 16)::BIGINT + 25)) AS seat)) GROUP BY k, shard),
+b AS (SELECT k, shard, greatest(1, ceil(shard_size / 32))::BIGINT AS n, quota,
+        {_number("'mix/' || k || '/' || shard", 1)} AS seed FROM o),
+p AS (SELECT g.*, b.n, least(b.quota, 2 * b.n) AS r, b.seed % b.n AS u,
+        sum(size) OVER (PARTITION BY k, shard ORDER BY place, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING)::BIGINT AS stop
+      FROM g JOIN b USING (k, shard)),
+x AS (SELECT *, stop - size AS start FROM p)
+SELECT doc_id, size, source_size, target, source, shard,
+  ((r // n) * size
+   + 32 * (((stop // 32) * (r % n) + u) // n) + (stop % 32) * (((stop // 32 + 1) * (r % n) + u) // n - ((stop // 32) * (r % n) + u) // n)
+   - 32 * (((start // 32) * (r % n) + u) // n) - (start % 32) * (((start // 32 + 1) * (r % n) + u) // n - ((start // 32) * (r % n) + u) // n)
+  )::BIGINT AS taken
+FROM x"""
+
+
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+WINDOW_SQL = ("CASE WHEN len(w) >= 10 THEN list_transform(generate_series(1, len(w) - 9), "
+              "lambda i: array_to_string(w[i:i + 9], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END")
+
+SQL["op6_decontaminate"] = rf"""
+WITH {{words}},
+i AS (SELECT item_id, unnest({WINDOW_SQL}) AS g FROM iw),
+lengths AS (SELECT DISTINCT g, len(string_split(g, ' ')) AS n FROM i),
+spots AS (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS p FROM dw),
+hits AS (SELECT doc_id, p, n, g FROM (SELECT spots.*, l.n FROM spots, (SELECT DISTINCT n FROM lengths) l WHERE p + l.n - 1 <= len(w)) c
+         JOIN lengths USING (n) WHERE g = array_to_string(w[p:p + n - 1], ' ')),
+words AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (
+            SELECT doc_id, unnest(generate_series(p, p + n - 1)) AS q FROM hits) GROUP BY doc_id),
+ids AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (
+          SELECT DISTINCT doc_id, coalesce(item_id::VARCHAR, '') AS item FROM hits JOIN i USING (g)) GROUP BY doc_id)
+SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)""".replace("{words}", ", ".join(
+    rf"{name} AS (SELECT {key}, list_filter(string_split_regex({ASCII_LOWER.format("coalesce(text, '')")}, "
+    rf"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM {source})"
+    for name, key, source in (("dw", "doc_id", "documents"), ("iw", "item_id", "benchmark"))))
