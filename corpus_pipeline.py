@@ -1,23 +1,71 @@
-"""Training-corpus pipeline over ``documents``: each stage keeps a part of its predecessor's documents."""
+"""Training-corpus pipeline over ``documents``: every stage keeps a part of what its predecessor kept.
+
+Toxic documents go, then all but one of equal texts, all but one of each group of near
+copies, documents that hold benchmark passages, and last the sources are mixed to target
+weights. A document is a row; rows repeated with the same id share their fate, but of
+equal rows exact dedup leaves one. Null texts count as empty.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sparkscope.llm.common import sized
+from sparkscope.llm.decontaminate import contamination
 from sparkscope.llm.exact_dedup import exact_duplicates
+from sparkscope.llm.jaccard_join import jaccard_components
+from sparkscope.llm.mixing import mix_sources
+from sparkscope.llm.toxicity import toxicity_scores
 from sparkscope.runtime import materialize
 
 DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Near copies share this part of their shingles of so many words.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
+def keep(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is among ``kept``, null ids included."""
+    ids = sized(materialize(kept.select(F.col("doc_id").alias("kept_id")).distinct(), "kept"))
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi").select(DOCUMENTS)
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Toxicity: documents with a score of the threshold or more go."""
+    return keep(docs, toxicity_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).where("predicted = 0"))
 
 
 def one_of_each_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Exact dedup: of equal texts the document with the largest id stays."""
-    kept = exact_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(DOCUMENTS)
+    """Exact dedup: of equal texts the document with the largest id stays.
+
+    Only rows whose id occurs more than once, if any, are compared as rows: of equal ones one stays.
+    """
+    stay = keep(docs, exact_duplicates(docs).where("kept"))
+    repeated = docs.groupBy(F.col("doc_id").alias("repeated_id")).count().where("count > 1")
+    repeated = sized(materialize(repeated.select("repeated_id"), "repeated"))
+    same_id = F.col("doc_id").eqNullSafe(F.col("repeated_id"))
+    return stay.join(repeated, same_id, "left_anti").union(
+        stay.join(repeated, same_id, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of linked documents the one with the smallest id stays."""
+    return keep(docs, jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT, 100).where("doc_id <=> component_id"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents with a benchmark window go."""
+    return keep(docs, contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("not contaminated"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing sources to target weights: what the mix takes of every document, in words."""
+    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-STAGES = [("exact_dedup", one_of_each_text)]
-#: A trained classifier decides in the first stage: SQL cannot express the rows.
+STAGES = [("toxicity", without_toxic), ("exact_dedup", one_of_each_text), ("jaccard_join", one_of_near_copies),
+          ("decontaminate", without_benchmark), ("mix_sources", mixed)]
+#: A trained classifier decides in the first stage, so SQL cannot express the rows.
 ORACLE_SQL = None
 
 

@@ -10,6 +10,8 @@ from sparkscope.llm.decontaminate import contamination
 from sparkscope.llm.exact_dedup import exact_duplicates
 from sparkscope.llm.jaccard_join import jaccard_components
 from sparkscope.llm.mixing import mix_sources
+from sparkscope.llm.pii import personal_data, span_digest
+from sparkscope.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -131,3 +133,13 @@ FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)""".replace("
     rf"{name} AS (SELECT {key}, list_filter(string_split_regex({ASCII_LOWER.format("coalesce(text, '')")}, "
     rf"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM {source})"
     for name, key, source in (("dw", "doc_id", "documents"), ("iw", "item_id", "benchmark"))))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digest(personal_data(table(spark, sf_dir, "documents")))
