@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sparkscope.llm.common import id_remainder
 from sparkscope.llm.decontaminate import contamination
 from sparkscope.llm.exact_dedup import exact_duplicates
+from sparkscope.llm.importance import importance_sample
 from sparkscope.llm.jaccard_join import jaccard_components
 from sparkscope.llm.mixing import mix_sources
 from sparkscope.llm.pii import personal_data, span_digest
+from sparkscope.llm.token_scan import document_tokens, write_token_files
 from sparkscope.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +147,15 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digest(personal_data(table(spark, sf_dir, "documents")))
+
+
+@query
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    good = labels.where((F.col("quality") == 1) & (id_remainder("doc_id", 3) != 1))
+    return importance_sample(table(spark, sf_dir, "documents"), good)
+
+
+@query
+def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_tokens(write_token_files(table(spark, sf_dir, "documents")))
