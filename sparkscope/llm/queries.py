@@ -12,6 +12,7 @@ from sparkscope.llm.decontaminate import contamination
 from sparkscope.llm.exact_dedup import exact_duplicates
 from sparkscope.llm.importance import importance_sample
 from sparkscope.llm.jaccard_join import jaccard_components
+from sparkscope.llm.license_scan import NOTICES, license_matches
 from sparkscope.llm.mixing import mix_sources
 from sparkscope.llm.pii import personal_data, span_digest
 from sparkscope.llm.token_scan import document_tokens, write_token_files
@@ -159,3 +160,8 @@ def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_tokens(write_token_files(table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(table(spark, sf_dir, "documents"), NOTICES)
