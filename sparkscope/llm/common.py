@@ -2,12 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import tempfile
+import zipfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkscope.runtime import BROADCAST_MAX_BYTES, materialize, total_bytes
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once, so that tasks can import it wherever they run."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="package-"), "sparkscope.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(application)
+
+
 def id_remainder(column: str, modulus: int) -> Column:
     """crc32 of an id as text, modulo ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkscope.llm.common import pick_rows
+from sparkscope.llm.common import pick_rows, ship
 from sparkscope.llm.textkit import text_values
 from sparkscope.runtime import materialize
 
@@ -81,6 +81,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      hashes_per_owner: int = HASHES_PER_OWNER, spare_bits: int = SPARE_BITS) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     spark = docs.sparkSession
+    ship(spark)
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     hashed = materialize(rows.mapInArrow(

@@ -184,10 +184,12 @@ def log_odds(at: np.ndarray, doc: np.ndarray, label: np.ndarray) -> np.ndarray:
     return np.where(all_ >= 3, np.clip(np.log(a / b), -4, 4), 0).astype(np.float32) / 2
 
 
-def train(texts: list[bytes], label: np.ndarray, epochs: int, rate: float = 0.01, seed: int = 7, batch: int = 128) -> dict:
+def train(texts: list[bytes], label: np.ndarray, epochs: int, least_steps: int = 300, rate: float = 0.01, seed: int = 7,
+          batch: int = 64) -> dict:
     """Fit on whole texts: of each text the windows with the largest logits take part in an epoch's steps.
 
-    A text of label 0 must keep all windows low, so its two largest count, one of label 1 needs one.
+    A text of label 0 must keep all windows low, so its two largest count, one of label 1
+    needs one. There are ``epochs`` epochs, or as many as it takes for ``least_steps`` steps.
     """
     rng = np.random.default_rng(seed)
     p = start_values(rng)
@@ -201,6 +203,7 @@ def train(texts: list[bytes], label: np.ndarray, epochs: int, rate: float = 0.01
     p["chars"][:, 0] += log_odds(vocabulary.gram[at], np.repeat(of_word, grams), label)
     first, length, doc = windows_of(words)
     adam = Adam(p, rate)
+    epochs = max(epochs, -(-least_steps * batch // max(1, len(np.unique(doc)))))
     for _ in range(epochs):
         logits = score_windows(p, words)[0]
         order = np.lexsort((-logits, doc))
@@ -225,7 +228,7 @@ def train(texts: list[bytes], label: np.ndarray, epochs: int, rate: float = 0.01
             rows["words"], g["words"] = sum_rows(vocabulary.word[part], dinputs[:, :WORD_DIM])
             rows["chars"], g["chars"] = sum_rows(gram, np.repeat(dinputs[:, WORD_DIM:] / counts[:, None], counts, axis=0))
             adam.step(g, rows)
-        adam.rate *= 0.8
+        adam.rate *= 0.2 ** (1 / epochs)
     return p
 
 

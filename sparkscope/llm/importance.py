@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkscope.llm.common import sized
+from sparkscope.llm.common import ship, sized
 from sparkscope.llm.textkit import Words, blocks, ngrams, text_values
 from sparkscope.runtime import materialize
 
@@ -114,6 +114,7 @@ def importance_sample(docs: DataFrame, target_ids: DataFrame, share: float = KEP
     The importance is that of the whole text; its Gumbel noise has scale 1, as for any
     draw of texts by their importance weights.
     """
+    ship(docs.sparkSession)
     marks = sized(materialize(target_ids.select(F.col(id_col).alias("target_id")).where("target_id is not null").distinct(), "targets"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).join(
         marks, F.col("doc_id") == F.col("target_id"), "left").select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkscope.llm.common import components, pick_rows, sized
+from sparkscope.llm.common import components, pick_rows, ship, sized
 from sparkscope.llm.textkit import Words, blocks, mix, shingles, text_values
 from sparkscope.runtime import materialize
 
@@ -180,6 +180,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): documents linked where intersection/union >= num/den."""
+    ship(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     scanned = materialize(rows.mapInArrow(

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkscope.llm.common import ship
 from sparkscope.llm.textkit import Words, blocks, ngrams, text_values
 
 SHINGLE = 3
@@ -180,6 +181,7 @@ def license_matches(docs: DataFrame, notices: list[tuple[str, str]] | DataFrame,
         if size > MAX_TEMPLATE_BYTES:
             raise ValueError(f"{size} bytes of templates; {MAX_TEMPLATE_BYTES} can be held by every task")
         notices = sorted((str(row[0]), row[1]) for row in named.collect())
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast((list(notices), containment, certainty))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

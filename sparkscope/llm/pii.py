@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkscope.llm.common import sized
+from sparkscope.llm.common import ship, sized
 from sparkscope.llm.textkit import Words, blocks, text_values
 from sparkscope.runtime import BROADCAST_MAX_BYTES, materialize
 
@@ -156,6 +156,7 @@ def personal_data(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, g
                   remove: float = REMOVE, broadcast_limit: int = BROADCAST_MAX_BYTES, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """(row, doc_id, spans) per document; spans are sorted (low, kind number, high, action)."""
+    ship(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).cast("binary").alias("text"))

@@ -13,6 +13,7 @@ from sparkscope.llm.exact_dedup import exact_duplicates
 from sparkscope.llm.importance import importance_sample
 from sparkscope.llm.jaccard_join import jaccard_components
 from sparkscope.llm.license_scan import NOTICES, license_matches
+from sparkscope.llm.lm_score import lm_scores
 from sparkscope.llm.mixing import mix_sources
 from sparkscope.llm.pii import personal_data, span_digest
 from sparkscope.llm.token_scan import document_tokens, write_token_files
@@ -165,3 +166,8 @@ def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_matches(table(spark, sf_dir, "documents"), NOTICES)
+
+
+@query
+def op1_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))

@@ -31,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparkscope.llm.common import ship
 from sparkscope.llm.textkit import text_values
 from sparkscope.runtime import new_path
 
@@ -90,6 +91,7 @@ def write_token_files(docs: DataFrame, ranks_file: str = RANKS_FILE, end_id: int
             yield row(block, flat[low: low + block_tokens].tobytes(), None)
             block += 1
 
+    ship(docs.sparkSession)
     spark = docs.sparkSession
     schema = f"file int, number bigint, tokens binary, doc_ids array<{id_type.simpleString()}>"
     path = new_path(spark, "token-files")
@@ -115,6 +117,7 @@ def token_file_blocks(spark: SparkSession, path: str, width: int = 2, block_toke
 
 def separator_scan(blocks: DataFrame, end_id: int = END_ID, width: int = 2, chunk_blocks: int = CHUNK_BLOCKS) -> DataFrame:
     """(file, document, begin, n_tokens, complete): documents of (file, number, tokens) blocks."""
+    ship(blocks.sparkSession)
     kind = np.dtype(f"<u{width}")
     file_type = blocks.schema["file"].dataType.simpleString()
 

@@ -23,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkscope.llm import gru
-from sparkscope.llm.common import id_remainder, sized
+from sparkscope.llm.common import id_remainder, ship, sized
 from sparkscope.llm.textkit import Words, blocks, text_values
 from sparkscope.runtime import materialize
 
-PER_CLASS = 1500
-EPOCHS = 6
+PER_CLASS = 1200
+EPOCHS = 4
 THRESHOLD = 0.7
 
 
@@ -88,6 +88,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
                     threshold: float = THRESHOLD, folds: int = 3, held_fold: int = 1, id_col: str = "doc_id",
                     text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """(doc_id, held_out, score, predicted); rows whose id hash falls into ``held_fold`` are not learned from."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
                        (id_remainder(id_col, folds) == held_fold).alias("held_out"))
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(
