@@ -55,7 +55,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, epochs:
         share = float(label.mean()) if len(label) else 0.0
         yield pa.record_batch([pa.array([model], pa.binary()), pa.array([share])], ["model", "share"])
 
-    row = texts.coalesce(1).mapInArrow(learn, "model binary, share double").first()
+    row = texts.repartition(1).mapInArrow(learn, "model binary, share double").first()
     return (None, 0.0) if row is None else (None if row[0] is None else bytes(row[0]), row[1])
 
 
