@@ -89,9 +89,9 @@ def percent(part: str | Column, whole: str | Column) -> Column:
 
 
 def log10_positive(value: str | Column) -> Column:
-    """Base-10 logarithm; null for values a log axis cannot show."""
+    """Base-10 logarithm; null for values a log axis cannot show, NaN included."""
     value = column(value)
-    return F.when(value > 0, F.log10(value))
+    return F.when((value > 0) & ~F.isnan(value), F.log10(value))
 
 
 def duration_seconds(value: str | Column, include_days: bool = False) -> Column:
@@ -124,9 +124,16 @@ def recode(value: str | Column, replacements: Mapping[str, str]) -> Column:
     return result
 
 
-def string_key(*parts: str | Column, sep: str = "") -> Column:
-    """Concatenate parts into one text key."""
-    return F.concat_ws(sep, *[column(part).cast("string") for part in parts])
+def string_key(*parts: str | Column, sep: str = "", null_text: str = "\\N") -> Column:
+    """Concatenate parts into one text key; a null part reads ``null_text``, so it differs from an empty one."""
+    texts = [F.coalesce(column(part).cast("string"), F.lit(null_text)) for part in parts]
+    return F.concat(*[piece for text in texts for piece in (F.lit(sep), text)][1:])
+
+
+def shown(df: DataFrame, name: str) -> Column:
+    """The column with NaN as null; other types than floating point pass through."""
+    floating = df.schema[name].dataType.simpleString() in ("double", "float")
+    return F.when(~F.isnan(name), F.col(name)) if floating else F.col(name)
 
 
 def round_columns(df: DataFrame, columns: Sequence[str], digits: int) -> DataFrame:

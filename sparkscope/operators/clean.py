@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkscope.functions.columns import is_missing, percent
+from sparkscope.functions.columns import is_missing, percent, shown
 from sparkscope.runtime import all_of, join_summary
 
 
@@ -38,16 +38,16 @@ def dedup_keyed(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 
 def missing_audit(df: DataFrame, zero_is_missing: Mapping[str, bool]) -> DataFrame:
-    """One row with ``<column>_na``: missing values of each column, in one pass."""
+    """One row with ``<column>_na``: missing values (null, NaN) of each column, in one pass."""
     return df.agg(*[
-        F.count_if(is_missing(name, zero)).alias(f"{name}_na")
+        F.count_if(is_missing(shown(df, name), zero)).alias(f"{name}_na")
         for name, zero in zero_is_missing.items()
     ])
 
 
 def missing_ratio(df: DataFrame, name: str, zero_is_missing: bool = False) -> DataFrame:
     """Total, present and missing counts of one column, and the missing percentage."""
-    missing = is_missing(name, zero_is_missing)
+    missing = is_missing(shown(df, name), zero_is_missing)
     counts = df.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(~missing).alias(f"{name}_present"),

@@ -18,7 +18,8 @@ from sparkscope.runtime import equal_keys, join_summary
 def log_histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
     """Equal-width bins of log10(value) per column, empty bins included.
 
-    ``n_dropped`` counts the values a log axis cannot show (null, zero, negative).
+    ``n_dropped`` counts the values a log axis cannot show (null, NaN, zero, negative);
+    a column of nothing else keeps its bins, with null edges and no values.
     The ranges are a one-row scalar subquery, so the counting pass needs no join.
     """
     logs = df.select(*[log10_positive(F.col(name).cast("double")).alias(name) for name in columns])
@@ -38,25 +39,27 @@ def log_histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> Data
     points = F.array(*[F.struct(F.lit(name).alias("column"), slot(name).cast("int").alias("bin")) for name in columns])
     counts = logs.select(F.inline(points)).filter(F.col("bin").isNotNull()).groupBy("column", "bin").agg(
         F.count(F.lit(1)).alias("n"))
-    filled = counts.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("counts"))
-    of_column = F.create_map(*[part for name in columns for part in (F.lit(name), ranges[name])])[F.col("column")]
-    expanded = filled.withColumns({
-        "range": of_column, "bin": F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))})
+    named = F.array(*[F.struct(F.lit(name).alias("column"), ranges[name].alias("range")) for name in columns])
+    grid = df.sparkSession.range(1).select(F.inline(named)).withColumn(
+        "bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     lo, width = F.col("range.lo"), F.col("range.width")
-    return expanded.select(
+    # At most columns x bins rows on either side.
+    return grid.join(F.broadcast(counts), ["column", "bin"], "left").select(
         "column", "bin",
         (lo + F.col("bin") * width).alias("log_lo"),
         (lo + (F.col("bin") + 1) * width).alias("log_hi"),
-        F.coalesce(F.try_element_at("counts", F.col("bin")), F.lit(0)).cast("bigint").alias("n"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
         F.col("range.n_dropped").alias("n_dropped"),
     )
 
 
-def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), ranked: bool = True) -> DataFrame:
     """Box-and-whisker statistics of log10(value) per column and group.
 
     Quartiles are linearly interpolated; whiskers reach the outermost value within
-    1.5 interquartile ranges of the box. ``rank`` orders groups by median.
+    1.5 interquartile ranges of the box. ``rank`` orders groups by median; it sorts
+    the groups of a column in one task, so turn it off for very many groups. A group
+    or column without positive values is a row of its own, with nulls and ``n_dropped``.
     """
     keys = [*by, "column"]
     logs = df.select(*by, *[log10_positive(F.col(name).cast("double")).alias(name) for name in columns])
@@ -70,10 +73,10 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     box = box.withColumns({"fence_lo": F.col("q1") - reach, "fence_hi": F.col("q3") + reach})
     values = long_values(logs, columns, by)
     if by:
-        joined = join_summary(values, box, keys)
+        joined = join_summary(values, box, keys, "left")
     else:
         # One row per named column.
-        joined = equal_keys(values, F.broadcast(box), keys)
+        joined = equal_keys(values, F.broadcast(box), keys, "left")
     x = F.col("value")
     within = x.between(F.col("fence_lo"), F.col("fence_hi"))
     stats = joined.groupBy(*keys, "q1", "median", "q3").agg(
@@ -83,9 +86,9 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
         F.count_if(~within).alias("n_outliers"),
         F.count_if(x.isNull()).alias("n_dropped"),
     )
-    if not by:
+    if not by or not ranked:
         return stats
-    order = Window.partitionBy("column").orderBy("median", *by)
+    order = Window.partitionBy("column").orderBy(F.asc_nulls_last("median"), *by)
     return stats.withColumn("rank", F.row_number().over(order))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import ratio
+from sparkscope.runtime import equal_keys
 
 
 def confusion_counts(predictions: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
@@ -23,20 +24,16 @@ def confusion_counts(predictions: DataFrame, actual: str, predicted: str, by: Se
 def confusion_matrix(predictions: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     """All cells of observed predictions x observed actuals, zeros included.
 
-    The grid is unfolded from the two label sets inside each group's single
-    summary row, whose size is bounded by the number of classes squared.
+    The distinct predicted labels of a group meet its distinct actual labels, row by
+    row; a group's grid is never one row. Null labels have cells like any other.
     """
     counts = confusion_counts(predictions, actual, predicted, by)
-    label = F.struct(F.col("predicted").alias("p"), F.col("actual").alias("a"))
-    summary = counts.groupBy(*by).agg(
-        F.collect_set("predicted").alias("rows"),
-        F.collect_set("actual").alias("cols"),
-        F.map_from_entries(F.collect_list(F.struct(label.alias("cell"), F.col("n")))).alias("cells"),
-    )
-    grid = summary.withColumn("predicted", F.explode("rows")).withColumn("actual", F.explode("cols"))
-    return grid.select(
-        *by, "predicted", "actual",
-        F.coalesce(F.try_element_at("cells", label), F.lit(0)).cast("bigint").alias("n"))
+    group = F.struct(*[F.col(name) for name in by]) if by else F.lit(0)
+    cells = counts.withColumn("__group", group)
+    grid = equal_keys(cells.select("__group", "predicted").distinct(), cells.select("__group", "actual").distinct(), ["__group"])
+    filled = equal_keys(grid, cells.select("__group", "predicted", "actual", "n"), ["__group", "predicted", "actual"], "left")
+    return filled.select(
+        *[F.col(f"__group.{name}").alias(name) for name in by], "predicted", "actual", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def class_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -126,6 +126,11 @@ def strongest_class(model: OneVsRestModel, features: str = "features") -> Column
     return (F.array_position(margins, F.array_max(margins)) - 1).cast("double")
 
 
+def label_names(df: DataFrame, index: str, output: str, labels: Sequence[str]) -> DataFrame:
+    """Add the class name of every index."""
+    return IndexToString(inputCol=index, outputCol=output, labels=list(labels)).transform(df)
+
+
 def predict(model: PipelineModel, df: DataFrame, target: str, keep: Sequence[str] = ()) -> DataFrame:
     """``keep..., target, prediction, predicted_label``."""
     *features, classifier = model.stages
@@ -133,8 +138,8 @@ def predict(model: PipelineModel, df: DataFrame, target: str, keep: Sequence[str
         scored = PipelineModel(features).transform(df).withColumn("prediction", strongest_class(classifier))
     else:
         scored = model.transform(df)
-    decode = IndexToString(inputCol="prediction", outputCol="predicted_label", labels=model.stages[0].labels)
-    return decode.transform(scored).select(*keep, target, "prediction", "predicted_label")
+    named = label_names(scored, "prediction", "predicted_label", model.stages[0].labels)
+    return named.select(*keep, target, "prediction", "predicted_label")
 
 
 def stage_summary(model: PipelineModel) -> list[tuple[int, str]]:

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkscope.functions.columns import is_missing
+from sparkscope.functions.columns import is_missing, shown
 from sparkscope.operators.reshape import stack
 from sparkscope.runtime import join_measured, materialize, total_bytes
 
@@ -26,6 +26,8 @@ SMALLEST_MAGNITUDE = 2.0 ** -30
 SUB_BINS = 4096
 # A kept bin with more rows than this (and more than one value) is split again.
 MAX_RANKED_ROWS = 1_000_000
+# Relative accuracy of the one-pass sketch.
+SKETCH_ACCURACY = 10_000
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -35,10 +37,10 @@ def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
 
 
 def approx_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                     by: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:
+                     by: Sequence[str] = (), accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """``by..., column, p, value`` from a mergeable sketch, in one pass."""
     sketches = df.groupBy(*by).agg(*[
-        F.percentile_approx(F.col(name).cast("double"), list(map(float, probs)), accuracy).alias(name)
+        F.percentile_approx(shown(df, name).cast("double"), list(map(float, probs)), accuracy).alias(name)
         for name in columns
     ])
     rows = sketches.unpivot(list(by), list(columns), "column", "value")
@@ -147,24 +149,29 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-              accuracy: int | None = None) -> DataFrame:
-    """Discrete quantiles: exact, or from a sketch when ``accuracy`` is given."""
+              accuracy: int | None = SKETCH_ACCURACY) -> DataFrame:
+    """Discrete quantiles from a one-pass sketch, or exact when ``accuracy`` is ``None``.
+
+    The sketch's rank error is at most rows / accuracy, so up to that many rows it is exact.
+    """
     if accuracy is None:
         return exact_quantiles(df, columns, probs, by)
     return approx_quantiles(df, columns, probs, by, accuracy)
 
 
 def impute_median(df: DataFrame, zero_is_missing: Mapping[str, bool], exclude_zero: bool = False,
-                  accuracy: int | None = None) -> DataFrame:
-    """Replace missing values of each named column by the column's median.
+                  accuracy: int | None = SKETCH_ACCURACY) -> DataFrame:
+    """Replace missing values (null, NaN) of each named column by the column's median.
 
     ``zero_is_missing`` maps column to whether zero counts as missing too. The
     median is taken over all non-null values, zeros included, unless
     ``exclude_zero`` is set. The medians enter as a one-row scalar subquery, so
-    nothing returns to the driver and no join is planned. ``df`` is read several
-    times; pass a table, not an expensive query.
+    nothing returns to the driver and no join is planned. The default sketch starts
+    no job; the exact median (``accuracy=None``) runs its counting passes at once and
+    reads ``df`` several times, so pass it a table, not an expensive query.
     """
     names = list(zero_is_missing)
+    df = df.withColumns({name: shown(df, name) for name in names})
     basis = df.select(*[
         F.when(F.col(name) != 0, F.col(name)).alias(name) if exclude_zero and zero else F.col(name)
         for name, zero in zero_is_missing.items()

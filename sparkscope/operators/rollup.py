@@ -13,9 +13,10 @@ from sparkscope.functions.columns import percent, ratio
 def lookup(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Left outer lookup; a key the dimension lacks gets nulls.
 
-    No hint is given: Spark broadcasts the dimension while its measured size is
-    below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where
-    adaptive execution splits hot keys.
+    A dimension given as literals carries its own broadcast hint (its size is known
+    in the program). For a table Spark decides by its measured size and
+    ``spark.sql.autoBroadcastJoinThreshold``; when it shuffles, adaptive execution
+    splits hot keys.
     """
     return df.join(dimension, key, "left")
 

@@ -20,7 +20,7 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 42) -> Dat
     return df.filter(hash_unit(key, f"{seed}:sample") < fraction)
 
 
-def hash_split(key: str, weights: Mapping[str, float], seed: int = 42) -> Column:
+def hash_split(key: str | Column, weights: Mapping[str, float], seed: int = 42) -> Column:
     """Name of the part each row falls in, with the given relative weights."""
     total = sum(weights.values())
     unit = hash_unit(key, f"{seed}:split")
@@ -33,7 +33,7 @@ def hash_split(key: str, weights: Mapping[str, float], seed: int = 42) -> Column
     return F.lit(names[0]) if part is None else part.otherwise(names[-1])
 
 
-def fold_number(key: str, k: int = 3, seed: int = 42) -> Column:
+def fold_number(key: str | Column, k: int = 3, seed: int = 42) -> Column:
     """Cross-validation fold 0..k-1, independent of ``hash_split``."""
     return F.floor(hash_unit(key, f"{seed}:fold") * k).cast("int")
 

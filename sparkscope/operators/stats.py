@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import ratio
 from sparkscope.operators.clean import complete_cases
-from sparkscope.operators.quantiles import quantiles
+from sparkscope.operators.quantiles import SKETCH_ACCURACY, quantiles
 from sparkscope.operators.reshape import per_column
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str], accuracy: int | None = None) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: Sequence[str], accuracy: int | None = SKETCH_ACCURACY) -> DataFrame:
     """One row per column: mean, median, sd, min, max, q1, q3 (discrete quantiles)."""
     moments = per_column(df, columns, {"mean": F.avg, "sd": F.stddev_samp, "min": F.min, "max": F.max})
     spread = quantiles(df, columns, [0.25, 0.5, 0.75], accuracy=accuracy).groupBy("column").agg(

@@ -14,8 +14,8 @@ from sparkscope.functions.columns import (
 )
 from sparkscope.operators import clean, distributions, evaluate, models, quantiles, reshape, rollup, split, stats
 from sparkscope.plans import classification, clustering
-from sparkscope.plans.adapters import part_peaks, raw_snapshots, table
-from sparkscope.plans.prepare import EXTENDED_PREDICTORS, PREDICTORS, prepare, typed_snapshots
+from sparkscope.plans.adapters import grouped_parts, part_peaks, raw_snapshots, separable_parts, table
+from sparkscope.plans.prepare import AUDIT, EXTENDED_PREDICTORS, PREDICTORS, SNAPSHOT_KEY, prepare, snapshot_order, typed_snapshots
 from sparkscope.runtime import materialize, new_path
 from sparkscope.sources import results, tables
 
@@ -38,6 +38,7 @@ def query(sql: str | None = None):
 
 SNAPSHOTS_SQL = """snapshots AS (
   SELECT CASE WHEN l_orderkey % 211 = 0 THEN NULL ELSE 'v' || l_partkey END AS video_id,
+         l_orderkey, l_partkey, l_suppkey,
          CAST(l_shipdate AS DATE) AS published_at,
          CAST([10, 23, 34, 24, 1, 2, NULL, 99, 20, 25, 26, 17][l_partkey % 12 + 1] AS DOUBLE) AS category_id,
          CASE WHEN l_orderkey % 223 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS trending_date,
@@ -113,7 +114,7 @@ def union_sql(template: str, names) -> str:
 
 @query(f"WITH {PREPARED_SQL} SELECT * FROM prepared")
 def prepare_trending(spark, sf):
-    return prepare(raw_snapshots(spark, sf), tables.category_dimension(spark))
+    return prepare(raw_snapshots(spark, sf), tables.category_dimension(spark), accuracy=None)
 
 
 @query(f"WITH {PREPARED_SQL} SELECT * FROM prepared")
@@ -125,7 +126,7 @@ def prepare_from_csv(spark, sf):
         (F.col(field.name) if field.name in raw.columns else F.lit(None)).cast(field.dataType).alias(field.name)
         for field in tables.SNAPSHOT_SCHEMA
     ]).write.option("header", True).option("escape", '"').csv(path)
-    return prepare(tables.read_csv(spark, path), tables.category_dimension(spark))
+    return prepare(tables.read_csv(spark, path), tables.category_dimension(spark), accuracy=None)
 
 
 LINEITEM_COLUMNS = ("l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,"
@@ -134,7 +135,7 @@ LINEITEM_COLUMNS = ("l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_ex
 
 @query(f"SELECT count(*) AS n_rows, 11 AS n_columns, '{LINEITEM_COLUMNS}' AS column_names FROM lineitem")
 def table_profile(spark, sf):
-    return tables.table_profile(table(spark, sf, "lineitem")).drop("n_partitions")
+    return tables.table_profile(table(spark, sf, "lineitem")).drop("n_partitions", "n_filled_partitions")
 
 
 @query("""SELECT l_returnflag, l_linestatus, count(*) AS n, max(l_extendedprice) AS max_price
@@ -244,6 +245,27 @@ def missing_audit(spark, sf):
         "comment_count": False, "published_at": False, "trending_date": False, "duration": False})
 
 
+AUDIT_ORDER = ", ".join(f"{c} NULLS LAST" for c in (
+    "view_count DESC", "likes DESC", "comment_count DESC", "duration", "category_id", "published_at"))
+
+
+@query(f"""WITH {SNAPSHOTS_SQL},
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY video_id, trending_date
+  ORDER BY {AUDIT_ORDER}, l_orderkey, l_suppkey, dislikes) AS rn FROM snapshots) WHERE rn = 1)
+SELECT count(*) FILTER (video_id IS NULL) AS video_id_na, count(*) FILTER (l_orderkey % 5 = 0) AS title_na,
+ count(*) FILTER (l_orderkey % 7 = 0) AS channel_id_na, count(*) FILTER (l_orderkey % 9 = 0) AS channel_title_na,
+ count(*) FILTER (category_id IS NULL) AS category_id_na,
+ count(*) FILTER (view_count IS NULL OR view_count = 0) AS view_count_na, count(*) FILTER (likes IS NULL) AS likes_na,
+ count(*) FILTER (dislikes IS NULL OR dislikes = 0) AS dislikes_na,
+ count(*) FILTER (comment_count IS NULL) AS comment_count_na, count(*) FILTER (published_at IS NULL) AS published_at_na,
+ count(*) FILTER (trending_date IS NULL) AS trending_date_na, count(*) FILTER (duration IS NULL) AS duration_na FROM firsts""")
+def full_audit(spark, sf):
+    """All twelve audited columns, after the duplicates are resolved."""
+    rows = typed_snapshots(raw_snapshots(spark, sf, ["l_orderkey", "l_suppkey"]))
+    unique = clean.dedup_keyed(rows, SNAPSHOT_KEY, [*snapshot_order(), "l_orderkey", "l_suppkey", "dislikes"])
+    return clean.missing_audit(unique, AUDIT)
+
+
 @query("""SELECT count(*) AS total, count(*) FILTER (l_discount <> 0) AS l_discount_present,
 count(*) FILTER (l_discount IS NULL OR l_discount = 0) AS l_discount_missing,
 round(100.0::DOUBLE * count(*) FILTER (l_discount IS NULL OR l_discount = 0) / count(*), 6) AS missing_percentage
@@ -307,7 +329,7 @@ SELECT l_orderkey, l_partkey, l_linenumber,
 def median_impute(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_tax", F.nullif("l_discount", F.lit(0)).alias("l_discount"))
-    return quantiles.impute_median(lines, {"l_tax": True, "l_discount": False})
+    return quantiles.impute_median(lines, {"l_tax": True, "l_discount": False}, accuracy=None)
 
 
 QUANTILE_COLUMNS = ["l_extendedprice", "l_quantity"]
@@ -331,9 +353,12 @@ def quantiles_interpolated(spark, sf):
     return round_columns(found, ["value"], 6)
 
 
-@query()
+@query(union_sql("""SELECT '{c}' AS "column", p, value FROM (
+  SELECT unnest([0.25, 0.5, 0.75]::DOUBLE[]) AS p, unnest(quantile_disc({c}, [0.25, 0.5, 0.75])) AS value
+  FROM lineitem)""", QUANTILE_COLUMNS))
 def quantiles_sketch(spark, sf):
-    return quantiles.approx_quantiles(table(spark, sf, "lineitem"), QUANTILE_COLUMNS, [0.25, 0.5, 0.75])
+    """The sketch, with an accuracy above the number of rows, at which it is exact."""
+    return quantiles.quantiles(table(spark, sf, "lineitem"), QUANTILE_COLUMNS, [0.25, 0.5, 0.75], accuracy=100_000_000)
 
 
 @query(f"""WITH {SNAPSHOTS_SQL} SELECT duration, CAST({SECONDS_SQL} AS INTEGER) AS seconds,
@@ -348,12 +373,13 @@ def iso_duration(spark, sf):
 
 # --- Lookup, rollup, groups ----------------------------------------------------------
 
-@query("""SELECT s_nationkey AS n_nationkey, s_suppkey, s_acctbal, n_name
-FROM supplier LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 3) ON s_nationkey = n_nationkey""")
+@query("""SELECT s_nationkey + 10 AS n_nationkey, s_suppkey, s_acctbal, n_name
+FROM supplier LEFT JOIN nation ON s_nationkey + 10 = n_nationkey""")
 def dim_lookup(spark, sf):
-    nations = table(spark, sf, "nation").filter("n_regionkey < 3").select("n_nationkey", "n_name")
+    """Keys above 24 are in no row of the dimension."""
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_name")
     suppliers = table(spark, sf, "supplier").select(
-        F.col("s_nationkey").alias("n_nationkey"), "s_suppkey", "s_acctbal")
+        (F.col("s_nationkey") + 10).alias("n_nationkey"), "s_suppkey", "s_acctbal")
     return rollup.lookup(suppliers, nations, "n_nationkey")
 
 
@@ -418,15 +444,15 @@ def rounded_description(description: DataFrame) -> DataFrame:
 
 @query(union_sql(DESCRIBE_SQL + "lineitem", MEASURES))
 def describe_numeric(spark, sf):
-    return rounded_description(stats.describe_numeric(table(spark, sf, "lineitem"), MEASURES))
+    return rounded_description(stats.describe_numeric(table(spark, sf, "lineitem"), MEASURES, accuracy=None))
 
 
 @query(f"WITH {PREPARED_SQL} " + union_sql(DESCRIBE_SQL + "prepared", PREDICTORS))
 def describe_prepared(spark, sf):
-    return rounded_description(stats.describe_numeric(materialize(prepare_trending(spark, sf)), PREDICTORS))
+    return rounded_description(stats.describe_numeric(materialize(prepare_trending(spark, sf)), PREDICTORS, accuracy=None))
 
 
-@query(union_sql("""SELECT '{c}' AS "column", CAST(b AS INTEGER) AS bin, round(lo + b * w, 6) AS log_lo,
+HISTOGRAM_SQL = """SELECT '{c}' AS "column", CAST(b AS INTEGER) AS bin, round(lo + b * w, 6) AS log_lo,
  round(lo + (b + 1) * w, 6) AS log_hi, coalesce(n, 0) AS n, n_dropped
 FROM (SELECT min(log10({c})) FILTER ({c} > 0) AS lo,
              (max(log10({c})) FILTER ({c} > 0) - min(log10({c})) FILTER ({c} > 0)) / 50 AS w,
@@ -436,17 +462,39 @@ CROSS JOIN generate_series(0, 49) g(b)
 LEFT JOIN (SELECT least(floor((log10({c}) - s.lo) / s.w), 49) AS bin, count(*) AS n
            FROM lineitem, (SELECT min(log10({c})) AS lo, (max(log10({c})) - min(log10({c}))) / 50 AS w
                            FROM lineitem WHERE {c} > 0) s
-           WHERE {c} > 0 GROUP BY 1) c ON c.bin = b""", MEASURES))
+           WHERE {c} > 0 GROUP BY 1) c ON c.bin = b"""
+
+
+@query(union_sql(HISTOGRAM_SQL, MEASURES))
 def log_histogram(spark, sf):
     return round_columns(
         distributions.log_histogram(table(spark, sf, "lineitem"), MEASURES), ["log_lo", "log_hi"], 6)
 
 
+# Columns without any positive value, and a group without one.
+SIGNED_SQL = ("(SELECT l_returnflag, -l_quantity AS negative, "
+              "CASE WHEN l_returnflag = 'R' THEN -l_tax ELSE l_extendedprice END AS mixed FROM lineitem)")
+SIGNED = ["mixed", "negative"]
+
+
+def signed_lines(spark, sf) -> DataFrame:
+    """``lineitem`` with a NaN in place of a third of the values without a logarithm."""
+    def odd(value):
+        return F.when((value <= 0) & (F.col("l_orderkey") % 3 == 0), F.lit(float("nan"))).otherwise(value)
+    mixed = F.when(F.col("l_returnflag") == "R", -F.col("l_tax")).otherwise(F.col("l_extendedprice"))
+    return table(spark, sf, "lineitem").select("l_returnflag", odd(-F.col("l_quantity")).alias("negative"), odd(mixed).alias("mixed"))
+
+
+@query(union_sql(HISTOGRAM_SQL.replace("FROM lineitem", f"FROM {SIGNED_SQL}"), SIGNED))
+def log_histogram_signed(spark, sf):
+    return round_columns(distributions.log_histogram(signed_lines(spark, sf), SIGNED), ["log_lo", "log_hi"], 6)
+
+
 BOX_COLUMNS = ["l_extendedprice", "l_quantity", "l_discount"]
 BOX_ROUNDED = ["q1", "median", "q3", "whisker_lo", "whisker_hi"]
 
 
-def box_sql(by: str = "") -> str:
+def box_sql(by: str = "", source: str = "lineitem", columns=tuple(BOX_COLUMNS)) -> str:
     key, group, rank = "", "", ""
     join = "CROSS JOIN q"
     if by:
@@ -454,7 +502,7 @@ def box_sql(by: str = "") -> str:
         rank = f", CAST(row_number() OVER (PARTITION BY \"column\" ORDER BY median, {by}) AS INTEGER) AS rank"
     return f"""SELECT *{rank} FROM (SELECT * FROM ({union_sql(f'''SELECT * FROM (
   WITH x AS (SELECT {key}CASE WHEN {{c}} > 0 THEN log10({{c}}) END AS x
-             FROM (SELECT {key}CASE WHEN {{c}} > 0 THEN {{c}} END AS {{c}} FROM lineitem)),
+             FROM (SELECT {key}CASE WHEN {{c}} > 0 THEN {{c}} END AS {{c}} FROM {source})),
   q AS (SELECT {key}quantile_cont(x, 0.25) AS a, quantile_cont(x, 0.5) AS m, quantile_cont(x, 0.75) AS b
         FROM x {group})
   SELECT {key}'{{c}}' AS "column", round(a, 6) AS q1, round(m, 6) AS median, round(b, 6) AS q3, count(x) AS n,
@@ -462,7 +510,7 @@ def box_sql(by: str = "") -> str:
     round(max(x) FILTER (x BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a)), 6) AS whisker_hi,
     count(*) FILTER (x NOT BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a)) AS n_outliers,
     count(*) FILTER (x IS NULL) AS n_dropped
-  FROM x {join} GROUP BY {key}a, m, b)''', BOX_COLUMNS)}))"""
+  FROM x {join} GROUP BY {key}a, m, b)''', columns)}))"""
 
 
 @query(box_sql())
@@ -476,6 +524,12 @@ def box_stats_by_group(spark, sf):
         distributions.box_stats(table(spark, sf, "lineitem"), BOX_COLUMNS, ["l_returnflag"]), BOX_ROUNDED, 6)
 
 
+@query(box_sql("l_returnflag", SIGNED_SQL, SIGNED))
+def box_stats_signed(spark, sf):
+    """A column and a group without positive values keep their rows."""
+    return round_columns(distributions.box_stats(signed_lines(spark, sf), SIGNED, ["l_returnflag"]), BOX_ROUNDED, 6)
+
+
 DENSITY_PAIRS = [("l_extendedprice", "l_quantity"), ("l_extendedprice", "l_tax"), ("l_quantity", "l_tax")]
 
 
@@ -710,6 +764,14 @@ def algorithm_comparison(spark, sf):
     return rule_algorithms(spark, sf)
 
 
+@query(f"""WITH {COMPARISON_SQL} SELECT scenario AS algorithm, scenario, accuracy, macro_f1, macro_precision,
+macro_recall, cv_accuracy, round(cv_accuracy - accuracy, 4) AS generalization FROM comparison
+ORDER BY macro_f1 DESC, ordinal LIMIT 1""")
+def overall_best(spark, sf):
+    comparison = saved_results(spark, sf)["comparison"]
+    return classification.overall_best({name: comparison.filter(F.col("scenario") == name) for name in RULES})
+
+
 @query(f"""WITH {COMPARISON_SQL} SELECT scenario AS algorithm, 'CV Accuracy' AS type, cv_accuracy AS value,
  round(cv_accuracy - accuracy, 4) AS generalization FROM comparison
 UNION ALL SELECT scenario, 'Test Accuracy', accuracy, round(cv_accuracy - accuracy, 4) FROM comparison""")
@@ -743,8 +805,14 @@ def csv_roundtrip(spark, sf):
 
 # --- Classification studies --------------------------------------------------------------------
 
+ALGORITHMS = {"Logistic Regression": models.LOGISTIC_SCENARIOS, "SVM": models.SVM_SCENARIOS,
+              "Random Forest": models.FOREST_SCENARIOS}
+# Classes with fewer samples are left out of the studies.
+MIN_SAMPLES = 50
+
+
 def study_table(spark, sf) -> DataFrame:
-    return classification.modelling_table(part_peaks(spark, sf), "video_id", "category_name", min_samples=25)
+    return classification.modelling_table(part_peaks(spark, sf), "video_id", "category_name", min_samples=MIN_SAMPLES)
 
 
 def study(spark, sf, scenarios) -> classification.ClassificationStudy:
@@ -766,20 +834,81 @@ def rf_study(spark, sf):
     return study(spark, sf, models.FOREST_SCENARIOS).comparison
 
 
-@query()
-def saved_study_comparison(spark, sf):
-    """Two fitted, saved and reloaded studies, compared."""
-    data = study_table(spark, sf)
-    chosen = {"Logistic Regression": models.LOGISTIC_SCENARIOS[:1], "Random Forest": models.FOREST_SCENARIOS[:1]}
-    folders = {name: new_path(spark, "study") for name in chosen}
-    for name, scenarios in chosen.items():
+def saved_studies(spark, sf) -> dict[str, str]:
+    """All scenarios of all three algorithms on separable classes, fitted and saved."""
+    data = classification.modelling_table(separable_parts(spark, sf), "video_id", "category_name", min_samples=MIN_SAMPLES)
+    folders = {name: new_path(spark, "study") for name in ALGORITHMS}
+    for name, scenarios in ALGORITHMS.items():
         classification.save_study(classification.run_study(data, "category_name", scenarios), folders[name])
-    return classification.compare_saved(spark, folders)[0]
+    return folders
+
+
+# Every part's class is certain, so all metrics are 1 wherever there are parts to test and to validate.
+PERFECT_SQL = """SELECT '{name}' AS algorithm, '{first}' AS scenario, count(*) / count(*)::DOUBLE AS accuracy,
+ count(*) / count(*)::DOUBLE AS macro_f1, count(*) / count(*)::DOUBLE AS macro_precision,
+ count(*) / count(*)::DOUBLE AS macro_recall, count(*) / count(*)::DOUBLE AS cv_accuracy, 0.0::DOUBLE AS generalization
+FROM part"""
+
+
+@query(" UNION ALL ".join(PERFECT_SQL.format(name=name, first=s[0].name) for name, s in ALGORITHMS.items()))
+def saved_study_comparison(spark, sf):
+    """Three fitted, saved and reloaded studies, compared."""
+    return classification.compare_saved(spark, saved_studies(spark, sf))[0]
+
+
+def separable_study(spark, sf, scenarios) -> DataFrame:
+    """Confusion counts on the test part and on each fold left out, of every scenario."""
+    data = classification.modelling_table(separable_parts(spark, sf), "video_id", "category_name", min_samples=MIN_SAMPLES)
+    fitted = classification.run_study(data, "category_name", scenarios)
+    tested = fitted.predictions.withColumn("fold", F.lit(-1))
+    both = tested.unionByName(fitted.validated)
+    return evaluate.confusion_counts(both, "category_name", "predicted_label", ["scenario", "fold"])
+
+
+def separable_sql(scenarios) -> str:
+    split_at, fold = unit_sql("p_partkey", "42:split"), unit_sql("p_partkey", "42:fold")
+    return " UNION ALL ".join(f"""SELECT '{s.name}' AS scenario,
+      CASE WHEN {split_at} < 0.8 THEN CAST(floor({fold} * 3) AS INTEGER) ELSE -1 END AS fold,
+      'class ' || p_partkey % 3 AS actual, 'class ' || p_partkey % 3 AS predicted, count(*) AS n
+    FROM part GROUP BY ALL""" for s in scenarios)
+
+
+@query(separable_sql(models.LOGISTIC_SCENARIOS))
+def lr_separable(spark, sf):
+    return separable_study(spark, sf, models.LOGISTIC_SCENARIOS)
+
+
+@query(separable_sql(models.SVM_SCENARIOS))
+def svc_separable(spark, sf):
+    return separable_study(spark, sf, models.SVM_SCENARIOS)
+
+
+@query(separable_sql(models.FOREST_SCENARIOS))
+def rf_separable(spark, sf):
+    return separable_study(spark, sf, models.FOREST_SCENARIOS)
 
 
 @query()
 def cv_accuracy(spark, sf):
-    return study(spark, sf, models.LOGISTIC_SCENARIOS[:1]).fold_accuracies
+    return reshape.stack_tagged(
+        {name: study(spark, sf, scenarios).fold_accuracies for name, scenarios in ALGORITHMS.items()}, "algorithm")
+
+
+def best_forest(spark, sf):
+    fitted = study(spark, sf, models.FOREST_SCENARIOS)
+    return fitted.models[fitted.best().first().scenario]
+
+
+@query()
+def rf_importance(spark, sf):
+    return models.feature_importance(spark, best_forest(spark, sf), PREDICTORS)
+
+
+@query(f"SELECT count(*) / count(*) * {len(PREDICTORS)} AS predictors, count(*) / count(*)::DOUBLE AS total FROM part")
+def rf_importance_total(spark, sf):
+    """Every predictor has an importance and they add up to one."""
+    shares = rf_importance(spark, sf)
+    return shares.agg(F.count("importance").cast("double").alias("predictors"), F.round(F.sum("importance"), 6).alias("total"))
 
 
 def fitted_forest(spark, sf):
@@ -789,12 +918,10 @@ def fitted_forest(spark, sf):
     return models.classifier_pipeline(models.FOREST_SCENARIOS[0], PREDICTORS, index).fit(train), data
 
 
-@query()
-def rf_importance(spark, sf):
-    return models.feature_importance(spark, fitted_forest(spark, sf)[0], PREDICTORS)
-
-
-@query()
+@query(f"""WITH {PEAKS_SQL}, labels AS (SELECT string_agg(category_name, ',' ORDER BY n DESC, category_name) AS labels FROM (
+  SELECT category_name, count(*) AS n FROM peaks GROUP BY category_name HAVING count(*) >= {MIN_SAMPLES}))
+SELECT 0 AS stage, 'StringIndexerModel' AS name, labels FROM labels
+UNION ALL SELECT 1, 'VectorAssembler', NULL UNION ALL SELECT 2, 'RandomForestClassificationModel', NULL""")
 def pipeline_stages(spark, sf):
     model = fitted_forest(spark, sf)[0]
     stages = [(i, name, ",".join(model.stages[0].labels) if i == 0 else None)
@@ -802,6 +929,15 @@ def pipeline_stages(spark, sf):
     return spark.createDataFrame(stages, "stage int, name string, labels string")
 
 
+@query("SELECT p_type, p_type AS label_name, count(*) AS n FROM part GROUP BY p_type")
+def label_names(spark, sf):
+    """Classes to indexes and back."""
+    parts = table(spark, sf, "part").select("p_type")
+    index = models.fit_label_index(parts, "p_type")
+    named = models.label_names(index.transform(parts), "label", "label_name", index.labels)
+    return rollup.group_counts(named, ["p_type", "label_name"])
+
+
 @query()
 def model_roundtrip(spark, sf):
     model, data = fitted_forest(spark, sf)
@@ -889,3 +1025,66 @@ def kmeans_sweep(spark, sf):
 @query()
 def wcss_summary(spark, sf):
     return clustering.cluster_sweep(part_peaks(spark, sf), "video_id")[1]
+
+
+# Groups so far apart that K-means must find them: sizes, profile and cost follow in SQL.
+GROUPS = "(p_size % 10) / 10::DOUBLE"
+GROUPED_SQL = f"""grouped AS (SELECT p_partkey AS video_id, CAST(p_partkey % 4 AS INTEGER) AS grp,
+  {", ".join(f"{a} AS {name}" for name, a in zip(EXTENDED_PREDICTORS, [
+      f"100::DOUBLE * (p_partkey % 2) + {GROUPS}", f"100::DOUBLE * (p_partkey % 4 // 2) + {GROUPS}"] * 4))} FROM part)"""
+
+
+def cost_sql(features) -> str:
+    """Sum of squared standardised distances to the group means."""
+    parts = " + ".join(f"sum(power(({c} - m_{c}) / s_{c}, 2))" for c in features)
+    means = ", ".join(f"avg({c}) OVER (PARTITION BY grp) AS m_{c}, stddev_samp({c}) OVER () AS s_{c}" for c in features)
+    return f"(SELECT round({parts}, 2) FROM (SELECT *, {means} FROM grouped))"
+
+
+FOUR_GROUPS = tuple(s for s in clustering.CLUSTER_SCENARIOS if s.k == 4)
+
+
+@query(f"WITH {GROUPED_SQL} SELECT grp, count(*) AS n FROM grouped GROUP BY grp")
+def kmeans_groups(spark, sf):
+    """Each group is one cluster: a group that K-means split or joined would show."""
+    assigned = clustering.assign_clusters(grouped_parts(spark, sf), "video_id", PREDICTORS, 4, keep=["grp"])
+    groups = rollup.group_counts(assigned, ["grp", "prediction"])
+    clusters = groups.groupBy("prediction").agg(F.count(F.lit(1)).alias("groups"))
+    return groups.join(clusters.filter("groups = 1"), "prediction", "left_semi").select("grp", "n")
+
+
+@query(f"WITH {GROUPED_SQL} SELECT 4 AS k, {cost_sql(PREDICTORS)} AS wcss")
+def elbow_groups(spark, sf):
+    return round_columns(clustering.elbow(grouped_parts(spark, sf), "video_id", ks=(4,)), ["wcss"], 2)
+
+
+@query(f"WITH {GROUPED_SQL} " + " UNION ALL ".join(
+    f"SELECT '{s.key}' AS key, '{s.name}' AS scenario, {s.k} AS k, '{s.feature_set}' AS feature_set, "
+    f"{cost_sql(clustering.FEATURE_SETS[s.feature_set])} AS wcss" for s in FOUR_GROUPS))
+def wcss_groups(spark, sf):
+    return clustering.cluster_sweep(grouped_parts(spark, sf), "video_id", FOUR_GROUPS)[1]
+
+
+@query(f"WITH {GROUPED_SQL} " + " UNION ALL ".join(
+    f"SELECT '{s.key}' AS key, count(*) AS n, " + ", ".join(
+        f"round(avg({c}), 6) AS {c}" for c in EXTENDED_PREDICTORS) + " FROM grouped GROUP BY grp" for s in FOUR_GROUPS))
+def saved_clusters(spark, sf):
+    """A saved and reloaded clustering study: sizes and means of every scenario's clusters."""
+    rows = grouped_parts(spark, sf)
+    assignments, summary = clustering.cluster_sweep(rows, "video_id", FOUR_GROUPS)
+    folder = new_path(spark, "clusters")
+    clustering.save_clusters(folder, clustering.elbow(rows, "video_id", ks=(4,)), summary, assignments)
+    overview = clustering.load_clusters(spark, folder)["overview"].drop("prediction")
+    return round_columns(overview, EXTENDED_PREDICTORS, 6)
+
+
+@query(f"""WITH {PREPARED_SQL}, counted AS (SELECT category_name FROM prepared WHERE category_name IS NOT NULL
+  GROUP BY 1 HAVING count(*) >= {MIN_SAMPLES}),
+usable AS (SELECT *, video_id || '|' || category_id AS key FROM prepared JOIN counted USING (category_name))
+SELECT CASE WHEN {unit_sql('key', '42:split')} < 0.8 THEN 'training' ELSE 'test' END AS part,
+  CAST(floor({unit_sql('key', '42:fold')} * 3) AS INTEGER) AS fold, count(*) AS n FROM usable GROUP BY ALL""")
+def composite_key_split(spark, sf):
+    """Rows of the preparation are one per item and category, so both columns decide part and fold."""
+    data = classification.modelling_table(
+        prepare_trending(spark, sf), ["video_id", "category_id"], "category_name", min_samples=MIN_SAMPLES)
+    return rollup.group_counts(data, ["part", "fold"])

@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkscope.functions.columns import round_columns
+from sparkscope.functions.columns import round_columns, string_key
 from sparkscope.operators.clean import complete_cases, frequent_classes
 from sparkscope.operators.evaluate import class_metrics, confusion_counts, fold_accuracy, macro_metrics
 from sparkscope.operators.models import Scenario, classifier_pipeline, fit_label_index, predict
@@ -24,18 +24,21 @@ METRICS = ("accuracy", "macro_f1", "macro_precision", "macro_recall")
 SPLIT = {"training": 0.8, "test": 0.2}
 
 
-def modelling_table(df: DataFrame, key: str, target: str, predictors: Sequence[str] = PREDICTORS,
+def modelling_table(df: DataFrame, key: str | Sequence[str], target: str, predictors: Sequence[str] = PREDICTORS,
                     min_samples: int = 50, folds: int = 3, seed: int = 42) -> DataFrame:
     """Rows fit for modelling with their ``part`` and ``fold``.
 
-    The narrow input is written once; what follows reads that copy. Classes with
-    few samples and incomplete rows are dropped. ``key`` must be unique; it alone
-    decides part and fold, so a rerun splits identically.
+    Classes with few samples and incomplete rows are dropped, then the narrow table is
+    written by part and fold, so that what follows reads only the files it needs.
+    ``key`` (one column or several, together unique) alone decides part and fold, so
+    a rerun splits identically.
     """
-    narrow = materialize(df.select(key, target, *predictors).withColumns({
-        "part": hash_split(key, SPLIT, seed), "fold": fold_number(key, folds, seed),
-    }), "modelling")
-    return complete_cases(frequent_classes(narrow, target, min_samples), [target, *predictors])
+    keys = [key] if isinstance(key, str) else list(key)
+    unit = keys[0] if len(keys) == 1 else string_key(*keys, sep="|")
+    narrow = df.select(*keys, target, *predictors).withColumns({
+        "part": hash_split(unit, SPLIT, seed), "fold": fold_number(unit, folds, seed)})
+    usable = complete_cases(frequent_classes(narrow, target, min_samples), [target, *predictors])
+    return materialize(usable, "modelling", ["part", "fold"])
 
 
 @dataclass(frozen=True)
@@ -44,6 +47,7 @@ class ClassificationStudy:
 
     models: Mapping[str, PipelineModel]
     predictions: DataFrame        # scenario, target, prediction, predicted_label on the test part
+    validated: DataFrame          # scenario, fold, target, prediction, predicted_label on the fold left out
     fold_accuracies: DataFrame    # scenario, fold, accuracy
     per_class: DataFrame          # scenario, class, precision, recall, f1, ...
     comparison: DataFrame         # scenario, ordinal, metrics and cv_accuracy rounded to 4 digits
@@ -96,7 +100,7 @@ def run_study(data: DataFrame, target: str, scenarios: Sequence[Scenario],
         [(i, s.name) for i, s in enumerate(scenarios, 1)], "ordinal int, scenario string")
     return ClassificationStudy(
         models={s.name: fitted[s, None] for s in scenarios},
-        predictions=tested, fold_accuracies=accuracies, per_class=per_class,
+        predictions=tested, validated=validated, fold_accuracies=accuracies, per_class=per_class,
         comparison=scenario_comparison(per_class, accuracies, ordinals),
     )
 
@@ -108,6 +112,13 @@ def compare_algorithms(best_rows: Mapping[str, DataFrame]) -> DataFrame:
     return rows.select("algorithm", "scenario", *METRICS, "cv_accuracy", gap.alias("generalization"))
 
 
+def overall_best(best_rows: Mapping[str, DataFrame]) -> DataFrame:
+    """The best algorithm by rounded macro F1; the first listed wins ties."""
+    rows = compare_algorithms(best_rows)
+    order = F.array_position(F.array(*map(F.lit, best_rows)), F.col("algorithm"))
+    return best_row(rows.withColumn("ordinal", order), "macro_f1", "ordinal").drop("ordinal")
+
+
 def save_study(study: ClassificationStudy, folder: str) -> None:
     """Keep the best scenario: its comparison row, class metrics, predictions and model.
 
@@ -124,6 +135,11 @@ def save_study(study: ClassificationStudy, folder: str) -> None:
     save_model(study.models[name], f"{folder}/model")
 
 
+def best_saved(spark: SparkSession, folders: Mapping[str, str]) -> DataFrame:
+    """The best of saved studies, without refitting."""
+    return overall_best({name: load_results(spark, folder, ["comparison"])["comparison"] for name, folder in folders.items()})
+
+
 def compare_saved(spark: SparkSession, folders: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """Algorithm comparison and class F1 by algorithm, from saved studies, without refitting."""
     saved = {name: load_results(spark, folder, ["comparison", "per_class"]) for name, folder in folders.items()}

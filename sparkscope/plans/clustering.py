@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import ratio
 from sparkscope.operators.clean import complete_cases
 from sparkscope.operators.models import assembler, minmax_scaler, standard_scaler
-from sparkscope.operators.reshape import melt
+from sparkscope.operators.reshape import melt, stack_tagged
 from sparkscope.operators.rollup import group_counts, group_means
 from sparkscope.operators.split import hash_sample
 from sparkscope.plans.prepare import EXTENDED_PREDICTORS, PREDICTORS
 from sparkscope.runtime import in_parallel, materialize, persisted
+from sparkscope.sources.results import load_results, save_results
+
+
+Key = str | Sequence[str]
+
+
+def key_columns(key: Key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
 
 @dataclass(frozen=True)
@@ -40,7 +48,8 @@ CLUSTER_SCENARIOS = (
     ClusterScenario("Scenario D: k=6, extended features", 6, "extended"),
 )
 ELBOW_K = tuple(range(2, 11))
-ROWS_PER_TASK = 200_000
+# Tasks of a fit: fixed, so that seeding does not depend on the number of rows. Raise it with the cluster.
+FIT_TASKS = 32
 SUMMARY_SCHEMA = "key string, scenario string, k int, feature_set string, wcss double"
 
 
@@ -52,20 +61,19 @@ def scaled_features(df: DataFrame, features: Sequence[str], keep: Sequence[str]
     return Pipeline(stages=[assembler(features), scaler]).fit(usable).transform(usable).drop("features_raw")
 
 
-def cluster_input(df: DataFrame, key: str, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def cluster_input(df: DataFrame, key: Key, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Complete rows with the key and the features, written once for the passes of a study."""
-    columns = dict.fromkeys([key, *features, *keep])
+    columns = dict.fromkeys([*key_columns(key), *features, *keep])
     return materialize(complete_cases(df, features).select(*columns), "clustering")
 
 
-def fixed_layout(df: DataFrame, key: str, rows: int) -> DataFrame:
+def fixed_layout(df: DataFrame, key: Key, tasks: int = FIT_TASKS) -> DataFrame:
     """The same rows in the same tasks in the same order, whatever the input layout.
 
     K-means seeding samples per partition, so without this a seed fixes nothing.
-    The number of tasks follows from the row count alone. ``key`` should be
-    unique, which also spreads the rows evenly.
+    ``key`` (one column or several) should be unique, which also spreads the rows evenly.
     """
-    return df.repartition(max(1, -(-rows // ROWS_PER_TASK)), key).sortWithinPartitions(key)
+    return df.repartition(tasks, *key_columns(key)).sortWithinPartitions(*key_columns(key))
 
 
 def fit_kmeans(scaled: DataFrame, k: int, seed: int = 42) -> KMeansModel:
@@ -73,23 +81,24 @@ def fit_kmeans(scaled: DataFrame, k: int, seed: int = 42) -> KMeansModel:
                   initSteps=5).fit(scaled)
 
 
-def scaled_input(data: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
-    return fixed_layout(scaled_features(data, features, data.columns), key, data.count())
+def assign_clusters(df: DataFrame, key: Key, features: Sequence[str], k: int, seed: int = 42,
+                    keep: Sequence[str] = (), tasks: int = FIT_TASKS) -> DataFrame:
+    """``key, features..., keep..., prediction``, clustered on standardised features.
 
-
-def assign_clusters(df: DataFrame, key: str, features: Sequence[str], k: int, seed: int = 42,
-                    keep: Sequence[str] = ()) -> DataFrame:
-    """``key, features..., keep..., prediction``, clustered on standardised features."""
-    scaled = scaled_input(cluster_input(df, key, features, keep), key, features)
-    with persisted(scaled) as held:
+    Only the fit needs the fixed layout; assigning works on the rows where they are.
+    """
+    data = cluster_input(df, key, features, keep)
+    scaled = scaled_features(data, features, data.columns)
+    with persisted(fixed_layout(scaled, key, tasks)) as held:
         model = fit_kmeans(held, k, seed)
     return model.transform(scaled).drop("features")
 
 
-def elbow(df: DataFrame, key: str, features: Sequence[str] = PREDICTORS, ks: Sequence[int] = ELBOW_K,
-          seed: int = 42) -> DataFrame:
+def elbow(df: DataFrame, key: Key, features: Sequence[str] = PREDICTORS, ks: Sequence[int] = ELBOW_K,
+          seed: int = 42, tasks: int = FIT_TASKS) -> DataFrame:
     """``k, wcss``. The features are scaled once for all k."""
-    with persisted(scaled_input(cluster_input(df, key, features), key, features)) as held:
+    data = cluster_input(df, key, features)
+    with persisted(fixed_layout(scaled_features(data, features, data.columns), key, tasks)) as held:
         def cost(k: int) -> float:
             return float(fit_kmeans(held, k, seed).summary.trainingCost)
 
@@ -97,8 +106,8 @@ def elbow(df: DataFrame, key: str, features: Sequence[str] = PREDICTORS, ks: Seq
     return df.sparkSession.createDataFrame(rows, "k int, wcss double")
 
 
-def cluster_sweep(df: DataFrame, key: str, scenarios: Sequence[ClusterScenario] = CLUSTER_SCENARIOS,
-                  seed: int = 42) -> tuple[dict[str, DataFrame], DataFrame]:
+def cluster_sweep(df: DataFrame, key: Key, scenarios: Sequence[ClusterScenario] = CLUSTER_SCENARIOS,
+                  seed: int = 42, tasks: int = FIT_TASKS) -> tuple[dict[str, DataFrame], DataFrame]:
     """Assignments per scenario key, and the rounded WCSS table.
 
     Costs of different feature sets are not comparable: more features, more variance.
@@ -109,8 +118,8 @@ def cluster_sweep(df: DataFrame, key: str, scenarios: Sequence[ClusterScenario]
     data = cluster_input(df, key, list(dict.fromkeys(f for name in sets for f in FEATURE_SETS[name])))
     for feature_set in sets:
         chosen = [s for s in scenarios if s.feature_set == feature_set]
-        scaled = scaled_input(data, key, FEATURE_SETS[feature_set])
-        with persisted(scaled) as held:
+        scaled = scaled_features(data, FEATURE_SETS[feature_set], data.columns)
+        with persisted(fixed_layout(scaled, key, tasks)) as held:
             fitted = in_parallel(df.sparkSession, lambda s: fit_kmeans(held, s.k, seed), chosen)
         for scenario, model in zip(chosen, fitted):
             costs[scenario.key] = float(model.summary.trainingCost)
@@ -120,6 +129,28 @@ def cluster_sweep(df: DataFrame, key: str, scenarios: Sequence[ClusterScenario]
     return assignments, summary
 
 
+def cluster_overview(assignments: Mapping[str, DataFrame], features: Sequence[str] = EXTENDED_PREDICTORS,
+                     cluster: str = "prediction") -> DataFrame:
+    """``key, cluster, n, means...``: size and feature means of every cluster of every scenario.
+
+    A feature that a scenario does not have is null in its rows.
+    """
+    def one(assigned: DataFrame) -> DataFrame:
+        own = [name for name in features if name in assigned.columns]
+        return assigned.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), *[F.avg(name).alias(name) for name in own])
+
+    return stack_tagged({key: one(assigned) for key, assigned in assignments.items()}, "key")
+
+
+def save_clusters(folder: str, curve: DataFrame, summary: DataFrame, assignments: Mapping[str, DataFrame]) -> None:
+    """Keep a clustering study: elbow curve, WCSS summary, sizes and means of all scenarios."""
+    save_results({"elbow": curve, "summary": summary, "overview": cluster_overview(assignments)}, folder)
+
+
+def load_clusters(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return load_results(spark, folder, ["elbow", "summary", "overview"])
+
+
 def cluster_sizes(assigned: DataFrame, cluster: str = "prediction") -> DataFrame:
     return group_counts(assigned, [cluster]).orderBy(cluster)
 

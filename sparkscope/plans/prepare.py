@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import clean_names, coerce, duration_seconds
 from sparkscope.operators.clean import dedup_keyed, require
-from sparkscope.operators.quantiles import impute_median
+from sparkscope.operators.quantiles import SKETCH_ACCURACY, impute_median
 from sparkscope.operators.rollup import add_ratios, lookup, peak_rollup
 from sparkscope.runtime import materialize
 
@@ -61,21 +61,25 @@ def typed_snapshots(raw: DataFrame) -> DataFrame:
 
 
 def clean_snapshots(raw: DataFrame, order: Sequence[Column] | None = None, include_days: bool = False,
-                    accuracy: int | None = None) -> DataFrame:
+                    accuracy: int | None = SKETCH_ACCURACY) -> DataFrame:
     """One complete row per item and day.
 
-    Rows without a key or a view count are dropped before the duplicates are
-    resolved. As views sort first and nulls last, a row without views is kept only
-    if its key has no other, so the result is the same as filtering afterwards,
-    and null keys never meet in one task.
+    Rows without a key are dropped before the duplicates are resolved, so null keys
+    never meet in one task. In the default order views sort first and nulls last, so
+    a row without views is kept only if its key has no other and may go beforehand
+    too; with any other ``order`` it goes afterwards.
 
-    The deduplicated, narrow table is written once; the median passes and the
-    final read then scan that copy instead of repeating the dedup shuffle.
+    With the default sketch for the medians nothing runs before the result is asked
+    for. Exact medians (``accuracy=None``) take several passes, so the deduplicated,
+    narrow table is written once for them.
     """
     needed = ["video_id", "category_id", "view_count", "likes", "comment_count", "duration", "published_at",
               "trending_date"]
-    snapshots = require(typed_snapshots(raw).select(*needed), [*SNAPSHOT_KEY, "view_count"])
-    unique = materialize(dedup_keyed(snapshots, SNAPSHOT_KEY, order or snapshot_order()), "snapshots")
+    before = [*SNAPSHOT_KEY] if order else [*SNAPSHOT_KEY, "view_count"]
+    snapshots = require(typed_snapshots(raw).select(*needed), before)
+    unique = require(dedup_keyed(snapshots, SNAPSHOT_KEY, order or snapshot_order()), ["view_count"])
+    if accuracy is None:
+        unique = materialize(unique, "snapshots")
     filled = impute_median(unique, IMPUTED, accuracy=accuracy)
     return filled.withColumns({
         "category_id": F.coalesce(F.col("category_id"), F.lit(UNKNOWN_CATEGORY)).cast("int"),
@@ -86,7 +90,7 @@ def clean_snapshots(raw: DataFrame, order: Sequence[Column] | None = None, inclu
 
 
 def prepare(raw: DataFrame, categories: DataFrame, include_days: bool = False,
-            accuracy: int | None = None) -> DataFrame:
+            accuracy: int | None = SKETCH_ACCURACY) -> DataFrame:
     """Raw snapshots to peak rows with category name and engagement rates.
 
     The category name depends on the id alone, so it is looked up after the

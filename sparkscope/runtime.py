@@ -7,8 +7,8 @@ Two rules of the library live here:
   survives the loss of executors, and (unlike cached rows) keeps column pruning
   for the passes that follow.
 * A summary table is broadcast only after its size has been measured. Beyond the
-  limit the join is shuffled, with the detail side salted so that one hot key
-  is spread over many tasks.
+  limit it is an ordinary shuffled join of a written table, whose hot keys adaptive
+  execution splits.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_MAX_BYTES = 32 * 1024 * 1024
-SALTS = 64
 
 _local_dirs: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
@@ -55,25 +54,40 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def discard_written(spark: SparkSession) -> int:
+def discard_written(spark: SparkSession, since: int = 0) -> int:
     """Delete the intermediate tables this session wrote; returns how many.
 
     Call it when no frame built on them is needed any more. Only paths handed out
-    by ``new_path`` are touched.
+    by ``new_path`` are touched, from the number ``since`` on. Deleting needs a
+    session with a Spark context.
     """
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     configuration = spark.sparkContext._jsc.hadoopConfiguration()
-    paths = _written.pop(spark.sparkContext.applicationId, [])
+    written = _written.get(spark.sparkContext.applicationId, [])
+    paths, written[since:] = written[since:], []
     for path in map(hadoop, paths):
         path.getFileSystem(configuration).delete(path, True)
     return len(paths)
 
 
-def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession):
+    """Delete on leaving what was written to the shared folder inside the block.
+
+    Results must be saved, or have been read, before the block ends.
+    """
+    before = len(_written.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        discard_written(spark, before)
+
+
+def materialize(df: DataFrame, label: str = "table", partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of that copy."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -122,15 +136,12 @@ def join_measured(detail: DataFrame, summary: DataFrame, size: int, on: Sequence
     """Join to a summary of known size in bytes.
 
     Up to ``max_bytes`` it is broadcast, so the detail side is not shuffled at
-    all. Beyond that each summary row is repeated per salt and the detail rows
-    are spread over the salts by the partition they come from, so that a hot key
-    lands in ``SALTS`` tasks.
+    all. Beyond that both sides are shuffled once; ``summary`` should be a written
+    table, so that adaptive execution may split a hot key's rows over many tasks.
     """
     if size <= max_bytes:
         return equal_keys(detail, F.broadcast(summary), on, how, extra)
-    salted = detail.withColumn("__salt", F.spark_partition_id() % SALTS)
-    spread = summary.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return equal_keys(salted, spread, [*on, "__salt"], how, extra).drop("__salt")
+    return equal_keys(detail, summary.hint("merge"), on, how, extra)
 
 
 def in_parallel(spark: SparkSession, function: Callable, jobs: Sequence, width: int = 4) -> list:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkscope.runtime import BROADCAST_MAX_BYTES
+
 # Columns of a raw snapshot file, in file order.
 SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("video_id", T.StringType()),
@@ -69,14 +71,17 @@ CATEGORY_NAMES = {
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = SNAPSHOT_SCHEMA,
-             header: bool = True, multi_line: bool = False) -> DataFrame:
+             header: bool = True, multi_line: bool = True) -> DataFrame:
     """Scan CSV text with a declared schema; ``schema=None`` infers one (an extra pass).
 
-    By default large files are split between tasks, which requires that no quoted
-    value holds a line break. ``multi_line`` accepts such values, but then each
-    file is read by a single task: give it many files, not one big one.
+    A header whose names or order differ from the schema is an error, never read by
+    position. Quoted values may hold line breaks; each file is then read by a single
+    task, so give it many files, not one big one. ``multi_line=False`` splits large
+    files between tasks: a row that a line break cuts, or a value that does not parse,
+    is then an error when it is read (``FAILFAST``).
     """
     reader = spark.read.option("header", header).option("escape", '"').option("multiLine", multi_line)
+    reader = reader.option("enforceSchema", not header).option("mode", "PERMISSIVE" if multi_line else "FAILFAST")
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     return reader.csv(path)
 
@@ -88,8 +93,11 @@ def register(df: DataFrame, name: str) -> DataFrame:
 
 
 def inline_dimension(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
-    """A small lookup table given as literals in the program."""
-    return spark.createDataFrame(list(rows), schema)
+    """A lookup table given as literals in the program, marked for broadcast if these are small."""
+    rows = list(rows)
+    small = sum(len(repr(row)) for row in rows) <= BROADCAST_MAX_BYTES
+    frame = spark.createDataFrame(rows, schema)
+    return F.broadcast(frame) if small else frame
 
 
 def category_dimension(spark: SparkSession) -> DataFrame:
@@ -97,11 +105,12 @@ def category_dimension(spark: SparkSession) -> DataFrame:
 
 
 def table_profile(df: DataFrame) -> DataFrame:
-    """One row: rows, columns, column names, and partitions that hold rows."""
+    """One row: rows, columns, column names, partitions, and how many of these hold rows."""
     partition = F.spark_partition_id()
     return df.select(partition.alias("p")).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.lit(len(df.columns)).alias("n_columns"),
         F.lit(",".join(df.columns)).alias("column_names"),
-        F.count_distinct("p").alias("n_partitions"),
+        F.lit(df.rdd.getNumPartitions()).alias("n_partitions"),
+        F.count_distinct("p").alias("n_filled_partitions"),
     )

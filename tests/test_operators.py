@@ -92,8 +92,8 @@ def test_summary_join_switches_plan_on_measured_size(spark):
     small = runtime.join_summary(detail, summary, ["k"])
     large = runtime.join_summary(detail, summary, ["k"], max_bytes=500)
     plans = [frame._jdf.queryExecution().optimizedPlan().toString() for frame in (small, large)]
-    assert "broadcast" in plans[0] and "__salt" not in plans[0]
-    assert "broadcast" not in plans[1] and "__salt" in plans[1]
+    assert "broadcast" in plans[0]
+    assert "broadcast" not in plans[1] and "explode" not in plans[1]
     assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
 
 

@@ -3,10 +3,16 @@
 import pytest
 
 import __spark_entry__ as contract
+from sparkscope.plans import catalog
 from tests.oracle import duck, spark_rows, sql_rows
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+# The corpus operators have tests of their own; the library's must pass without them.
+QUERIES = {name: query for name, query in contract.queries().items() if name not in contract.CORPUS_QUERIES}
+SQL = {name: sql for name, sql in contract.oracle_sql().items() if name in QUERIES}
+# Queries whose classes are too small at the smallest scale; they are compared at the next.
+LARGER = {"lr_separable", "svc_separable", "rf_separable", "saved_study_comparison", "pipeline_stages", "rf_importance_total",
+          "composite_key_split"}
 
 
 @pytest.fixture(scope="module")
@@ -14,13 +20,20 @@ def connection():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", sorted(set(SQL) - LARGER))
 def test_matches_sql(spark, connection, name):
     assert spark_rows(QUERIES[name](spark, SF)) == sql_rows(connection, SQL[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"svc_study", "rf_study"}))
-def test_runs(spark, name):
+@pytest.mark.parametrize("name", sorted(LARGER))
+def test_matches_sql_at_the_next_scale(spark, name):
+    larger = SF.replace("0.001", "0.01")
+    assert spark_rows(QUERIES[name](spark, larger)) == sql_rows(duck(larger), SQL[name])
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+def test_runs(spark, name, monkeypatch):
+    monkeypatch.setattr(catalog, "MIN_SAMPLES", 25)
     assert QUERIES[name](spark, SF).count() > 0
 
 

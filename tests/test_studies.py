@@ -129,7 +129,7 @@ def test_scaled_features(spark):
 def test_clusters_and_cost(spark):
     peaks = part_peaks(spark, SF)
     data = clustering.cluster_input(peaks, "video_id", PREDICTORS)
-    scaled = clustering.scaled_input(data, "video_id", PREDICTORS)
+    scaled = clustering.scaled_features(data, PREDICTORS, data.columns)
     model = clustering.fit_kmeans(scaled, 4)
     assigned = model.transform(scaled)
     centers = F.array(*[F.array(*map(F.lit, map(float, c))) for c in model.clusterCenters()])
