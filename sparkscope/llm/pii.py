@@ -113,8 +113,8 @@ def scan(batches: Iterator[pa.RecordBatch], reach: int) -> Iterator[pa.RecordBat
             own = base_spans(text)
             spans.append([{"low": a, "kind": k, "high": b} for a, k, b in own])
             around.append(contexts(text, own, reach))
-        yield pa.record_batch([batch.column("row"), batch.column("doc_id"), pa.array(spans, SPANS_TYPE),
-                               pa.array(around, CONTEXTS_TYPE)], ["row", "doc_id", "spans", "around"])
+        yield pa.record_batch([*(batch.column(c) for c in ("row", "doc_id", "text_hash")), pa.array(spans, SPANS_TYPE),
+                               pa.array(around, CONTEXTS_TYPE)], ["row", "doc_id", "text_hash", "spans", "around"])
 
 
 def term_hash(terms: list[str]) -> np.ndarray:
@@ -155,14 +155,15 @@ def document_counts(docs: DataFrame, wanted: DataFrame, limit: int) -> DataFrame
 def personal_data(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE,
                   remove: float = REMOVE, broadcast_limit: int = BROADCAST_MAX_BYTES, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """(row, doc_id, spans) per document; spans are sorted (low, kind number, high, action)."""
+    """(row, doc_id, text_hash, spans) per document; spans are sorted (low, kind number, high, action)."""
     ship(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
                        F.col(text_col).cast("binary").alias("text"))
     scanned = materialize(rows.mapInArrow(
         lambda batches: scan(batches, reach),
-        f"row bigint, doc_id {id_type}, spans array<struct<low:bigint,kind:bigint,high:bigint>>, "
+        f"row bigint, doc_id {id_type}, text_hash bigint, spans array<struct<low:bigint,kind:bigint,high:bigint>>, "
         "around array<struct<entity:string,context:string,terms:array<struct<term:string,low:bigint,high:bigint>>>>"), "scanned")
     total = scanned.count()
     near = scanned.where(F.size("around") > 0).select("row", F.explode("around").alias("c"))
@@ -190,7 +191,8 @@ def personal_data(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, g
     base = F.transform("spans", lambda x: F.struct(x["low"].alias("low"), x["kind"].alias("kind"), x["high"].alias("high"),
                                                    F.lit("remove").alias("action")))
     everything = F.when(F.col("added").isNull(), base).otherwise(F.array_sort(F.concat(base, "added")))
-    return scanned.join(added, F.col("row") == F.col("added_row"), "left").select("row", "doc_id", everything.alias("spans"))
+    return scanned.join(added, F.col("row") == F.col("added_row"), "left").select(
+        "row", "doc_id", "text_hash", everything.alias("spans"))
 
 
 def mask(text: str, spans: list) -> str:
@@ -207,22 +209,22 @@ def mask(text: str, spans: list) -> str:
 
 
 def sanitised(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` with every found span masked in its text; texts are matched by id and content, not moved unless masked."""
+    """``docs`` with every found span masked in its text; spans are matched by id and text hash."""
     id_col, text_col = settings.get("id_col", "doc_id"), settings.get("text_col", "text")
-    kept = docs.withColumn("__row", F.monotonically_increasing_id())
-    found = materialize(personal_data(docs, **settings).where(F.size("spans") > 0).select(
-        F.col("row").alias("__found"), F.col("spans").alias("__spans")), "found")
-    joined = kept.join(sized(found), F.col("__row") == F.col("__found"), "left").drop("__row", "__found")
-    place = docs.columns.index(text_col)
+    found = personal_data(docs, **settings).where(F.size("spans") > 0).select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"))
+    found = sized(materialize(found.dropDuplicates(["__id", "__hash"]), "found"))
+    own = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    joined = docs.join(found, F.col(id_col).eqNullSafe(F.col("__id")) & (own == F.col("__hash")), "left")
+    columns = list(docs.columns)
+    place = columns.index(text_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, spans = batch.column(text_col).to_pylist(), batch.column("__spans").to_pylist()
             done = pa.array([mask(t, s) if s and t is not None else t for t, s in zip(texts, spans, strict=True)], pa.string())
-            columns = [done if i == place else batch.column(i) for i in range(len(docs.columns))]
-            yield pa.record_batch(columns, docs.columns)
+            yield pa.record_batch([done if i == place else batch.column(i) for i in range(len(columns))], columns)
 
-    assert id_col in docs.columns
     return joined.mapInArrow(apply, docs.schema)
 
 
