@@ -130,7 +130,7 @@ def with_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def document_counts(docs: DataFrame, wanted: DataFrame, limit: int) -> DataFrame:
     """(hash, docs): in how many texts each wanted term hash occurs, over all texts."""
     small = wanted.count() * 8 <= limit
-    only = np.sort(np.array([row[0] for row in wanted.collect()], np.int64)) if small else None
+    only = np.sort(wanted.toArrow()["hash"].to_numpy()) if small else None
     sent = docs.sparkSession.sparkContext.broadcast(only)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
