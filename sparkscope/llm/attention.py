@@ -17,10 +17,10 @@ import io
 
 import numpy as np
 
-BLOCK = 32
+BLOCK = 16
 DIM = 16
 #: Subwords that have an own slot of the softmax, and an own input embedding.
-HEAD, TYPES = 160, 1024
+HEAD, TYPES = 128, 1024
 SMOOTH = 20.0
 FIELDS = ("emb", "wq", "wk", "wv", "rel", "wo", "bo")
 
@@ -84,33 +84,31 @@ def block_starts(doc_start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
 _DISTANCE = BLOCK + np.arange(BLOCK)[:, None] - np.arange(2 * BLOCK)[None, :]  # query minus key
 
 
+_FUTURE = np.where(_DISTANCE >= 0, 0, -1e9).astype(np.float32)
+
+
 def context(inputs: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Key positions of each block, the (query, key) mask and which targets exist."""
+    """Key positions of each block, which blocks begin a text (nothing before them), and which targets exist."""
     keys = first[:, None] + np.arange(-BLOCK, BLOCK)
-    inside = (keys >= low[:, None]) & (keys < high[:, None])
-    mask = inside[:, None, :] & (_DISTANCE >= 0)
-    return np.clip(keys, 0, len(inputs) - 1), mask, keys[:, BLOCK:] < high[:, None]
+    return np.clip(keys, 0, len(inputs) - 1), first == low, keys[:, BLOCK:] < high[:, None]
 
 
-def forward(p: dict, f: Frequencies, types: np.ndarray, classes: np.ndarray, mask: np.ndarray) -> tuple:
-    """Natural log probabilities of the slots at each query; ``types``, ``classes``: of keys."""
+def forward(p: dict, f: Frequencies, types: np.ndarray, classes: np.ndarray, opening: np.ndarray) -> tuple:
+    """Unnormalised log probabilities of the slots at each query; ``types``, ``classes``: of keys."""
     x = p["emb"][types]
     q, k, v = (p["emb"] @ p[w] for w in ("wq", "wk", "wv"))
     q, k, v = q[types[:, BLOCK:]], k[types], v[types]
     score = q @ k.swapaxes(1, 2)
     score *= DIM ** -0.5
-    score += p["rel"][np.maximum(_DISTANCE, 0)]
-    score[~mask] = -1e9
-    score -= score.max(axis=2, keepdims=True)
+    score += p["rel"][np.maximum(_DISTANCE, 0)] + _FUTURE
+    score[opening, :, :BLOCK] = -1e9
+    score -= score.max(axis=2, keepdims=True)  # a query sees itself at least
     np.exp(score, out=score)
-    score *= mask
-    score /= score.sum(axis=2, keepdims=True) + 1e-9
+    score /= score.sum(axis=2, keepdims=True)
     h = score @ v
     h += x[:, BLOCK:]
     z = h.reshape(-1, DIM) @ p["wo"]
-    z += p["bo"]
-    z += f.bigram[classes[:, BLOCK:].ravel()]
-    z -= z.max(axis=1, keepdims=True)
+    z += (f.bigram + p["bo"])[classes[:, BLOCK:].ravel()]
     return z, (x, q, k, v, score, h)
 
 
@@ -124,8 +122,10 @@ def log_probabilities(p: dict, f: Frequencies, tokens: np.ndarray, doc_start: np
     first, low, high = block_starts(doc_start)
     for at in range(0, len(first), batch):
         part = slice(at, at + batch)
-        keys, mask, real = context(inputs, first[part], low[part], high[part])
-        z, _ = forward(p, f, types[keys], classes[keys], mask)
+        keys, opening, real = context(inputs, first[part], low[part], high[part])
+        z, _ = forward(p, f, types[keys], classes[keys], opening)
+        if z.max() > 80:  # exp must stay finite; trained logits are far below
+            z -= z.max(axis=1, keepdims=True)
         targets = keys[:, BLOCK:].ravel()
         picked = z[np.arange(len(z)), slots[targets]]
         picked -= np.log(np.exp(z, out=z).sum(axis=1))
@@ -136,9 +136,10 @@ def log_probabilities(p: dict, f: Frequencies, tokens: np.ndarray, doc_start: np
     return out / np.float32(np.log(10))
 
 
-def gradients(p: dict, f: Frequencies, types: np.ndarray, classes: np.ndarray, mask: np.ndarray, slots: np.ndarray,
+def gradients(p: dict, f: Frequencies, types: np.ndarray, classes: np.ndarray, opening: np.ndarray, slots: np.ndarray,
               real: np.ndarray) -> dict[str, np.ndarray]:
-    z, (x, q, k, v, share, h) = forward(p, f, types, classes, mask)
+    z, (x, q, k, v, share, h) = forward(p, f, types, classes, opening)
+    z -= z.max(axis=1, keepdims=True)
     dz = np.exp(z, out=z)
     dz /= dz.sum(axis=1, keepdims=True)
     dz[np.arange(len(dz)), slots.ravel()] -= 1
@@ -168,7 +169,7 @@ class Trainer:
         self.m = {k: np.zeros_like(x) for k, x in p.items()}
         self.v = {k: np.zeros_like(x) for k, x in p.items()}
 
-    def learn(self, tokens: np.ndarray, doc_start: np.ndarray, start_id: int, chosen: np.ndarray, batch: int = 64) -> None:
+    def learn(self, tokens: np.ndarray, doc_start: np.ndarray, start_id: int, chosen: np.ndarray, batch: int = 128) -> None:
         """One step per ``batch`` of the chosen blocks."""
         inputs = np.empty_like(tokens)
         inputs[1:] = tokens[:-1]
@@ -177,8 +178,8 @@ class Trainer:
         first, low, high = (x[chosen] for x in block_starts(doc_start))
         for at in range(0, len(first), batch):
             part = slice(at, at + batch)
-            keys, mask, real = context(inputs, first[part], low[part], high[part])
-            g = gradients(self.p, self.f, types[keys], classes[keys], mask, slots[keys[:, BLOCK:]], real)
+            keys, opening, real = context(inputs, first[part], low[part], high[part])
+            g = gradients(self.p, self.f, types[keys], classes[keys], opening, slots[keys[:, BLOCK:]], real)
             self.t += 1
             self.seen += int(real.sum())
             for k in FIELDS:

@@ -39,14 +39,48 @@ from sparkscope.llm.textkit import Words, blocks, mix, text_values
 from sparkscope.llm.token_scan import END_ID, RANKS_FILE, encoder
 from sparkscope.runtime import materialize
 
-CHUNK_BYTES = 4 << 20
-ROUNDS, SHARE = 3, 16
-RATES = (0.01, 0.006, 0.003)
+CHUNK_BYTES = 6 << 20
+ROUNDS, SHARE = 2, 24
+RATES = (0.01, 0.004)
+#: Words whose subwords a worker remembers between chunks, and the longest of them.
+REMEMBERED, REMEMBERED_BYTES = 200_000, 24
 WORD_SHARE = 0.5
 END_HASH = 1
 AVERAGERS = 16
 CHUNK_FIELDS = ("chunk bigint, held_out array<boolean>, n_tokens array<bigint>, words binary, hashes array<bigint>, "
-                "counts array<bigint>, lengths binary, subwords binary")
+                "counts array<bigint>, n_words bigint, lengths binary, subwords binary")
+
+
+_known_words: dict[bytes, bytes] = {}
+_ZSTD = pa.Codec("zstd")
+
+
+def packed(values: np.ndarray) -> pa.Array:
+    return pa.array([_ZSTD.compress(values.tobytes(), asbytes=True)], pa.binary())
+
+
+def unpacked(value: pa.Scalar, kind: str, size: int) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(_ZSTD.decompress(value.as_py(), size * width, asbytes=True), kind)
+
+
+def subword_ids(encoding, word: bytes) -> bytes:
+    """The subword ids of a word, as bytes of 16-bit numbers."""
+    ids = _known_words.get(word)
+    if ids is None:
+        ids = np.array(encoding.encode_ordinary(" " + word.decode("utf-8", "replace")), "<u2").tobytes()
+        if len(word) <= REMEMBERED_BYTES:
+            if len(_known_words) >= REMEMBERED:
+                _known_words.clear()
+            _known_words[word] = ids
+    return ids
+
+
+def block_hashes(texts: list[bytes]) -> tuple[list[Words], np.ndarray, np.ndarray]:
+    """Words of small blocks of the texts, all their hashes, and the number of words of each text."""
+    parts = [Words(texts[low:high]) for low, high in blocks(texts)]
+    none = np.zeros(0, np.uint64)
+    return parts, np.concatenate([none, *(x.hashes() for x in parts)]), np.concatenate([np.zeros(0, np.int64), *(x.counts for x in parts)])
 
 
 def chunked(batches: Iterator[pa.RecordBatch], ranks_file: str, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -55,13 +89,10 @@ def chunked(batches: Iterator[pa.RecordBatch], ranks_file: str, chunk_bytes: int
     for batch in batches:
         texts, held = text_values(batch.column("text")), batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         for low, high in blocks(texts, chunk_bytes):
-            words = Words(texts[low:high])
-            if len(words):
-                hashes, first, index = np.unique(words.hashes(), return_index=True, return_inverse=True)
-            else:
-                hashes, first, index = np.zeros(0, np.uint64), [], np.zeros(0, np.int64)
+            parts, own_hashes, sizes = block_hashes(texts[low:high])
+            hashes, first, index = np.unique(own_hashes, return_index=True, return_inverse=True)
             end = len(hashes)
-            sizes = words.counts + 1
+            sizes = sizes + 1
             stream = np.full(sizes.sum(), end, np.int32)
             last = np.cumsum(sizes) - 1
             inside = np.ones(len(stream), bool)
@@ -69,18 +100,20 @@ def chunked(batches: Iterator[pa.RecordBatch], ranks_file: str, chunk_bytes: int
             stream[inside] = index
             learned = np.repeat(~held[low:high], sizes)
             counts = np.bincount(stream[learned], minlength=end + 1)
-            ids = [encoding.encode_ordinary(" " + words.bytes_of(i).decode("utf-8", "replace")) for i in first] + [[END_ID]]
-            lengths = np.array([len(x) for x in ids], np.int32)
+            begin = np.cumsum([0, *map(len, parts)])
+            at = np.searchsorted(begin, first, "right") - 1
+            ids = [subword_ids(encoding, parts[k].bytes_of(i - begin[k])) for k, i in zip(at.tolist(), first.tolist(), strict=True)]
+            ids.append(np.array([END_ID], "<u2").tobytes())
+            lengths = np.array([len(x) // 2 for x in ids], np.int32)
             own = pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), batch.column("doc_id")[low:high])
             lists = [pa.array([x.tolist()], pa.list_(kind)) for x, kind in (
                 (held[low:high], pa.bool_()), (sizes, pa.int64()))]
             hashed = np.append(hashes, np.uint64(END_HASH)).view(np.int64)
             whole = [pa.ListArray.from_arrays(pa.array([0, end + 1], pa.int32()), pa.array(x)) for x in (hashed, counts)]
             yield pa.record_batch([
-                own, pa.array([number], pa.int64()), *lists, pa.array([stream.tobytes()], pa.binary()), *whole,
-                pa.array([lengths.tobytes()], pa.binary()),
-                pa.array([np.concatenate([np.array(x, "<u2") for x in ids]).tobytes()], pa.binary())],
-                ["doc_ids", "chunk", "held_out", "n_tokens", "words", "hashes", "counts", "lengths", "subwords"])
+                own, pa.array([number], pa.int64()), *lists, packed(stream), *whole,
+                pa.array([end + 1], pa.int64()), packed(lengths), packed(np.frombuffer(b"".join(ids), "<u2"))],
+                ["doc_ids", "chunk", "held_out", "n_tokens", "words", "hashes", "counts", "n_words", "lengths", "subwords"])
             number += 1
 
 
@@ -92,20 +125,20 @@ class Stream:
             return batch.column(name)[row]
         self.held = np.array(value("held_out").as_py(), bool)
         self.sizes = value("n_tokens").values.to_numpy() if len(self.held) else np.zeros(0, np.int64)
-        self.words = np.frombuffer(value("words").as_py(), np.int32)
-        lengths = np.frombuffer(value("lengths").as_py(), np.int32).astype(np.int64)
-        subwords = np.frombuffer(value("subwords").as_py(), "<u2")
+        self.words = unpacked(value("words"), "<i4", int(self.sizes.sum()))
+        lengths = unpacked(value("lengths"), "<i4", value("n_words").as_py()).astype(np.int64)
+        subwords = unpacked(value("subwords"), "<u2", int(lengths.sum()))
         begin = np.cumsum(lengths) - lengths
         own = lengths[self.words]
         self.word_start = np.concatenate([[0], np.cumsum(own)])
         at = np.repeat(begin[self.words] - self.word_start[:-1], own) + np.arange(self.word_start[-1])
-        self.tokens = subwords[at].astype(np.int64)
+        self.tokens = subwords[at].astype(np.int32)
         self.doc_words = np.concatenate([[0], np.cumsum(self.sizes)])
         self.doc_start = self.word_start[self.doc_words]
         self.learned = np.repeat(~self.held, np.diff(self.doc_start))
 
 
-STREAM = ["held_out", "n_tokens", "words", "lengths", "subwords"]
+STREAM = ["held_out", "n_tokens", "n_words", "words", "lengths", "subwords"]
 
 
 def subword_counts(chunks: DataFrame) -> np.ndarray:
@@ -114,9 +147,9 @@ def subword_counts(chunks: DataFrame) -> np.ndarray:
         total = np.zeros(END_ID + 1, np.int64)
         for batch in batches:
             for row in range(len(batch)):
-                lengths = np.frombuffer(batch.column("lengths")[row].as_py(), np.int32)
                 counts = batch.column("counts")[row].values.to_numpy()
-                ids = np.frombuffer(batch.column("subwords")[row].as_py(), "<u2")
+                lengths = unpacked(batch.column("lengths")[row], "<i4", len(counts))
+                ids = unpacked(batch.column("subwords")[row], "<u2", int(lengths.sum()))
                 total += np.bincount(ids, np.repeat(counts, lengths), len(total)).astype(np.int64)
         known = np.flatnonzero(total)
         yield pa.record_batch([pa.array(known), pa.array(total[known])], ["id", "n"])
@@ -139,7 +172,7 @@ def pair_counts(chunks: DataFrame, order: np.ndarray) -> tuple[np.ndarray, np.nd
             for row in range(len(batch)):
                 stream = Stream(batch, row)
                 before = np.append(END_ID, stream.tokens[:-1])  # a document follows the end of another
-                pairs = (classes[before] * size + stream.tokens)[stream.learned]
+                pairs = (classes[before[stream.learned]] * size + stream.tokens[stream.learned])
                 values, n = np.unique(pairs, return_counts=True)
                 yield pa.record_batch([pa.array(values), pa.array(n)], ["pair", "n"])
 

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _BYTES = np.arange(256, dtype=np.uint8)
 LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES).astype(np.uint8)
@@ -30,12 +30,12 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` or more powers of the step and of its inverse modulo 2^64."""
     if 0 not in _powers or len(_powers[0][0]) < n:
-        size = max(n, BLOCK_BYTES * 2)
+        size = max(n, BLOCK_BYTES + (1 << 16))
         with np.errstate(over="ignore"):
             pair = tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, base, np.uint64)]))
                          for base in (_STEP, _STEP_BACK))
-        if size > BLOCK_BYTES * 2:
-            return pair
+        if size > BLOCK_BYTES + (1 << 16):
+            return pair  # for one long text; not kept
         _powers[0] = pair
     return _powers[0]
 

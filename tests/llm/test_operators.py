@@ -518,14 +518,14 @@ def test_attention_gradients():
     tokens, start = rng.integers(0, 400, 50), np.array([0, 50])
     types, classes, slots = f.type(tokens), f.slot(tokens), f.slot(tokens)
     first, low, high = A.block_starts(start)
-    keys, mask, real = A.context(tokens, first, low, high)
+    keys, opening, real = A.context(tokens, first, low, high)
 
     def loss():
-        z, _ = A.forward(p, f, types[keys], classes[keys], mask)
+        z, _ = A.forward(p, f, types[keys], classes[keys], opening)
         z = z.astype(np.float64)
         picked = z[np.arange(len(z)), slots[keys[:, A.BLOCK:]].ravel()] - np.log(np.exp(z).sum(1))
         return -(picked * real.ravel()).sum() / real.sum()
-    g = A.gradients(p, f, types[keys], classes[keys], mask, slots[keys[:, A.BLOCK:]], real)
+    g = A.gradients(p, f, types[keys], classes[keys], opening, slots[keys[:, A.BLOCK:]], real)
     for name in A.FIELDS:
         at = np.unravel_index(np.argmax(np.abs(g[name])), p[name].shape)
         was = p[name][at]
