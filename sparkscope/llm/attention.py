@@ -93,10 +93,14 @@ def context(inputs: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.nda
     return np.clip(keys, 0, len(inputs) - 1), first == low, keys[:, BLOCK:] < high[:, None]
 
 
-def forward(p: dict, f: Frequencies, types: np.ndarray, classes: np.ndarray, opening: np.ndarray) -> tuple:
+def projected(p: dict, f: Frequencies) -> tuple:
+    """Queries, keys and values of every input type, and the slots' bias after every class."""
+    return *(p["emb"] @ p[w] for w in ("wq", "wk", "wv")), f.bigram + p["bo"]
+
+
+def forward(p: dict, tables: tuple, types: np.ndarray, classes: np.ndarray, opening: np.ndarray) -> tuple:
     """Unnormalised log probabilities of the slots at each query; ``types``, ``classes``: of keys."""
-    x = p["emb"][types]
-    q, k, v = (p["emb"] @ p[w] for w in ("wq", "wk", "wv"))
+    q, k, v, bias = tables
     q, k, v = q[types[:, BLOCK:]], k[types], v[types]
     score = q @ k.swapaxes(1, 2)
     score *= DIM ** -0.5
@@ -106,10 +110,10 @@ def forward(p: dict, f: Frequencies, types: np.ndarray, classes: np.ndarray, ope
     np.exp(score, out=score)
     score /= score.sum(axis=2, keepdims=True)
     h = score @ v
-    h += x[:, BLOCK:]
+    h += p["emb"][types[:, BLOCK:]]
     z = h.reshape(-1, DIM) @ p["wo"]
-    z += (f.bigram + p["bo"])[classes[:, BLOCK:].ravel()]
-    return z, (x, q, k, v, score, h)
+    z += bias[classes[:, BLOCK:].ravel()]
+    return z, (q, k, v, score, h)
 
 
 def log_probabilities(p: dict, f: Frequencies, tokens: np.ndarray, doc_start: np.ndarray, start_id: int, batch: int = 96) -> np.ndarray:
@@ -120,10 +124,11 @@ def log_probabilities(p: dict, f: Frequencies, tokens: np.ndarray, doc_start: np
     types, classes, slots = f.type(inputs), f.slot(inputs), f.slot(tokens)
     out = np.empty(len(tokens), np.float32)
     first, low, high = block_starts(doc_start)
+    tables = projected(p, f)
     for at in range(0, len(first), batch):
         part = slice(at, at + batch)
         keys, opening, real = context(inputs, first[part], low[part], high[part])
-        z, _ = forward(p, f, types[keys], classes[keys], opening)
+        z, _ = forward(p, tables, types[keys], classes[keys], opening)
         if z.max() > 80:  # exp must stay finite; trained logits are far below
             z -= z.max(axis=1, keepdims=True)
         targets = keys[:, BLOCK:].ravel()
@@ -138,7 +143,8 @@ def log_probabilities(p: dict, f: Frequencies, tokens: np.ndarray, doc_start: np
 
 def gradients(p: dict, f: Frequencies, types: np.ndarray, classes: np.ndarray, opening: np.ndarray, slots: np.ndarray,
               real: np.ndarray) -> dict[str, np.ndarray]:
-    z, (x, q, k, v, share, h) = forward(p, f, types, classes, opening)
+    z, (q, k, v, share, h) = forward(p, projected(p, f), types, classes, opening)
+    x = p["emb"][types]
     z -= z.max(axis=1, keepdims=True)
     dz = np.exp(z, out=z)
     dz /= dz.sum(axis=1, keepdims=True)

@@ -40,10 +40,10 @@ from sparkscope.llm.token_scan import END_ID, RANKS_FILE, encoder
 from sparkscope.runtime import materialize
 
 CHUNK_BYTES = 6 << 20
-ROUNDS, SHARE = 2, 24
+ROUNDS, SHARE = 2, 32
 RATES = (0.01, 0.004)
 #: Words whose subwords a worker remembers between chunks, and the longest of them.
-REMEMBERED, REMEMBERED_BYTES = 200_000, 24
+REMEMBERED, REMEMBERED_BYTES = 300_000, 20
 WORD_SHARE = 0.5
 END_HASH = 1
 AVERAGERS = 16
@@ -69,10 +69,8 @@ def subword_ids(encoding, word: bytes) -> bytes:
     ids = _known_words.get(word)
     if ids is None:
         ids = np.array(encoding.encode_ordinary(" " + word.decode("utf-8", "replace")), "<u2").tobytes()
-        if len(word) <= REMEMBERED_BYTES:
-            if len(_known_words) >= REMEMBERED:
-                _known_words.clear()
-            _known_words[word] = ids
+        if len(word) <= REMEMBERED_BYTES and len(_known_words) < REMEMBERED:
+            _known_words[word] = ids  # the first words met are the frequent ones
     return ids
 
 

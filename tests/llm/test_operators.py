@@ -521,7 +521,7 @@ def test_attention_gradients():
     keys, opening, real = A.context(tokens, first, low, high)
 
     def loss():
-        z, _ = A.forward(p, f, types[keys], classes[keys], opening)
+        z, _ = A.forward(p, A.projected(p, f), types[keys], classes[keys], opening)
         z = z.astype(np.float64)
         picked = z[np.arange(len(z)), slots[keys[:, A.BLOCK:]].ravel()] - np.log(np.exp(z).sum(1))
         return -(picked * real.ravel()).sum() / real.sum()
