@@ -8,9 +8,9 @@ sketch is cut into D + 1 pieces by element hash, and by the pigeonhole principle
 documents agree in at least one piece. A piece is as wide as the hash space, so it is
 kept as the XOR of its elements' hashes, and unrelated documents do not meet by chance.
 
-1. One scan gives every document its set's fingerprint, size, a 512-bit parity sketch and
-   its piece keys. Equal sets share a fingerprint and count as one from here on.
-2. Piece keys are shuffled. Within a key every set is linked to the smallest fingerprint
+1. One scan gives every document its set's fingerprint, size and a 512-bit parity sketch.
+   Equal sets share a fingerprint and count as one from here on.
+2. A second scan sends the piece keys into a shuffle; they are not written otherwise. Within a key every set is linked to the smallest fingerprint
    (a star, never all pairs), sketches and sizes rule pairs out by their Hamming bound,
    and the exact shingle sets of what is left decide.
 3. Verified links form components. Keys that still hold several components get the
@@ -41,6 +41,7 @@ from sparkscope.runtime import materialize
 
 BAND_STEPS = 2
 LEVELS = 8
+SPARE = 8
 SKETCH_WORDS = 8
 
 
@@ -67,9 +68,11 @@ def piece_keys(doc: np.ndarray, values: np.ndarray, sizes: np.ndarray, num: int,
                ) -> tuple[np.ndarray, np.ndarray]:
     """(document, key) of every piece of every document, in its own and the next band.
 
-    A piece without elements says nothing. A document that has one also gives the pieces
-    of an independent cut (the next level), so that two documents that agree only in
-    empty pieces still meet in a filled one.
+    A piece without elements says nothing, so a band that allows D differences has D / 8
+    pieces more than D + 1. Two documents that agree in empty pieces only differ in all
+    others, once in each at least. A document of so many filled pieces that no link of it
+    may differ as often need not fear that; any other also gives the pieces of an
+    independent cut (the next level).
     """
     limits = band_limits(num, den, int(sizes.max(initial=1)))
     band = np.searchsorted(limits, sizes)
@@ -79,7 +82,10 @@ def piece_keys(doc: np.ndarray, values: np.ndarray, sizes: np.ndarray, num: int,
         if shift:
             use &= sizes * den // num > limits[band]
         at = band + shift
-        pieces = 2 * limits[np.minimum(at, len(limits) - 1)] * (den - num) // (den + num) + 1
+        top = limits[np.minimum(at, len(limits) - 1)]
+        allowed = 2 * top * (den - num) // (den + num)
+        pieces = allowed + 1 + -(-allowed // SPARE)
+        own_allowed = (sizes + np.minimum(top, sizes * den // num)) * (den - num) // (den + num)
         for level in range(LEVELS):
             if not use.any():
                 break
@@ -98,8 +104,8 @@ def piece_keys(doc: np.ndarray, values: np.ndarray, sizes: np.ndarray, num: int,
             emit = filled if level < LEVELS - 1 else np.ones(len(filled), bool)
             docs.append(owner[emit])
             keys.append(mix(parity[emit] ^ mix(place[emit].astype(np.uint64))))
-            use = np.zeros(len(sizes), bool)
-            use[owner[~filled]] = True
+            use = use & (np.bincount(owner[filled], minlength=len(sizes)) <= own_allowed) & (count > 0)
+            use &= np.bincount(owner[~filled], minlength=len(sizes)) > 0
     if not docs:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     d, k = np.concatenate(docs), np.concatenate(keys)
@@ -113,7 +119,7 @@ def lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
 
 
-def sketched(batches: Iterator[pa.RecordBatch], words: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+def sketched(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, ids = text_values(batch.column("text")), batch.column("doc_id")
         for low, high in blocks(texts):
@@ -124,13 +130,25 @@ def sketched(batches: Iterator[pa.RecordBatch], words: int, num: int, den: int)
             bits = np.zeros(n * SKETCH_WORDS, np.uint64)
             np.bitwise_xor.at(bits, doc * SKETCH_WORDS + ((values >> np.uint64(6)) % np.uint64(SKETCH_WORDS)).astype(np.int64),
                               np.uint64(1) << (values & np.uint64(63)))
-            first = np.zeros(n, bool)  # of equal sets in a block one gives the keys
+            sketch = pa.FixedSizeListArray.from_arrays(pa.array(bits.view(np.int64)), SKETCH_WORDS).cast(pa.list_(pa.int64()))
+            yield pa.record_batch([ids[low:high], pa.array(prints.view(np.int64)), pa.array(sizes), sketch],
+                                  ["doc_id", "print", "n", "sketch"])
+
+
+def keyed(batches: Iterator[pa.RecordBatch], words: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """(key, print) of every piece; of equal sets in a block one gives the keys."""
+    for batch in batches:
+        texts = text_values(batch.column("text"))
+        for low, high in blocks(texts):
+            n = high - low
+            doc, values = shingles(Words(texts[low:high]), words)
+            prints = set_prints(doc, values, n)
+            first = np.zeros(n, bool)
             first[np.unique(prints, return_index=True)[1]] = True
             own = first[doc]
-            d, keys = piece_keys(doc[own], values[own], np.where(first, sizes, 0), num, den)
-            sketch = pa.FixedSizeListArray.from_arrays(pa.array(bits.view(np.int64)), SKETCH_WORDS).cast(pa.list_(pa.int64()))
-            yield pa.record_batch([ids[low:high], pa.array(prints.view(np.int64)), pa.array(sizes), sketch,
-                                   lists(d, keys, n)], ["doc_id", "print", "n", "sketch", "keys"])
+            sizes = np.where(first, np.bincount(doc, minlength=n), 0)
+            d, keys = piece_keys(doc[own], values[own], sizes, num, den)
+            yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(prints[d].view(np.int64))], ["key", "print"])
 
 
 def set_lists(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -184,11 +202,10 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     scanned = materialize(rows.mapInArrow(
-        lambda batches: sketched(batches, words, num, den),
-        f"doc_id {id_type}, print bigint, n bigint, sketch array<bigint>, keys array<bigint>"), "sketches")
+        lambda batches: sketched(batches, words), f"doc_id {id_type}, print bigint, n bigint, sketch array<bigint>"), "sketches")
     filled = scanned.where("n > 0")
-    keyed = filled.select(F.explode("keys").alias("key"), "print").repartition("key").sortWithinPartitions("key", "print")
-    star = materialize(keyed.mapInArrow(stars, "key bigint, a bigint, b bigint"), "stars")
+    pieces = rows.select("text").mapInArrow(lambda batches: keyed(batches, words, num, den), "key bigint, print bigint")
+    star = materialize(pieces.repartition("key").sortWithinPartitions("key", "print").mapInArrow(stars, "key bigint, a bigint, b bigint"), "stars")
     met = materialize(star.select(F.col("a").alias("print")).union(star.select("b")).distinct(), "met")
     sketches = materialize(filled.select("doc_id", "print", "n", "sketch").join(sized(met), "print", "left_semi")
                            .groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"),
