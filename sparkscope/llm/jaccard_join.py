@@ -217,8 +217,19 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     sets = materialize(pick_rows(rows, sketches.select("doc_id"), ["doc_id"])
                        .mapInArrow(lambda batches: set_lists(batches, words), "print bigint, items array<bigint>")
                        .join(sized(met), "print", "left_semi").dropDuplicates(["print"]), "sets")
-    links = materialize(verified(pairs, sets, num, den), "links")
+    # One pair of each set first; pairs that these already connect need no comparison.
+    some = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "some-pairs")
+    links = materialize(verified(some, sets, num, den), "links")
     found = components(links)
+    others = pairs.join(some, ["a", "b"], "left_anti")
+    for c in "ab":
+        named = found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+        others = others.join(named, c, "left").withColumn(f"of_{c}", F.coalesce(f"of_{c}", c))
+    others = materialize(others.where("of_a <> of_b").select("a", "b"), "other-pairs")
+    found_too = materialize(verified(others, sets, num, den), "links")
+    if found_too.limit(1).count():
+        links = links.union(found_too)
+        found = components(links)
 
     # What the stars leave undecided: keys whose sets lie in several components.
     members = (star.select("key", F.col("a").alias("print")).union(star.select("key", "b")).distinct()
