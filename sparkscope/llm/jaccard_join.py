@@ -46,14 +46,16 @@ SKETCH_WORDS = 8
 
 
 def band_limits(num: int, den: int, top: int) -> np.ndarray:
-    """Largest size of each band, up to ``top``: linked sizes are in the same or adjacent bands."""
+    """Largest size of each band, to one band beyond that of ``top``: linked sizes are in the same or adjacent bands.
+
+    A band's limit is the same whatever ``top`` is, as documents of different blocks must be cut alike.
+    """
     limits = [1]
-    while limits[-1] < top:
+    while len(limits) < 2 or limits[-2] < top:
         size = limits[-1]
         for _ in range(BAND_STEPS):
             size = size * den // num
         limits.append(max(limits[-1] + 1, size))
-    limits.append(max(limits[-1] + 1, limits[-1] * den // num))
     return np.array(limits, np.int64)
 
 

@@ -147,6 +147,29 @@ def test_piece_keys_meet():
             assert set(k[d == 0]) & set(k[d == 1]), size
 
 
+@pytest.mark.parametrize(("num", "den"), [(90, 100), (80, 100)])
+def test_piece_keys_meet_across_blocks(num, den):
+    """Linked sets on both sides of every band border share a key, whatever else is in their blocks."""
+    rng = np.random.default_rng(6)
+
+    def keys(own, *beside):
+        sets = [own, *(rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in beside)]
+        sizes = np.array([len(x) for x in sets])
+        d, k = jaccard_join.piece_keys(np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets), sizes, num, den)
+        return set(k[d == 0])
+
+    limits = jaccard_join.band_limits(num, den, 3000)
+    for top in range(1, 3000):
+        few = jaccard_join.band_limits(num, den, top)
+        assert few[-2] >= top and np.array_equal(few, limits[: len(few)]), top
+    for limit in limits[:-2].tolist():
+        for size in {limit, limit - limit // 20} - {0}:
+            larger = rng.integers(0, 1 << 63, size * den // num, dtype=np.uint64)
+            for beside in ((), (2 * limit,), (9 * limit,)):
+                assert keys(larger[:size]) & keys(larger, *beside), (size, beside)
+                assert keys(larger[:size], *beside) & keys(larger), (size, beside)
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(400, 460)]
