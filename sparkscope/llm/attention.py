@@ -17,10 +17,10 @@ import io
 
 import numpy as np
 
-BLOCK = 16
+BLOCK = 32
 DIM = 16
 #: Subwords that have an own slot of the softmax, and an own input embedding.
-HEAD, TYPES = 128, 1024
+HEAD, TYPES = 160, 1024
 SMOOTH = 20.0
 FIELDS = ("emb", "wq", "wk", "wv", "rel", "wo", "bo")
 
@@ -145,11 +145,12 @@ def gradients(p: dict, f: Frequencies, types: np.ndarray, classes: np.ndarray, o
               real: np.ndarray) -> dict[str, np.ndarray]:
     z, (q, k, v, share, h) = forward(p, projected(p, f), types, classes, opening)
     x = p["emb"][types]
-    z -= z.max(axis=1, keepdims=True)
+    if z.max() > 80:  # exp must stay finite
+        z -= z.max(axis=1, keepdims=True)
     dz = np.exp(z, out=z)
-    dz /= dz.sum(axis=1, keepdims=True)
-    dz[np.arange(len(dz)), slots.ravel()] -= 1
-    dz *= (real.ravel() / max(1, real.sum()))[:, None].astype(np.float32)
+    weight = (real.ravel() / max(1, real.sum())).astype(np.float32)
+    dz *= (weight / dz.sum(axis=1))[:, None]
+    dz[np.arange(len(dz)), slots.ravel()] -= weight
     g = {"wo": h.reshape(-1, DIM).T @ dz, "bo": dz.sum(0)}
     dh = (dz @ p["wo"].T).reshape(h.shape)
     dshare = dh @ v.swapaxes(1, 2)

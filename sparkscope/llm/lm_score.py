@@ -8,7 +8,7 @@
    by the vocabulary.
 3. Training (``attention.py``, numpy): in each round every task trains a replica on a fixed
    share of all blocks of its training texts, another share each round, and the replicas
-   are averaged by the tokens they saw. What is learned from grows with the corpus.
+   are averaged by the tokens they saw. After the last round every block was learned from once.
 4. Scoring: every chunk meets its word counts, and batched masked attention over overlapping
    context windows scores every token once. A word's probability is ``word_share`` times its
    relative frequency in the training words plus the rest times the product of its subwords'
@@ -40,8 +40,9 @@ from sparkscope.llm.token_scan import END_ID, RANKS_FILE, encoder
 from sparkscope.runtime import materialize
 
 CHUNK_BYTES = 6 << 20
-ROUNDS, SHARE = 2, 32
-RATES = (0.01, 0.004)
+#: As many rounds as shares: all blocks are learned from.
+ROUNDS, SHARE = 3, 3
+RATES = (0.01, 0.006, 0.003)
 #: Words whose subwords a worker remembers between chunks, and the longest of them.
 REMEMBERED, REMEMBERED_BYTES = 300_000, 20
 WORD_SHARE = 0.5
@@ -179,6 +180,12 @@ def pair_counts(chunks: DataFrame, order: np.ndarray) -> tuple[np.ndarray, np.nd
     return pairs // (END_ID + 1), pairs % (END_ID + 1), rows["n"].to_numpy()
 
 
+def round_blocks(chunk: int, learned: np.ndarray, turn: int, share: int) -> np.ndarray:
+    """Which blocks of a chunk a round learns from; ``learned`` says which are of training texts."""
+    place = (np.uint64(chunk) << np.uint64(24)) + np.arange(len(learned), dtype=np.uint64)
+    return np.flatnonzero((mix(place) % np.uint64(share) == turn) & learned)
+
+
 def trained(chunks: DataFrame, frequencies: attention.Frequencies, rounds: int, share: int) -> np.ndarray:
     """Parameters after ``rounds`` of averaging replicas; a round learns from one in ``share`` blocks."""
     values = attention.flat(attention.start_values())
@@ -194,8 +201,7 @@ def trained(chunks: DataFrame, frequencies: attention.Frequencies, rounds: int,
                 for row in range(len(batch)):
                     stream = Stream(batch, row)
                     first = attention.block_starts(stream.doc_start)[0]
-                    place = (np.uint64(batch.column("chunk")[row].as_py()) << np.uint64(24)) + np.arange(len(first), dtype=np.uint64)
-                    chosen = np.flatnonzero((mix(place) % np.uint64(share) == turn) & stream.learned[first])
+                    chosen = round_blocks(batch.column("chunk")[row].as_py(), stream.learned[first], turn, share)
                     trainer.learn(stream.tokens, stream.doc_start, END_ID, chosen)
             if trainer.seen:
                 total = attention.flat(trainer.p) * trainer.seen

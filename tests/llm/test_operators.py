@@ -510,6 +510,15 @@ def test_lm_scores(docs, texts, nothing):
     assert lm_score.lm_scores(nothing).count() == 0
 
 
+def test_attention_learns_from_every_training_block():
+    rng = np.random.default_rng(3)
+    for chunk in (0, 7, (5 << 32) + 1):
+        learned = rng.random(5000) < 0.8
+        rounds = [lm_score.round_blocks(chunk, learned, turn, lm_score.SHARE) for turn in range(lm_score.ROUNDS)]
+        assert np.array_equal(np.sort(np.concatenate(rounds)), np.flatnonzero(learned))
+    assert lm_score.attention.BLOCK >= 32 and lm_score.attention.HEAD >= 160
+
+
 def test_attention_is_causal_normalised_and_block_free():
     from sparkscope.llm import attention as A
     rng = np.random.default_rng(2)
