@@ -220,7 +220,9 @@ s AS (SELECT row, round((sum(ln(p)) FILTER (accepted) - sum(ln(p)) FILTER (NOT a
 r AS (SELECT u.*, CASE WHEN (SELECT kinds FROM size) = 2 THEN s.score ELSE 0 END AS score FROM u JOIN s USING (row)),
 b AS (SELECT *, floor(score * 1000)::BIGINT AS bin FROM r),
 known AS (SELECT * FROM b WHERE accepted IS NOT NULL AND held_out),
-edges AS (SELECT DISTINCT bin FROM known UNION SELECT max(bin) + 1 FROM known),
+bins AS (SELECT DISTINCT bin FROM known),
+edges AS (SELECT least(coalesce(greatest(0, lag(bin) OVER (ORDER BY bin) + 1), 0), bin) AS bin FROM bins
+          UNION SELECT greatest(0, max(bin) + 1) FROM bins),
 wrong AS (SELECT e.bin, count(*) FILTER (accepted AND k.bin < e.bin) AS missed, count(*) FILTER (NOT accepted AND k.bin >= e.bin) AS passed
           FROM edges e, known k GROUP BY e.bin),
 cut AS (SELECT CASE WHEN (SELECT count(DISTINCT accepted) FROM known) < 2 THEN 0 ELSE (

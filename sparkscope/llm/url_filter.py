@@ -175,17 +175,20 @@ def scored(batches: Iterator[pa.RecordBatch], models: tuple[Markov, Markov] | No
 
 
 def threshold(bins: Sequence[tuple[int, bool, int]]) -> int:
-    """The bin from which URLs are allowed: least balanced error, then nearest to zero, then least."""
+    """The bin from which URLs are allowed: least balanced error, then nearest to zero, then the least."""
     accepted, rejected = (sum(n for _, kind, n in bins if kind == own) for own in (True, False))
     if not accepted or not rejected:
         return 0
     by_bin: dict[int, list[int]] = {}
     for at, kind, n in bins:
         by_bin.setdefault(at, [0, 0])[kind] += n
+    # Between two bins that occur every threshold errs alike; of these the one nearest to zero is tried.
+    places = sorted(by_bin)
+    tried = [min(0, places[0]), *(min(max(0, low + 1), high) for low, high in zip(places, places[1:])), max(0, places[-1] + 1)]
     found, missed, passed = [], 0, rejected
-    for at in [*sorted(by_bin), max(by_bin) + 1]:
-        found.append((missed * rejected + passed * accepted, abs(at), at))
-        missed, passed = missed + by_bin.get(at, (0, 0))[1], passed - by_bin.get(at, (0, 0))[0]
+    for cut, at in zip(tried, [*places, places[-1]]):
+        found.append((missed * rejected + passed * accepted, abs(cut), cut))
+        missed, passed = missed + by_bin[at][1], passed - by_bin[at][0]
     return min(found)[2]
 
 
