@@ -40,12 +40,12 @@ class SvmScenario:
     name: str
     reg_param: float
     max_iter: int
-    parallelism: int = 4
     scaled = True
 
     def estimator(self):
-        return OneVsRest(classifier=LinearSVC(regParam=self.reg_param, maxIter=self.max_iter),
-                         parallelism=self.parallelism)
+        # One binary model after the other: scenarios and folds already run side by side,
+        # and the threads of OneVsRest itself would share one set of local properties.
+        return OneVsRest(classifier=LinearSVC(regParam=self.reg_param, maxIter=self.max_iter), parallelism=1)
 
 
 @dataclass(frozen=True)
@@ -56,16 +56,35 @@ class ForestScenario:
     min_instances: int
     max_bins: int
     seed: int = 42
+    cache_nodes: bool = False
+    checkpoint_every: int = 10
+    memory_mb: int = 256
     scaled = False
 
     def estimator(self):
+        """The forest; ``cache_nodes`` is for deep trees (see ``deep_forest``).
+
+        Without it every task gets all trees grown so far and walks each row through them on
+        every level. With it a row's node in every tree is kept beside the row, and written to
+        the checkpoint folder every few levels so that lost executors cost no long lineage.
+        ``memory_mb`` bounds the statistics of the nodes that one pass splits; more nodes than
+        fit take more passes.
+        """
         return RandomForestClassifier(numTrees=self.num_trees, maxDepth=self.max_depth,
                                       minInstancesPerNode=self.min_instances, maxBins=self.max_bins,
-                                      seed=self.seed)
+                                      seed=self.seed, cacheNodeIds=self.cache_nodes,
+                                      checkpointInterval=self.checkpoint_every, maxMemoryInMB=self.memory_mb)
 
 
 Scenario = LogisticScenario | SvmScenario | ForestScenario
 
+def deep_forest(name: str, num_trees: int, max_depth: int, min_instances: int = 1, max_bins: int = 32,
+                memory_mb: int = 256, checkpoint_every: int = 5) -> ForestScenario:
+    """A scenario of deep trees that grows within a memory budget; same trees as without the cache."""
+    return ForestScenario(name, num_trees, max_depth, min_instances, max_bins, cache_nodes=True,
+                          checkpoint_every=checkpoint_every, memory_mb=memory_mb)
+
+
 # The settings compared for each algorithm.
 LOGISTIC_SCENARIOS = (
     LogisticScenario("Scenario 1: L2 (Ridge), lambda=0.001", 0.0, 0.001),

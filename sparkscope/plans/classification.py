@@ -16,7 +16,7 @@ from sparkscope.operators.models import Scenario, classifier_pipeline, fit_label
 from sparkscope.operators.reshape import best_row, stack, stack_tagged
 from sparkscope.operators.split import fold_number, hash_split
 from sparkscope.plans.prepare import PREDICTORS
-from sparkscope.runtime import in_parallel, materialize, persisted
+from sparkscope.runtime import in_parallel, materialize, persisted, shared_dir
 from sparkscope.sources.results import load_results, save_model, save_results
 
 METRICS = ("accuracy", "macro_f1", "macro_precision", "macro_recall")
@@ -75,6 +75,8 @@ def run_study(data: DataFrame, target: str, scenarios: Sequence[Scenario],
     scaler is refitted per fold, so no validation row influences it.
     """
     spark = data.sparkSession
+    if any(getattr(s, "cache_nodes", False) for s in scenarios) and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     train, test = data.filter("part = 'training'"), data.filter("part = 'test'")
     index = fit_label_index(data, target)
     jobs = [(scenario, fold) for scenario in scenarios for fold in [*range(folds), None]]

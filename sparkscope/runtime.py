@@ -145,6 +145,22 @@ def join_measured(detail: DataFrame, summary: DataFrame, size: int, on: Sequence
 
 
 def in_parallel(spark: SparkSession, function: Callable, jobs: Sequence, width: int = 4) -> list:
-    """Run independent Spark actions a few at a time, so small stages overlap."""
+    """Run independent Spark actions a few at a time, so small stages overlap.
+
+    Every job gets its own copy of the caller's local properties: Spark keeps a query's
+    execution id there, and jobs that share one object clear it under each other. Each job
+    also names a scheduler pool of its own, which counts where the cluster schedules fairly
+    (``spark.scheduler.mode=FAIR``): a long fit then leaves tasks to a short one.
+    """
+    def alone(numbered: tuple):
+        place, job, run = numbered
+        return run(place, job)
+
+    def pooled(place: int, job):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"parallel-{place}")
+        return function(job)
+
+    # The properties are copied when a function is wrapped, here once for every job.
+    wrapped = [(i, job, inheritable_thread_target(spark)(pooled)) for i, job in enumerate(jobs)]
     with ThreadPool(width) as pool:
-        return pool.map(inheritable_thread_target(spark)(function), jobs)
+        return pool.map(alone, wrapped)
