@@ -65,3 +65,18 @@ def frequent_classes(df: DataFrame, name: str, min_samples: int = 50) -> DataFra
     counts = df.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
     frequent = counts.filter(F.col(name).isNotNull() & (F.col("n") >= min_samples)).select(name)
     return join_summary(df, frequent, [name], "left_semi")
+
+
+def frequent_among_many(df: DataFrame, name: str, min_samples: int = 50, buckets: int = 1 << 20) -> DataFrame:
+    """The rows of ``frequent_classes``, for a column of very many classes.
+
+    A first pass counts rows per hash bucket, so at most ``buckets`` counters a task are
+    shuffled. A class in a bucket of fewer rows is surely rare, so the exact counts are only
+    shuffled for classes in the other buckets, and no frequent class is ever lost. The
+    buckets that remain are at most rows / ``min_samples`` or ``buckets``, whichever is less.
+    """
+    bucket = F.pmod(F.xxhash64(F.col(name)), F.lit(buckets)).cast("int")
+    full = df.filter(F.col(name).isNotNull()).groupBy(bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("n"))
+    hashed = df.withColumn("__bucket", bucket)
+    likely = join_summary(hashed, full.filter(F.col("n") >= min_samples).select("__bucket"), ["__bucket"], "left_semi")
+    return frequent_classes(likely.drop("__bucket"), name, min_samples)

@@ -5,7 +5,7 @@ The result size depends on bins and groups, never on the rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,13 +53,15 @@ def log_histogram(df: DataFrame, columns: Sequence[str], bins: int = 50) -> Data
     )
 
 
-def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), ranked: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), ranked: bool = True,
+              quantiles: Callable[..., DataFrame] = exact_quantiles) -> DataFrame:
     """Box-and-whisker statistics of log10(value) per column and group.
 
     Quartiles are linearly interpolated; whiskers reach the outermost value within
     1.5 interquartile ranges of the box. ``rank`` orders groups by median; it sorts
     the groups of a column in one task, so turn it off for very many groups. A group
     or column without positive values is a row of its own, with nulls and ``n_dropped``.
+    With as many groups as items, pass ``quantiles=sorted_quantiles``.
     """
     keys = [*by, "column"]
     logs = df.select(*by, *[log10_positive(F.col(name).cast("double")).alias(name) for name in columns])
@@ -67,7 +69,7 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), ran
     def at(p: float) -> Column:
         return F.max(F.when(F.col("p") == p, F.col("value")))
 
-    box = exact_quantiles(logs, columns, [0.25, 0.5, 0.75], by, interpolate=True).groupBy(*keys).agg(
+    box = quantiles(logs, columns, [0.25, 0.5, 0.75], by, interpolate=True).groupBy(*keys).agg(
         at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     box = box.withColumns({"fence_lo": F.col("q1") - reach, "fence_hi": F.col("q3") + reach})

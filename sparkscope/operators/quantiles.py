@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import is_missing, shown
 from sparkscope.operators.reshape import stack
-from sparkscope.runtime import join_measured, materialize, total_bytes
+from sparkscope.runtime import join_measured, join_summary, materialize, total_bytes
 
 # First pass: logarithmic bins, so no range has to be known in advance.
 BINS_PER_OCTAVE = 512
@@ -159,6 +159,24 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by:
     return approx_quantiles(df, columns, probs, by, accuracy)
 
 
+def rank_errors(df: DataFrame, found: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``by..., column, p, value, n, rank_error``: how far quantiles of ``df`` are from their rank.
+
+    ``found`` has ``by..., column, p, value``, from whatever method. The error is the distance of
+    the wanted rank from the ranks that the value holds, as a share of the ``n`` values; an exact
+    quantile has none. ``df`` is read once and not shuffled while ``found`` is small.
+    """
+    keys = [*by, "column"]
+    value = F.col("value")
+    wanted = found.select(*keys, "p", F.col("value").alias("at"))
+    numbers = long_values(df, [row[0] for row in found.select("column").distinct().collect()], by)
+    ranked = join_summary(numbers.filter(value.isNotNull() & ~F.isnan(value)), wanted, keys).groupBy(*keys, "p", "at").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(value < F.col("at")).alias("below"), F.count_if(value <= F.col("at")).alias("upto"))
+    rank = F.greatest(F.ceil(F.col("n") * F.col("p")), F.lit(1))
+    off = F.greatest(F.col("below") + 1 - rank, rank - F.col("upto"), F.lit(0))
+    return ranked.select(*keys, "p", F.col("at").alias("value"), "n", (off / F.col("n")).alias("rank_error"))
+
+
 def impute_median(df: DataFrame, zero_is_missing: Mapping[str, bool], exclude_zero: bool = False,
                   accuracy: int | None = SKETCH_ACCURACY) -> DataFrame:
     """Replace missing values (null, NaN) of each named column by the column's median.

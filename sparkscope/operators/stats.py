@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,8 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], accuracy: int | None
 
 def pearson(x: str, y: str) -> Column:
     """Correlation that is null, not an error, when a column is constant."""
-    return ratio(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+    varied = [F.max(name) > F.min(name) for name in (x, y)]  # partial sums give a constant a tiny variance
+    return F.when(varied[0] & varied[1], ratio(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)))
 
 
 def correlation_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -46,6 +49,29 @@ def correlation_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*cells)))
 
 
+def correlation_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of ``correlation_long`` for hundreds of columns.
+
+    One vector-valued aggregate sums all products at once, in partial sums that are merged in
+    a tree, where ``correlation_long`` needs an expression for every pair. Only the matrix, of
+    the size of the result, reaches the driver. Columns are centred before their products are
+    summed; a constant column, and all of fewer than two complete rows, correlate to null.
+    """
+    names = list(columns)
+    rows = complete_cases(df.select(*[F.col(name).cast("double").alias(name) for name in names]), names)
+    size, *each = rows.agg(F.count(F.lit(1)), *[F.struct(F.avg(name), F.max(name) > F.min(name)) for name in names]).first()
+    varied = [bool(x[1]) for x in each]
+    if size < 2:
+        cells = [(x, y, None) for x in names for y in names]
+    else:
+        centred = rows.select(*[(F.col(name) - F.lit(x[0])).alias(name) for name, x in zip(names, each)])
+        vectors = VectorAssembler(inputCols=names, outputCol="values").transform(centred).select("values")
+        matrix = Correlation.corr(vectors, "values").first()[0].toArray()
+        cells = [(x, y, float(matrix[i, j]) if varied[i] and varied[j] else None)
+                 for i, x in enumerate(names) for j, y in enumerate(names)]
+    return df.sparkSession.createDataFrame(cells, "var1 string, var2 string, value double")
+
+
 def redundant_features(df: DataFrame, candidates: Sequence[str], kept: Sequence[str],
                        threshold: float = 0.95) -> DataFrame:
     """Candidate/kept pairs with their correlation and whether the candidate adds nothing."""

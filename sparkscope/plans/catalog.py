@@ -12,12 +12,14 @@ from sparkscope.functions.columns import (
     clean_names, coerce, duration_seconds, log10_positive, percent, ratio, recode, round_columns,
     string_key,
 )
-from sparkscope.operators import clean, distributions, evaluate, models, quantiles, reshape, rollup, split, stats
+from sparkscope.operators import clean, distributions, evaluate, models, quantiles, reshape, rollup, sketches, split, stats
+from sparkscope.operators.sorted_quantiles import sorted_quantiles
 from sparkscope.plans import classification, clustering
 from sparkscope.plans.adapters import grouped_parts, part_peaks, raw_snapshots, separable_parts, table
 from sparkscope.plans.prepare import AUDIT, EXTENDED_PREDICTORS, PREDICTORS, SNAPSHOT_KEY, prepare, snapshot_order, typed_snapshots
 from sparkscope.runtime import materialize, new_path
 from sparkscope.sources import results, tables
+from sparkscope.sources.split_csv import read_csv_splits
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -297,6 +299,23 @@ def distinct_pairs(spark, sf):
     return table(spark, sf, "customer").select("c_nationkey", "c_mktsegment").distinct()
 
 
+@query("""SELECT l_returnflag, "column", n_distinct, true AS within FROM (
+  SELECT l_returnflag, count(DISTINCT l_orderkey) AS l_orderkey, count(DISTINCT l_partkey) AS l_partkey, count(DISTINCT l_suppkey) AS l_suppkey
+  FROM lineitem GROUP BY l_returnflag) UNPIVOT (n_distinct FOR "column" IN (l_orderkey, l_partkey, l_suppkey))""")
+def distinct_sketch(spark, sf):
+    """Distinct counts of flags from stored sketches of (flag, month), within three standard errors of the exact counts."""
+    columns = ["l_orderkey", "l_partkey", "l_suppkey"]
+    lines = table(spark, sf, "lineitem")
+    parts = materialize(sketches.distinct_sketches(
+        lines.withColumn("month", F.date_format("l_shipdate", "yyyy-MM")), columns, ["l_returnflag", "month"]), "distinct")
+    estimates = sketches.distinct_estimates(sketches.merge_distinct(parts, ["l_returnflag"]), ["l_returnflag"])
+    exact = lines.groupBy("l_returnflag").agg(*[F.count_distinct(c).alias(c) for c in columns]).unpivot(
+        ["l_returnflag"], columns, "column", "exact")
+    off = F.abs(F.col("n_distinct") - F.col("exact")) / F.col("exact")
+    return exact.join(estimates, ["l_returnflag", "column"]).select(
+        "l_returnflag", "column", F.col("exact").alias("n_distinct"), (off <= 3 * 1.04 / 2 ** (sketches.HLL_LOG2 / 2)).alias("within"))
+
+
 @query("SELECT count(DISTINCT c_nationkey) AS n_nations, count(DISTINCT c_mktsegment) AS n_segments FROM customer")
 def distinct_count(spark, sf):
     return table(spark, sf, "customer").agg(
@@ -353,12 +372,58 @@ def quantiles_interpolated(spark, sf):
     return round_columns(found, ["value"], 6)
 
 
-@query(union_sql("""SELECT '{c}' AS "column", p, value FROM (
-  SELECT unnest([0.25, 0.5, 0.75]::DOUBLE[]) AS p, unnest(quantile_disc({c}, [0.25, 0.5, 0.75])) AS value
-  FROM lineitem)""", QUANTILE_COLUMNS))
+def within_sql(probs, table_sql: str = "lineitem", by: str = "") -> str:
+    """Every quantile within its rank error; the numbers of values are counted."""
+    key = f"{by}, " if by else ""
+    return union_sql(f"""SELECT {key}'{{c}}' AS "column", p, count({{c}}) AS n, true AS within
+      FROM {table_sql}, (SELECT unnest({list(probs)}::DOUBLE[]) AS p) GROUP BY {key}p""", QUANTILE_COLUMNS)
+
+
+def within(checked: DataFrame, allowed: float) -> DataFrame:
+    return checked.withColumn("within", F.col("rank_error") <= allowed).drop("value", "rank_error")
+
+
+@query(within_sql([0.25, 0.5, 0.75]))
 def quantiles_sketch(spark, sf):
-    """The sketch, with an accuracy above the number of rows, at which it is exact."""
-    return quantiles.quantiles(table(spark, sf, "lineitem"), QUANTILE_COLUMNS, [0.25, 0.5, 0.75], accuracy=100_000_000)
+    """The sketch at its usual accuracy: the ranks of its values are counted in the data."""
+    lines = table(spark, sf, "lineitem")
+    found = quantiles.quantiles(lines, QUANTILE_COLUMNS, [0.25, 0.5, 0.75])
+    return within(quantiles.rank_errors(lines, found), 1 / quantiles.SKETCH_ACCURACY)
+
+
+def daily_summaries(spark, sf) -> DataFrame:
+    """One stored summary row per column and day."""
+    days = table(spark, sf, "lineitem").withColumn("day", F.col("l_shipdate").cast("date"))
+    return materialize(sketches.summaries(days, QUANTILE_COLUMNS, ["day"]), "daily")
+
+
+MONTH_SQL = "(SELECT *, strftime(l_shipdate, '%Y-%m') AS month FROM lineitem)"
+
+
+@query(union_sql(f"""SELECT month, '{{c}}' AS "column", count({{c}}) AS n, round(avg({{c}}), 6) AS mean,
+  round(stddev_samp({{c}}), 6) AS sd, min({{c}}) AS min, max({{c}}) AS max FROM {MONTH_SQL} GROUP BY month""", QUANTILE_COLUMNS))
+def monthly_summaries(spark, sf):
+    """Months described from the summaries of their days."""
+    days = daily_summaries(spark, sf).withColumn("month", F.date_format("day", "yyyy-MM"))
+    described = sketches.describe_summaries(sketches.merge_summaries(days, ["month"]), ["month"])
+    return round_columns(described, ["mean", "sd"], 6).drop("median", "q1", "q3")
+
+
+@query(within_sql([0.1, 0.5, 0.9], MONTH_SQL, "month"))
+def monthly_sketch_quantiles(spark, sf):
+    """Quantiles of months from the merged sketches of their days, checked in the data."""
+    days = daily_summaries(spark, sf).withColumn("month", F.date_format("day", "yyyy-MM"))
+    found = sketches.summary_quantiles(sketches.merge_summaries(days, ["month"]), [0.1, 0.5, 0.9], ["month"])
+    lines = table(spark, sf, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    return within(quantiles.rank_errors(lines, found, ["month"]), 2 * sketches.kll_rank_error())
+
+
+@query(union_sql("""SELECT l_partkey, '{c}' AS "column", p, value FROM (
+  SELECT l_partkey, unnest([0.1, 0.5, 0.9]::DOUBLE[]) AS p,
+         unnest(quantile_disc({c}, [0.1, 0.5, 0.9])) AS value FROM lineitem GROUP BY l_partkey)""", QUANTILE_COLUMNS))
+def quantiles_of_many_groups(spark, sf):
+    """As many groups as items, by one range-partitioned sort."""
+    return sorted_quantiles(table(spark, sf, "lineitem"), QUANTILE_COLUMNS, [0.1, 0.5, 0.9], ["l_partkey"])
 
 
 @query(f"""WITH {SNAPSHOTS_SQL} SELECT duration, CAST({SECONDS_SQL} AS INTEGER) AS seconds,
@@ -389,6 +454,13 @@ def min_class_filter(spark, sf):
     return clean.frequent_classes(table(spark, sf, "embeddings").select("vec_id", "label"), "label", 50)
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+WHERE l_partkey IN (SELECT l_partkey FROM lineitem GROUP BY l_partkey HAVING count(*) >= 35)""")
+def frequent_among_many(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return clean.frequent_among_many(lines, "l_partkey", 35)
+
+
 @query("""SELECT l_partkey, max(l_extendedprice) AS l_extendedprice, max(l_quantity) AS l_quantity,
 max(l_tax) AS l_tax, count(*) AS trending_count FROM lineitem GROUP BY l_partkey""")
 def peak_rollup(spark, sf):
@@ -494,11 +566,12 @@ BOX_COLUMNS = ["l_extendedprice", "l_quantity", "l_discount"]
 BOX_ROUNDED = ["q1", "median", "q3", "whisker_lo", "whisker_hi"]
 
 
-def box_sql(by: str = "", source: str = "lineitem", columns=tuple(BOX_COLUMNS)) -> str:
+def box_sql(by: str = "", source: str = "lineitem", columns=tuple(BOX_COLUMNS), ranked: bool = True) -> str:
     key, group, rank = "", "", ""
     join = "CROSS JOIN q"
     if by:
         key, group, join = f"{by}, ", f"GROUP BY {by}", f"JOIN q USING ({by})"
+    if by and ranked:
         rank = f", CAST(row_number() OVER (PARTITION BY \"column\" ORDER BY median, {by}) AS INTEGER) AS rank"
     return f"""SELECT *{rank} FROM (SELECT * FROM ({union_sql(f'''SELECT * FROM (
   WITH x AS (SELECT {key}CASE WHEN {{c}} > 0 THEN log10({{c}}) END AS x
@@ -524,6 +597,12 @@ def box_stats_by_group(spark, sf):
         distributions.box_stats(table(spark, sf, "lineitem"), BOX_COLUMNS, ["l_returnflag"]), BOX_ROUNDED, 6)
 
 
+@query(box_sql("l_partkey", ranked=False))
+def box_stats_of_many_groups(spark, sf):
+    found = distributions.box_stats(table(spark, sf, "lineitem"), BOX_COLUMNS, ["l_partkey"], ranked=False, quantiles=sorted_quantiles)
+    return round_columns(found, BOX_ROUNDED, 6)
+
+
 @query(box_sql("l_returnflag", SIGNED_SQL, SIGNED))
 def box_stats_signed(spark, sf):
     """A column and a group without positive values keep their rows."""
@@ -547,6 +626,16 @@ def corr_long(spark, sf):
     return round_columns(stats.correlation_long(part_peaks(spark, sf), PREDICTORS), ["value"], 6)
 
 
+@query("""WITH pairs AS (SELECT unnest(range(1, 65)) AS i), grid AS (SELECT a.i, b.i AS j FROM pairs a, pairs b)
+SELECT 'e' || i AS var1, 'e' || j AS var2, round(corr(embedding[i]::DOUBLE, embedding[j]::DOUBLE), 6) AS value
+FROM embeddings, grid GROUP BY i, j""")
+def corr_wide(spark, sf):
+    """All pairs of 64 columns in one aggregate."""
+    names = [f"e{i}" for i in range(1, 65)]
+    wide = table(spark, sf, "embeddings").select(*[F.col("embedding")[i].alias(name) for i, name in enumerate(names)])
+    return round_columns(stats.correlation_wide(wide, names), ["value"], 6)
+
+
 @query(f"WITH {PEAKS_SQL} " + " UNION ALL ".join(
     f"""SELECT 'engagement_rate' AS candidate, '{y}' AS kept,
     round(corr((likes + comment_count) / view_count, {y}), 6) AS value,
@@ -803,6 +892,22 @@ def csv_roundtrip(spark, sf):
     return tables.read_csv(spark, path, customers.schema)
 
 
+@query("SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents")
+def csv_documents(spark, sf):
+    """Whole documents, with line breaks and quotes in their texts, to CSV and back in splits; CSV has no empty text."""
+    documents = table(spark, sf, "documents")
+    path = new_path(spark, "csv")
+    writer = documents.write.option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_csv_splits(spark, path, documents.schema)
+
+
+@query("SELECT count(*) AS n_rows, 4 AS n_columns, 's_suppkey,s_name,s_nationkey,s_acctbal' AS column_names, "
+       "4 AS n_partitions, 4 AS n_filled_partitions FROM supplier")
+def partition_profile(spark, sf):
+    return tables.table_profile(table(spark, sf, "supplier").repartition(4))
+
+
 # --- Classification studies --------------------------------------------------------------------
 
 ALGORITHMS = {"Logistic Regression": models.LOGISTIC_SCENARIOS, "SVM": models.SVM_SCENARIOS,
@@ -888,6 +993,15 @@ def rf_separable(spark, sf):
     return separable_study(spark, sf, models.FOREST_SCENARIOS)
 
 
+DEEP_FOREST = models.deep_forest("Deep: num_trees=100, max_depth=10", 100, 10)
+
+
+@query(separable_sql([DEEP_FOREST]))
+def rf_deep(spark, sf):
+    """Deep trees with cached, checkpointed nodes and a memory budget."""
+    return separable_study(spark, sf, [DEEP_FOREST])
+
+
 @query()
 def cv_accuracy(spark, sf):
     return reshape.stack_tagged(
@@ -911,6 +1025,21 @@ def rf_importance_total(spark, sf):
     return shares.agg(F.count("importance").cast("double").alias("predictors"), F.round(F.sum("importance"), 6).alias("total"))
 
 
+@query("""SELECT feature, CASE WHEN n > 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS importance FROM (
+  SELECT count(DISTINCT p_partkey % 3) AS view_count, count(DISTINCT 0) AS likes, count(DISTINCT 1) AS comment_count FROM part)
+UNPIVOT (n FOR feature IN (view_count, likes, comment_count))""")
+def rf_importance_informative(spark, sf):
+    """One column tells the classes apart and the others never vary: all importance is its own."""
+    parts = table(spark, sf, "part").selectExpr(
+        "p_partkey as video_id", "concat('class ', p_partkey % 3) as category_name",
+        "cast(p_partkey % 3 as double) as view_count", "0D as likes", "1D as comment_count")
+    columns = ["view_count", "likes", "comment_count"]
+    data = classification.modelling_table(parts, "video_id", "category_name", columns, min_samples=MIN_SAMPLES)
+    index = models.fit_label_index(data, "category_name")
+    model = models.classifier_pipeline(models.FOREST_SCENARIOS[0], columns, index).fit(data.filter("part = 'training'"))
+    return round_columns(models.feature_importance(spark, model, columns), ["importance"], 6)
+
+
 def fitted_forest(spark, sf):
     data = study_table(spark, sf)
     index = models.fit_label_index(data, "category_name")
@@ -1058,6 +1187,22 @@ def elbow_groups(spark, sf):
     return round_columns(clustering.elbow(grouped_parts(spark, sf), "video_id", ks=(4,)), ["wcss"], 2)
 
 
+def far_groups_sql(k: int) -> str:
+    """Squared standardised distances to the means of ``k`` far groups."""
+    return f"""SELECT {k} AS k, round(sum(power((x - m) / s, 2)), 2) AS wcss FROM (
+      SELECT x, avg(x) OVER (PARTITION BY grp) AS m, stddev_samp(x) OVER () AS s FROM (
+        SELECT p_partkey % {k} AS grp, 1000::DOUBLE * (p_partkey % {k}) + p_size AS x FROM part))"""
+
+
+@query(" UNION ALL ".join(map(far_groups_sql, clustering.ELBOW_K)))
+def elbow_each_k(spark, sf):
+    """For every k of the sweep, the cost of k groups that K-means must find."""
+    parts = table(spark, sf, "part")
+    return round_columns(reshape.stack([
+        clustering.elbow(parts.selectExpr("p_partkey as video_id", f"1000D * (p_partkey % {k}) + p_size as x"), "video_id", ["x"], ks=(k,))
+        for k in clustering.ELBOW_K]), ["wcss"], 2)
+
+
 @query(f"WITH {GROUPED_SQL} " + " UNION ALL ".join(
     f"SELECT '{s.key}' AS key, '{s.name}' AS scenario, {s.k} AS k, '{s.feature_set}' AS feature_set, "
     f"{cost_sql(clustering.FEATURE_SETS[s.feature_set])} AS wcss" for s in FOUR_GROUPS))
