@@ -12,7 +12,8 @@
 
 Defined results: a null text is empty, and all empty texts are one group. Of equal texts
 the largest doc_id stays, null ids being smallest; of rows repeated with the same id one
-stays. An empty table gives an empty result; other columns of the input are ignored.
+stays. Texts of any length are hashed and compared whole. An empty table gives an empty result;
+other columns of the input are ignored.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ sorting the corpus; equal values at the boundary go by id.
 Defined results: texts without words have importance 0. A null id counts as empty text.
 Repeated rows have equal values; where only some of them fit, row numbers within that tie
 decide. Null labels are not target. Without target texts both models are flat and equal.
-An empty table gives an empty result; other columns are ignored.
+Texts of any length are counted whole. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

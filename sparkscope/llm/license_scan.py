@@ -18,7 +18,8 @@ text is an error, not a cut. Documents are never shuffled.
 Defined results: null and empty texts have no matches. Overlapping finds of one template
 in a text are one match, with the largest containment. Templates without id or of fewer
 words than a shingle are ignored; equal templates are reported each under its id. Repeated
-rows each give their matches. Empty tables on either side give no rows.
+rows each give their matches, texts of any length are scanned whole, other columns are
+ignored. Empty tables on either side give no rows.
 """
 
 from __future__ import annotations
@@ -67,6 +68,55 @@ NOTICES = [
 ]
 
 
+_MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so"""
+_AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the distribution."""
+_BSD_THIRD = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission."""
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT
+NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON
+ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ISC_END = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES
+OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION,
+ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+
+# Whole texts of short licenses, and the tags that files carry instead of a text.
+LICENSES = [
+    ("mit", f"{_MIT_GRANT}, subject to the following conditions: The above copyright notice and this permission notice shall be included in "
+     f"all copies or substantial portions of the Software. {_AS_IS}"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+     f"that the above copyright notice and this permission notice appear in all copies. {_ISC_END}"),
+    ("0bsd", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. "
+     f"{_ISC_END}"),
+    ("bsd-2-clause", f"{_BSD} {_BSD_END}"),
+    ("bsd-3-clause", f"{_BSD} {_BSD_THIRD} {_BSD_END}"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+     "damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial "
+     "applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not "
+     "be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in "
+     "the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must "
+     "not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+     "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+     "non-commercial, and by any means."),
+    *((f"spdx-{x.lower()}", f"SPDX-License-Identifier: {x}") for x in (
+        "Apache-2.0", "MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later",
+        "LGPL-2.1-only", "LGPL-3.0-only", "AGPL-3.0-only", "MPL-2.0", "EPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "Unlicense")),
+]
+
+
 class Templates:
     """Shingles and band minima of the templates, by length class."""
 

@@ -15,7 +15,8 @@ agree. Single windows run over one row per source, and per source over one row p
 
 Defined results: a null text has size 0 and gives 0; a null source is a source of its
 own, last in order; null ids order as empty text; rows repeated with the same id are
-separate documents. An empty table, or one without words, gives targets of 0.
+separate documents. Texts of any length are counted whole. An empty table, or one without words,
+gives targets of 0; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -15,8 +15,9 @@ Document counts of terms cover all texts. Entities, terms and contexts are group
 partial counts; no entity's documents are gathered. Only candidate terms of a measured
 size are broadcast; beyond it the corpus counts are joined by shuffle.
 
-Defined results: null and empty texts have no spans. Offsets are code points. A null
-doc_id is kept as it is, repeated rows each get their row. An empty table gives an empty
+Defined results: null and empty texts have no spans. Offsets are code points. Contexts are
+counted in words, however far apart these are, and texts of any length are searched whole. A
+null doc_id is kept as it is, repeated rows each get their row. An empty table gives an empty
 result; other columns are ignored.
 """
 
@@ -25,7 +26,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -84,16 +85,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def terms_before(text: str, stop: int, reach: int) -> list[tuple[int, int]]:
+    """The last ``reach`` terms of ``text[:stop]``; looks back as far as they take, twice as far each time."""
+    look = 40 * reach
+    while True:
+        start = max(0, stop - look)
+        # A term that touches the start may have begun before it.
+        found = [(m.start(), m.end()) for m in TERM.finditer(text, start, stop) if m.start() > start or start == 0]
+        if start == 0 or len(found) >= reach:
+            return found[-reach:]
+        look *= 2
+
+
 def contexts(text: str, spans: list[tuple[int, int, int]], reach: int) -> list[dict]:
-    """The terms around each span, outside of all spans, with their places."""
+    """The ``reach`` terms on either side of each span, but for those in spans, with their places."""
     out, starts = [], [low for low, _, _ in spans]
     reached = list(accumulate((high for _, _, high in spans), max))
     for low, kind, high in spans:
-        # a run of this many characters on either side holds the words in reach, or a very long word that is left out
-        left, right = max(0, low - 40 * reach), min(len(text), high + 40 * reach)
-        before = [(m.start(), m.end()) for m in TERM.finditer(text, left, low) if m.start() > left or left == 0][-reach:]
-        after = [(m.start(), m.end()) for m in TERM.finditer(text, high, right) if m.end() < right or right == len(text)][:reach]
-        near = [x for x in before + after if not (i := bisect_left(starts, x[1])) or reached[i - 1] <= x[0]]
+        after = [(m.start(), m.end()) for m in islice(TERM.finditer(text, high), reach)]
+        near = [x for x in terms_before(text, low, reach) + after if not (i := bisect_left(starts, x[1])) or reached[i - 1] <= x[0]]
         terms = [{"term": text[a:b].translate(LOWER), "low": a, "high": b} for a, b in near]
         out.append({"entity": f"{KINDS[kind]}:{text[low:high].translate(LOWER)}",
                     "context": " ".join(x["term"] for x in terms), "terms": terms})

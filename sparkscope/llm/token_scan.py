@@ -16,8 +16,9 @@ rows of blocks, so Spark can split them; ``token_file_blocks`` cuts raw binary f
 
 Defined results: a null or empty text is a document of 0 tokens; end ids in a row are
 empty documents; tokens after the last end are a document marked as not complete. Text
-that spells a special token is ordinary text. Repeated rows are documents of their own. No
-files give no rows.
+that spells a special token is ordinary text. Repeated rows are documents of their own, texts
+of any length are encoded whole, null ids are kept. Other columns are ignored. No files give no
+rows.
 """
 
 from __future__ import annotations
