@@ -14,7 +14,8 @@ broadcast only if they measure small, else the joins are shuffled.
 
 Defined results: null, empty or wordless texts have no words and no hits, such items no
 windows; a null item_id counts as empty text; repeated items count once, repeated
-documents each get their row. Empty tables work on both sides; other columns are ignored.
+documents each get their row. Texts of any length are cut into words whole, in one row each.
+Empty tables work on both sides; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -72,7 +73,10 @@ def window_texts(words: Column, lengths: list[int]) -> Column:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for every document."""
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash) for every document.
+
+    ``text_hash`` is the text's ``xxhash64``, null counting as empty, and tells rows of one id apart.
+    """
     items = materialize(benchmark.select(
         F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item_id"), F.col(item_text_col).alias("item_text"))
         .withColumn("words", words_of("item_text")).where(F.size("words") > 0)
@@ -122,4 +126,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     return joined.select(
         "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"),
         F.sha2(F.coalesce("ids", F.lit("")), 256).alias("items_sha256"),
-        (F.coalesce("n_hit", zero) > 0).alias("contaminated"))
+        (F.coalesce("n_hit", zero) > 0).alias("contaminated"), "text_hash")

@@ -8,41 +8,51 @@ sketch is cut into D + 1 pieces by element hash, and by the pigeonhole principle
 documents agree in at least one piece. A piece is as wide as the hash space, so it is
 kept as the XOR of its elements' hashes, and unrelated documents do not meet by chance.
 
-1. One scan gives every document its set's fingerprint, size and a 512-bit parity sketch.
-   Equal sets share a fingerprint and count as one from here on.
-2. A second scan sends the piece keys into a shuffle; they are not written otherwise. Within a key every set is linked to the smallest fingerprint
-   (a star, never all pairs), sketches and sizes rule pairs out by their Hamming bound,
-   and the exact shingle sets of what is left decide.
+1. One scan gives every document its set's fingerprint, size and a parity sketch of at least
+   four bits an element; sketches are as wide as a power of two, so that a wider one folds to
+   the width of a narrower one, and all fold to 512 bits for a first look. Equal sets share a
+   fingerprint and count as one from here on.
+2. A second scan sends the piece keys into a shuffle; they are not written otherwise. A task
+   links the sets of a key within each block itself and sends one of them, so a key that a
+   third of all documents share costs a row a block. Within a key every set is linked to the
+   smallest fingerprint (a star, never all pairs), sizes and sketches rule pairs out by their
+   Hamming bound, and the exact shingle sets of what is left decide: only these are built.
 3. Verified links form components. Keys that still hold several components get the
    missing comparisons: sets outside the key's largest component against the others.
    Pairs within one component are never formed, so a group of n near copies costs about n.
 
+The result is written and everything else that was written on the way deleted.
+
 Nothing is capped: what a star leaves undecided is compared in step 3. Fingerprints and
 shingle hashes have 64 bits, two different ones agree with a chance of 2^-64.
 
 Defined results: null, empty and blank texts have the empty set and link with nothing;
 fewer words than a shingle has make one shingle of them all. A component is named by its
-smallest doc_id that is not null. Repeated rows are copies of each other. An empty table
-gives an empty result; other columns of the input are ignored.
+smallest doc_id that is not null. Repeated rows are copies of each other. Very long texts are
+cut into shingles whole, one at a time. An empty table gives an empty result; other columns of
+the input are ignored, except those named in ``carry``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkscope.llm.common import components, pick_rows, ship, sized
 from sparkscope.llm.textkit import Words, blocks, mix, shingles, text_values
-from sparkscope.runtime import materialize
+from sparkscope.runtime import materialize, new_path, scratch
 
 BAND_STEPS = 2
 LEVELS = 8
 SPARE = 8
+#: Words of the sketch that is compared first, and bits an element of the wide one.
 SKETCH_WORDS = 8
+SKETCH_BITS = 4
 
 
 def band_limits(num: int, den: int, top: int) -> np.ndarray:
@@ -121,24 +131,39 @@ def lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64)))
 
 
-def sketched(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+def parity_sketches(doc: np.ndarray, values: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words, offsets) of each set's parity sketch, ``SKETCH_BITS`` bits an element or more."""
+    words = np.maximum(SKETCH_WORDS, 1 << np.ceil(np.log2(np.maximum(1, sizes * SKETCH_BITS / 64))).astype(np.int64))
+    offsets = np.concatenate([[0], np.cumsum(words)])
+    bits = np.zeros(offsets[-1], np.uint64)
+    place = (values & ((words[doc] << 6) - 1).astype(np.uint64)).astype(np.int64)
+    np.bitwise_xor.at(bits, offsets[doc] + (place >> 6), np.uint64(1) << (values & np.uint64(63)))
+    return bits, offsets
+
+
+def sketched(batches: Iterator[pa.RecordBatch], words: int, carry: Sequence[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, ids = text_values(batch.column("text")), batch.column("doc_id")
+        texts, others = text_values(batch.column("text")), [batch.column(c) for c in ("doc_id", *carry)]
         for low, high in blocks(texts):
             n = high - low
             doc, values = shingles(Words(texts[low:high]), words)
             sizes = np.bincount(doc, minlength=n)
-            prints = set_prints(doc, values, n)
-            bits = np.zeros(n * SKETCH_WORDS, np.uint64)
-            np.bitwise_xor.at(bits, doc * SKETCH_WORDS + ((values >> np.uint64(6)) % np.uint64(SKETCH_WORDS)).astype(np.int64),
-                              np.uint64(1) << (values & np.uint64(63)))
-            sketch = pa.FixedSizeListArray.from_arrays(pa.array(bits.view(np.int64)), SKETCH_WORDS).cast(pa.list_(pa.int64()))
-            yield pa.record_batch([ids[low:high], pa.array(prints.view(np.int64)), pa.array(sizes), sketch],
-                                  ["doc_id", "print", "n", "sketch"])
+            bits, offsets = parity_sketches(doc, values, sizes)
+            first = np.zeros((n, SKETCH_WORDS), np.uint64)
+            np.bitwise_xor.at(first, (np.repeat(np.arange(n), np.diff(offsets)),
+                                      (np.arange(len(bits)) - np.repeat(offsets[:-1], np.diff(offsets))) % SKETCH_WORDS), bits)
+            quick = pa.FixedSizeListArray.from_arrays(pa.array(first.ravel().view(np.int64)), SKETCH_WORDS).cast(pa.list_(pa.int64()))
+            wide = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(bits.view(np.int64)))
+            yield pa.record_batch([*(x[low:high] for x in others), pa.array(set_prints(doc, values, n).view(np.int64)), pa.array(sizes),
+                                   quick, wide], ["doc_id", *carry, "print", "n", "sketch", "wide"])
 
 
 def keyed(batches: Iterator[pa.RecordBatch], words: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """(key, print) of every piece; of equal sets in a block one gives the keys."""
+    """(deal, key, print, other) of every piece; of equal sets in a block one gives the keys.
+
+    Sets of a block that share a key are linked here, to the smallest of them: such a link
+    (``other`` is set) is dealt anywhere, and only the smallest goes to the key's task.
+    """
     for batch in batches:
         texts = text_values(batch.column("text"))
         for low, high in blocks(texts):
@@ -150,7 +175,17 @@ def keyed(batches: Iterator[pa.RecordBatch], words: int, num: int, den: int) ->
             own = first[doc]
             sizes = np.where(first, np.bincount(doc, minlength=n), 0)
             d, keys = piece_keys(doc[own], values[own], sizes, num, den)
-            yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(prints[d].view(np.int64))], ["key", "print"])
+            own_print = prints[d].view(np.int64)
+            order = np.lexsort((own_print, keys))
+            keys, own_print = keys[order], own_print[order]
+            start = np.ones(len(keys), bool)
+            start[1:] = keys[1:] != keys[:-1]
+            lead = own_print[np.flatnonzero(start)[np.cumsum(start) - 1]] if len(keys) else own_print
+            keep = start | (own_print != lead)
+            start, keys, lead, own_print = start[keep], keys[keep], lead[keep], own_print[keep]
+            deal = np.where(start, keys, mix(keys ^ own_print.view(np.uint64)))
+            yield pa.record_batch([pa.array(deal.view(np.int64)), pa.array(keys.view(np.int64)), pa.array(lead),
+                                   pa.array(own_print, mask=start)], ["deal", "key", "print", "other"])
 
 
 def set_lists(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -163,9 +198,13 @@ def set_lists(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
 
 
 def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (key, print) rows to (key, first print of the key, other print)."""
+    """Sorted (key, print) rows to (key, first print of the key, other print); links that are there already pass."""
     last_key = pivot = last = None
     for batch in batches:
+        linked = batch.column("other").is_valid()
+        there = batch.filter(linked)
+        yield pa.record_batch([there.column(c) for c in ("key", "print", "other")], ["key", "a", "b"])
+        batch = batch.filter(pc.invert(linked))
         key, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "print"))
         if not len(key):
             continue
@@ -189,6 +228,33 @@ def possible(num: int, den: int) -> Column:
             & (F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num))
 
 
+def folded(sketch: str, words: Column) -> Column:
+    """A sketch of ``words`` or twice as many words, at a width of ``words``."""
+    half = F.zip_with(F.slice(sketch, F.lit(1), words), F.slice(sketch, words + 1, words), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(sketch) > words, half).otherwise(F.col(sketch))
+
+
+def still_possible(pairs: DataFrame, filled: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b), of sizes that may link, whose wide sketches allow a link too."""
+    wanted = sized(materialize(pairs.select(F.col("a").alias("print")).union(pairs.select("b")).distinct(), "wanted"))
+    wide = materialize(filled.select("print", "n", "wide").join(wanted, "print", "left_semi").dropDuplicates(["print"]), "wide")
+    for c in "ab":
+        pairs = pairs.join(wide.select(F.col("print").alias(c), F.col("n").alias(f"n_{c}"), F.col("wide").alias(f"wide_{c}")), c)
+    words = F.least(F.size("wide_a"), F.size("wide_b"))
+    apart = F.zip_with(folded("wide_a", words), folded("wide_b", words), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    hamming = F.aggregate(apart, F.lit(0), lambda total, x: total + x)
+    return materialize(pairs.where(hamming * (den + num) <= (F.col("n_a") + F.col("n_b")) * (den - num)).select("a", "b"), "possible")
+
+
+def sets_of(pairs: DataFrame, rows: DataFrame, sketches: DataFrame, words: int) -> DataFrame:
+    """(print, items): the exact shingle sets that the pairs need."""
+    wanted = sized(materialize(pairs.select(F.col("a").alias("print")).union(pairs.select("b")).distinct(), "wanted"))
+    ids = sketches.join(wanted, "print", "left_semi").select("doc_id")
+    return materialize(pick_rows(rows.select("doc_id", "text"), ids, ["doc_id"])
+                       .mapInArrow(lambda batches: set_lists(batches, words), "print bigint, items array<bigint>")
+                       .join(wanted, "print", "left_semi").dropDuplicates(["print"]), "sets")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose exact shingle sets reach the similarity."""
     left, right = (sets.select(F.col("print").alias(c), F.col("items").alias(f"items_{c}")) for c in "ab")
@@ -198,27 +264,41 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id): documents linked where intersection/union >= num/den."""
-    ship(docs.sparkSession)
-    id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+                       text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, n_shingles, component_id, component, *carry): documents linked where intersection/union >= num/den.
+
+    ``component`` tells components apart where ids are null or repeated; it is null for a
+    document without shingles, which is linked with nothing. ``carry`` names further columns.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    path = new_path(spark, "components")
+    with scratch(spark):
+        found = _components(docs, words, num, den, id_col, text_col, list(carry))
+        found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def _components(docs: DataFrame, words: int, num: int, den: int, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
+    rows = docs.select(F.col(id_col).alias("doc_id"), *carry, F.col(text_col).cast("binary").alias("text"))
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in ["doc_id", *carry])
     scanned = materialize(rows.mapInArrow(
-        lambda batches: sketched(batches, words), f"doc_id {id_type}, print bigint, n bigint, sketch array<bigint>"), "sketches")
+        lambda batches: sketched(batches, words, carry),
+        f"{kinds}, print bigint, n bigint, sketch array<bigint>, wide array<bigint>"), "sketches")
     filled = scanned.where("n > 0")
-    pieces = rows.select("text").mapInArrow(lambda batches: keyed(batches, words, num, den), "key bigint, print bigint")
-    star = materialize(pieces.repartition("key").sortWithinPartitions("key", "print").mapInArrow(stars, "key bigint, a bigint, b bigint"), "stars")
+    pieces = rows.select("text").mapInArrow(lambda batches: keyed(batches, words, num, den),
+                                            "deal bigint, key bigint, print bigint, other bigint")
+    star = materialize(pieces.repartition("deal").sortWithinPartitions("key", "print").mapInArrow(stars, "key bigint, a bigint, b bigint"), "stars")
     met = materialize(star.select(F.col("a").alias("print")).union(star.select("b")).distinct(), "met")
     sketches = materialize(filled.select("doc_id", "print", "n", "sketch").join(sized(met), "print", "left_semi")
                            .groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"),
                                                  F.max("sketch").alias("sketch")), "met-sketches")
     sides = [sketches.select(F.col("print").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
              for c in "ab"]
-    pairs = materialize(star.select("a", "b").distinct().join(sides[0], "a").join(sides[1], "b")
-                        .where(possible(num, den)).select("a", "b"), "pairs")
-    sets = materialize(pick_rows(rows, sketches.select("doc_id"), ["doc_id"])
-                       .mapInArrow(lambda batches: set_lists(batches, words), "print bigint, items array<bigint>")
-                       .join(sized(met), "print", "left_semi").dropDuplicates(["print"]), "sets")
+    seen = materialize(star.select("a", "b").distinct().join(sides[0], "a").join(sides[1], "b")
+                       .where(possible(num, den)).select("a", "b"), "pairs")
+    pairs = still_possible(seen, filled, num, den)
+    sets = sets_of(pairs, rows, sketches, words)
     # One pair of each set first; pairs that these already connect need no comparison.
     some = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "some-pairs")
     links = materialize(verified(some, sets, num, den), "links")
@@ -250,8 +330,8 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
              .where("component_a <> component_b and (component_b = main_b or print_a < print_b)").where(possible(num, den))
              .select(F.col("print_a").alias("a"), F.col("print_b").alias("b"))
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    cross = materialize(cross.join(pairs, ["a", "b"], "left_anti"), "cross")
-    more = materialize(verified(cross, sets, num, den), "more-links")
+    cross = still_possible(materialize(cross.join(seen, ["a", "b"], "left_anti"), "cross"), filled, num, den)
+    more = materialize(verified(cross, sets_of(cross, rows, sketches, words), num, den), "more-links")
     if more.limit(1).count():
         found = components(links.union(more))
 
@@ -260,7 +340,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
         "print", "low", F.coalesce("component", "print").alias("component"))
     named = materialize(named, "named")
     smallest = materialize(named.groupBy("component").agg(F.min("low").alias("component_id")), "smallest")
-    names = materialize(named.join(smallest, "component").select("print", "component_id"), "names")
-    full = filled.select("doc_id", "n", "print").join(names, "print")
-    return (full.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-            .union(scanned.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))))
+    names = materialize(named.join(smallest, "component").select("print", "component_id", "component"), "names")
+    full = filled.join(names, "print").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "component", *carry)
+    return full.union(scanned.where("n = 0").select(
+        "doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("bigint").alias("component"), *carry))

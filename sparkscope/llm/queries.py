@@ -13,7 +13,7 @@ from sparkscope.llm.decontaminate import contamination
 from sparkscope.llm.exact_dedup import exact_duplicates
 from sparkscope.llm.importance import importance_sample
 from sparkscope.llm.jaccard_join import jaccard_components
-from sparkscope.llm.license_scan import NOTICES, license_matches
+from sparkscope.llm.license_scan import LICENSES, NOTICES, license_matches
 from sparkscope.llm.lm_score import lm_scores
 from sparkscope.llm.mixing import mix_sources
 from sparkscope.llm.pii import personal_data, span_digest
@@ -53,7 +53,7 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)"""
 
 @query
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 WORD_SETS = r"""
@@ -119,7 +119,7 @@ FROM x"""
 
 @query
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
 WINDOW_SQL = ("CASE WHEN len(w) >= 10 THEN list_transform(generate_series(1, len(w) - 9), "
@@ -168,7 +168,7 @@ def op3_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_matches(table(spark, sf_dir, "documents"), NOTICES)
+    return license_matches(table(spark, sf_dir, "documents"), NOTICES + LICENSES)
 
 
 @query

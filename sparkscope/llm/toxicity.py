@@ -9,13 +9,15 @@ Defined results: null, blank and empty texts have no window and get the share of
 in the training sample (so does every text if one of the labels does not occur in it, and
 0 if there is no label at all). Null labels and labels of unknown documents teach nothing;
 a document with several label rows counts with each. A null doc_id is hashed as empty text
-and never learned from. Repeated rows get the same score. An empty table gives an empty
-result; other columns are ignored and never inputs of a score.
+and never learned from. Repeated rows get the same score; of several texts under one id the one
+with the smallest hash may be learned from. Texts of any length are scored whole, a block of
+windows at a time. An empty table gives an empty result; other columns are ignored and never
+inputs of a score.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +45,9 @@ def sample_of(labels: DataFrame, per_class: int) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, epochs: int = EPOCHS) -> tuple[bytes | None, float]:
     """(packed model, share of label 1 in the sample) from (doc_id, text) and (doc_id, label)."""
     chosen = sized(materialize(sample_of(labels, per_class), "label-sample"))
-    texts = docs.join(chosen, "doc_id").select("doc_id", "text", "label")
+    # One text of each sampled id, however often the id is repeated: the training task stays bounded.
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    texts = docs.join(chosen, "doc_id").groupBy("doc_id", "label").agg(one).select("doc_id", "one.text", "label")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [row for batch in batches for row in zip(batch.column("doc_id").to_pylist(), text_values(batch.column("text")),
@@ -86,13 +90,17 @@ def score_texts(docs: DataFrame, model: bytes | None, share: float, text_col: st
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, epochs: int = EPOCHS,
                     threshold: float = THRESHOLD, folds: int = 3, held_fold: int = 1, id_col: str = "doc_id",
-                    text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """(doc_id, held_out, score, predicted); rows whose id hash falls into ``held_fold`` are not learned from."""
+                    text_col: str = "text", label_col: str = "toxic", carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, held_out, *carry, score, predicted); rows whose id hash falls into ``held_fold`` are not learned from.
+
+    ``carry`` names further columns of ``docs``; of an id with several texts the one with the
+    smallest hash may be learned from.
+    """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"),
-                       (id_remainder(id_col, folds) == held_fold).alias("held_out"))
+                       (id_remainder(id_col, folds) == held_fold).alias("held_out"), *carry)
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).where(
         id_remainder("doc_id", folds) != held_fold)
     model, share = fit(rows, known, per_class, epochs)
-    scored = score_texts(rows, model, share, others=["doc_id", "held_out"])
+    scored = score_texts(rows, model, share, others=["doc_id", "held_out", *carry])
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
