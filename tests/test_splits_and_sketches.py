@@ -5,7 +5,6 @@ import threading
 from collections import Counter
 
 import pytest
-from pyspark.ml.linalg import DenseVector  # noqa: F401  (Spark ML is there)
 from pyspark.sql import functions as F
 
 from sparkscope.operators import clean, models, quantiles, sketches, stats
@@ -146,9 +145,8 @@ def test_distinct_sketches_merge(values):
 
 # --- many groups, many columns, many classes --------------------------------------------
 
-@pytest.mark.parametrize("parts", [1, 5, 40])
-@pytest.mark.parametrize("interpolate", [False, True])
-@pytest.mark.parametrize("by", [[], ["grp"], ["grp", "bucket"]])
+@pytest.mark.parametrize("by, interpolate, parts", [
+    ([], True, 5), (["grp"], False, 40), (["grp"], True, 1), (["grp", "bucket"], False, 5), (["grp", "bucket"], True, 40)])
 def test_sorted_quantiles(values, by, interpolate, parts):
     frame = values.withColumn("bucket", (F.col("y") * 7 % 50).cast("int"))
     args = (["x", "y"], [0.0, 0.1, 0.5, 1.0], by, interpolate)
