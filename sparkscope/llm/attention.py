@@ -13,8 +13,6 @@ others their smoothed corpus frequency after the previous subword's class.
 
 from __future__ import annotations
 
-import io
-
 import numpy as np
 
 BLOCK = 32
@@ -205,9 +203,3 @@ def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
         out[k] = values[at: at + x.size].reshape(x.shape).astype(np.float32)
         at += x.size
     return out
-
-
-def pack(**arrays: np.ndarray) -> bytes:
-    out = io.BytesIO()
-    np.savez(out, **arrays)
-    return out.getvalue()

@@ -13,8 +13,8 @@ kept as the XOR of its elements' hashes, and unrelated documents do not meet by
    the width of a narrower one, and all fold to 512 bits for a first look. Equal sets share a
    fingerprint and count as one from here on.
 2. A second scan sends the piece keys into a shuffle; they are not written otherwise. A task
-   links the sets of a key within each block itself and sends one of them, so a key that a
-   third of all documents share costs a row a block. Within a key every set is linked to the
+   links and verifies the sets of a key within each block itself and sends one of them, so a
+   key that a third of all documents share costs a row a block. Within a key every set is linked to the
    smallest fingerprint (a star, never all pairs), sizes and sketches rule pairs out by their
    Hamming bound, and the exact shingle sets of what is left decide: only these are built.
 3. Verified links form components. Keys that still hold several components get the
@@ -55,6 +55,10 @@ SKETCH_WORDS = 8
 SKETCH_BITS = 4
 
 
+#: What a block knows of a row of a star: nothing, a verified link, or one group of verified links.
+OPEN, LINK, INSIDE = 0, 1, 2
+
+
 def band_limits(num: int, den: int, top: int) -> np.ndarray:
     """Largest size of each band, to one band beyond that of ``top``: linked sizes are in the same or adjacent bands.
 
@@ -158,11 +162,45 @@ def sketched(batches: Iterator[pa.RecordBatch], words: int, carry: Sequence[str]
                                    quick, wide], ["doc_id", *carry, "print", "n", "sketch", "wide"])
 
 
+def join_in_block(lead: np.ndarray, other: np.ndarray, doc: np.ndarray, values: np.ndarray, num: int, den: int
+                  ) -> tuple[np.ndarray, np.ndarray]:
+    """Verify the (lead, other) documents of a block; per pair, whether it links two groups, and whether it lies in one group.
+
+    Groups are what verified links connect; a pair inside a group needs no verification.
+    """
+    first = np.searchsorted(doc, np.arange(doc[-1] + 2 if len(doc) else 1))
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = parent[x]
+        return x
+
+    pairs, index = np.unique(np.stack([lead, other], 1), axis=0, return_inverse=True)
+    tree = np.zeros(len(pairs), bool)
+    for i, (a, b) in enumerate(pairs.tolist()):
+        left, right = values[first[a]: first[a + 1]], values[first[b]: first[b + 1]]
+        if min(len(left), len(right)) * den < max(len(left), len(right)) * num or (root := top(a)) == (end := top(b)):
+            continue
+        both = np.sort(np.concatenate([left, right]))
+        shared = int((both[1:] == both[:-1]).sum())
+        if shared * den >= (len(both) - shared) * num:
+            parent[end], tree[i] = root, True
+    inside = np.array([top(a) == top(b) for a, b in pairs.tolist()], bool)
+    index = index.ravel()
+    fresh = np.zeros(len(index), bool)
+    fresh[np.unique(index, return_index=True)[1]] = True  # a link is told once
+    return tree[index] & fresh, inside[index]
+
+
 def keyed(batches: Iterator[pa.RecordBatch], words: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """(deal, key, print, other) of every piece; of equal sets in a block one gives the keys.
+    """(deal, key, print, other, state) of every piece; of equal sets in a block one gives the keys.
 
-    Sets of a block that share a key are linked here, to the smallest of them: such a link
-    (``other`` is set) is dealt anywhere, and only the smallest goes to the key's task.
+    Sets of a block that share a key are put in a star here, around the smallest of them: such a
+    row (``other`` is set) is dealt anywhere, and only the smallest goes to the key's task.
+    Their sets are at hand, so the stars are verified: ``state`` says whether a row is a link,
+    lies in a group that links connect, or is still open.
     """
     for batch in batches:
         texts = text_values(batch.column("text"))
@@ -173,19 +211,22 @@ def keyed(batches: Iterator[pa.RecordBatch], words: int, num: int, den: int) ->
             first = np.zeros(n, bool)
             first[np.unique(prints, return_index=True)[1]] = True
             own = first[doc]
-            sizes = np.where(first, np.bincount(doc, minlength=n), 0)
-            d, keys = piece_keys(doc[own], values[own], sizes, num, den)
-            own_print = prints[d].view(np.int64)
-            order = np.lexsort((own_print, keys))
-            keys, own_print = keys[order], own_print[order]
+            doc, values = doc[own], values[own]
+            d, keys = piece_keys(doc, values, np.bincount(doc, minlength=n), num, den)
+            signed = prints.view(np.int64)
+            order = np.lexsort((signed[d], keys))
+            keys, d = keys[order], d[order]
             start = np.ones(len(keys), bool)
             start[1:] = keys[1:] != keys[:-1]
-            lead = own_print[np.flatnonzero(start)[np.cumsum(start) - 1]] if len(keys) else own_print
-            keep = start | (own_print != lead)
-            start, keys, lead, own_print = start[keep], keys[keep], lead[keep], own_print[keep]
-            deal = np.where(start, keys, mix(keys ^ own_print.view(np.uint64)))
-            yield pa.record_batch([pa.array(deal.view(np.int64)), pa.array(keys.view(np.int64)), pa.array(lead),
-                                   pa.array(own_print, mask=start)], ["deal", "key", "print", "other"])
+            lead = d[np.flatnonzero(start)[np.cumsum(start) - 1]] if len(keys) else d
+            keep = start | (d != lead)
+            start, keys, lead, d = start[keep], keys[keep], lead[keep], d[keep]
+            state = np.full(len(keys), OPEN, np.int32)
+            tree, inside = join_in_block(lead[~start], d[~start], doc, values, num, den)
+            state[~start] = np.where(tree, LINK, np.where(inside, INSIDE, OPEN))
+            deal = np.where(start, keys, mix(keys ^ prints[d]))
+            yield pa.record_batch([pa.array(deal.view(np.int64)), pa.array(keys.view(np.int64)), pa.array(signed[lead]),
+                                   pa.array(signed[d], mask=start), pa.array(state)], ["deal", "key", "print", "other", "state"])
 
 
 def set_lists(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -203,7 +244,7 @@ def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         linked = batch.column("other").is_valid()
         there = batch.filter(linked)
-        yield pa.record_batch([there.column(c) for c in ("key", "print", "other")], ["key", "a", "b"])
+        yield pa.record_batch([there.column(c) for c in ("key", "print", "other", "state")], ["key", "a", "b", "state"])
         batch = batch.filter(pc.invert(linked))
         key, own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "print"))
         if not len(key):
@@ -217,7 +258,8 @@ def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = np.concatenate([[last if last is not None else own[0]], own[:-1]])
         keep = ~fresh & (own != before)
         last_key, last, pivot = key[-1], own[-1], pivots[-1]
-        yield pa.record_batch([pa.array(key[keep]), pa.array(pivots[keep]), pa.array(own[keep])], ["key", "a", "b"])
+        yield pa.record_batch([pa.array(key[keep]), pa.array(pivots[keep]), pa.array(own[keep]),
+                               pa.array(np.full(int(keep.sum()), OPEN, np.int32))], ["key", "a", "b", "state"])
 
 
 def possible(num: int, den: int) -> Column:
@@ -263,6 +305,11 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return pairs.join(left, "a").join(right, "b").where(shared * den >= union * num).select("a", "b")
 
 
+def as_links(found: DataFrame) -> DataFrame:
+    """Components as the links of their stars, to which more links can be added."""
+    return found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id",
                        text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """(doc_id, n_shingles, component_id, component, *carry): documents linked where intersection/union >= num/den.
@@ -287,22 +334,23 @@ def _components(docs: DataFrame, words: int, num: int, den: int, id_col: str, te
         f"{kinds}, print bigint, n bigint, sketch array<bigint>, wide array<bigint>"), "sketches")
     filled = scanned.where("n > 0")
     pieces = rows.select("text").mapInArrow(lambda batches: keyed(batches, words, num, den),
-                                            "deal bigint, key bigint, print bigint, other bigint")
-    star = materialize(pieces.repartition("deal").sortWithinPartitions("key", "print").mapInArrow(stars, "key bigint, a bigint, b bigint"), "stars")
+                                            "deal bigint, key bigint, print bigint, other bigint, state int")
+    star = materialize(pieces.repartition("deal").sortWithinPartitions("key", "print").mapInArrow(
+        stars, "key bigint, a bigint, b bigint, state int"), "stars")
     met = materialize(star.select(F.col("a").alias("print")).union(star.select("b")).distinct(), "met")
     sketches = materialize(filled.select("doc_id", "print", "n", "sketch").join(sized(met), "print", "left_semi")
                            .groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"),
                                                  F.max("sketch").alias("sketch")), "met-sketches")
     sides = [sketches.select(F.col("print").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
              for c in "ab"]
-    seen = materialize(star.select("a", "b").distinct().join(sides[0], "a").join(sides[1], "b")
+    in_blocks = star.where(F.col("state") == LINK).select("a", "b")
+    seen = materialize(star.where(F.col("state") == OPEN).select("a", "b").distinct().join(sides[0], "a").join(sides[1], "b")
                        .where(possible(num, den)).select("a", "b"), "pairs")
     pairs = still_possible(seen, filled, num, den)
     sets = sets_of(pairs, rows, sketches, words)
     # One pair of each set first; pairs that these already connect need no comparison.
     some = materialize(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "some-pairs")
-    links = materialize(verified(some, sets, num, den), "links")
-    found = components(links)
+    found = components(in_blocks.union(materialize(verified(some, sets, num, den), "links")))
     others = pairs.join(some, ["a", "b"], "left_anti")
     for c in "ab":
         named = found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
@@ -310,8 +358,7 @@ def _components(docs: DataFrame, words: int, num: int, den: int, id_col: str, te
     others = materialize(others.where("of_a <> of_b").select("a", "b"), "other-pairs")
     found_too = materialize(verified(others, sets, num, den), "links")
     if found_too.limit(1).count():
-        links = links.union(found_too)
-        found = components(links)
+        found = components(as_links(found).union(found_too))
 
     # What the stars leave undecided: keys whose sets lie in several components.
     members = (star.select("key", F.col("a").alias("print")).union(star.select("key", "b")).distinct()
@@ -333,7 +380,7 @@ def _components(docs: DataFrame, words: int, num: int, den: int, id_col: str, te
     cross = still_possible(materialize(cross.join(seen, ["a", "b"], "left_anti"), "cross"), filled, num, den)
     more = materialize(verified(cross, sets_of(cross, rows, sketches, words), num, den), "more-links")
     if more.limit(1).count():
-        found = components(links.union(more))
+        found = components(as_links(found).union(more))
 
     named = filled.groupBy("print").agg(F.min("doc_id").alias("low")).join(
         found.withColumnRenamed("node", "print"), "print", "left").select(

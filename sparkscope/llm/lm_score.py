@@ -6,9 +6,11 @@
 2. Word counts: each chunk sends its distinct words to their owners by hash and gets the
    corpus count back; so do subword and (class, subword) pair counts, whose number is bounded
    by the vocabulary.
-3. Training (``attention.py``, numpy): in each round every task trains a replica on a fixed
-   share of all blocks of its training texts, another share each round, and the replicas
-   are averaged by the tokens they saw. After the last round every block was learned from once.
+3. Training (``attention.py``, numpy): training texts are dealt by a hash of id and tokens to
+   rounds and to replicas of the model, one for so many training words. In each round every
+   replica learns from its texts of that round, in the order of their hashes, and the replicas
+   are averaged by the tokens they saw. After the last round every text was learned from once.
+   Neither the partitioning of the input nor the number of tasks changes the result.
 4. Scoring: every chunk meets its word counts, and batched masked attention over overlapping
    context windows scores every token once. A word's probability is ``word_share`` times its
    relative frequency in the training words plus the rest times the product of its subwords'
@@ -19,29 +21,32 @@ is bounded by the vocabulary of the tokenizer.
 
 Defined results: null, empty and blank texts have one token, their end. A null id counts as
 empty text for its fold. Words are told apart by 64-bit hashes. Without training texts
-all words are unknown and the model is as it starts. Repeated rows get equal scores. An empty
+all words are unknown and the model is as it starts. Repeated rows get equal scores. Texts of
+any length are scored whole. An empty
 table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkscope.llm import attention
 from sparkscope.llm.common import id_remainder, ship
-from sparkscope.llm.textkit import Words, blocks, mix, text_values
+from sparkscope.llm.textkit import Words, blocks, text_values
 from sparkscope.llm.token_scan import END_ID, RANKS_FILE, encoder
 from sparkscope.runtime import materialize
 
 CHUNK_BYTES = 6 << 20
-#: As many rounds as shares: all blocks are learned from.
-ROUNDS, SHARE = 3, 3
+ROUNDS = 3
+#: Training words for each replica of the model, and tokens whose blocks it takes in mixed order.
+REPLICA_WORDS, TOKENS_AT_ONCE = 4_000_000, 400_000
 RATES = (0.01, 0.006, 0.003)
 #: Words whose subwords a worker remembers between chunks, and the longest of them.
 REMEMBERED, REMEMBERED_BYTES = 300_000, 20
@@ -114,6 +119,7 @@ def chunked(batches: Iterator[pa.RecordBatch], ranks_file: str, chunk_bytes: int
                 pa.array([end + 1], pa.int64()), packed(lengths), packed(np.frombuffer(b"".join(ids), "<u2"))],
                 ["doc_ids", "chunk", "held_out", "n_tokens", "words", "hashes", "counts", "n_words", "lengths", "subwords"])
             number += 1
+    _known_words.clear()  # the worker lives on
 
 
 class Stream:
@@ -180,32 +186,68 @@ def pair_counts(chunks: DataFrame, order: np.ndarray) -> tuple[np.ndarray, np.nd
     return pairs // (END_ID + 1), pairs % (END_ID + 1), rows["n"].to_numpy()
 
 
-def round_blocks(chunk: int, learned: np.ndarray, turn: int, share: int) -> np.ndarray:
-    """Which blocks of a chunk a round learns from; ``learned`` says which are of training texts."""
-    place = (np.uint64(chunk) << np.uint64(24)) + np.arange(len(learned), dtype=np.uint64)
-    return np.flatnonzero((mix(place) % np.uint64(share) == turn) & learned)
-
+def training_texts(batches: Iterator[pa.RecordBatch], turn: int, rounds: int, replicas: int) -> Iterator[pa.RecordBatch]:
+    """(replica, place, tokens) of the training texts of a round, by a hash of id and tokens (so that copies spread)."""
+    for batch in batches:
+        for row in range(len(batch)):
+            stream, replica, place, texts = Stream(batch, row), [], [], []
+            tokens, ids = stream.tokens.astype("<u2"), batch.column("doc_ids")[row].as_py()
+            for doc in np.flatnonzero(~stream.held):
+                own = tokens[stream.doc_start[doc]: stream.doc_start[doc + 1]].tobytes()
+                number = int.from_bytes(hashlib.blake2b(f"{ids[doc]}:".encode() + own, digest_size=8).digest(), "big")
+                if number % rounds == turn:
+                    replica.append(number // rounds % replicas)
+                    place.append((number >> 1) - (1 << 62))
+                    texts.append(own)
+            yield pa.record_batch([pa.array(replica, pa.int64()), pa.array(place, pa.int64()), pa.array(texts, pa.binary())],
+                                  ["replica", "place", "tokens"])
+
+
+def replica_sums(batches: Iterator[pa.RecordBatch], start: np.ndarray, frequencies: attention.Frequencies, rate: float
+                 ) -> Iterator[pa.RecordBatch]:
+    """Train a replica on each run of equal ``replica``; parameters times tokens seen, and these."""
+    trainer, own, texts, waiting = None, None, [], 0
+
+    def learn() -> None:
+        """Blocks in a fixed mixed order, so that a step sees many texts."""
+        sizes = [len(x) // 2 for x in texts]
+        tokens = np.frombuffer(b"".join(texts), "<u2").astype(np.int32)
+        doc_start = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        first = attention.block_starts(doc_start)[0]
+        trainer.learn(tokens, doc_start, END_ID, np.random.default_rng(len(first)).permutation(len(first)))
+        texts.clear()
+
+    def done() -> Iterator[pa.RecordBatch]:
+        if trainer is not None:
+            if texts:
+                learn()
+            total = attention.flat(trainer.p) * trainer.seen
+            yield pa.record_batch([pa.array([total.tobytes()], pa.binary()), pa.array([trainer.seen])], ["total", "seen"])
 
-def trained(chunks: DataFrame, frequencies: attention.Frequencies, rounds: int, share: int) -> np.ndarray:
-    """Parameters after ``rounds`` of averaging replicas; a round learns from one in ``share`` blocks."""
+    for batch in batches:
+        for replica, text in zip(batch.column("replica").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
+            if replica != own:
+                yield from done()
+                own, trainer, waiting = replica, attention.Trainer(attention.shaped(start), frequencies, rate), 0
+            texts.append(text)
+            waiting += len(text) // 2
+            if waiting >= TOKENS_AT_ONCE:
+                learn()
+                waiting = 0
+    yield from done()
+
+
+def trained(chunks: DataFrame, frequencies: Broadcast, rounds: int, replicas: int) -> np.ndarray:
+    """Parameters after ``rounds`` of averaging the replicas; a round learns from one in ``rounds`` texts."""
     values = attention.flat(attention.start_values())
-    context = chunks.sparkSession.sparkContext
-    shared = context.broadcast(frequencies)
+    spark = chunks.sparkSession
     size = len(values)
+    parts = min(replicas, int(spark.conf.get("spark.sql.shuffle.partitions")))
     for turn in range(rounds):
-        start, rate = context.broadcast(values), RATES[min(turn, len(RATES) - 1)]
+        start, rate = spark.sparkContext.broadcast(values), RATES[min(turn, len(RATES) - 1)]
 
-        def learn(batches: Iterator[pa.RecordBatch], turn=turn, start=start, rate=rate) -> Iterator[pa.RecordBatch]:
-            trainer = attention.Trainer(attention.shaped(start.value), shared.value, rate)
-            for batch in batches:
-                for row in range(len(batch)):
-                    stream = Stream(batch, row)
-                    first = attention.block_starts(stream.doc_start)[0]
-                    chosen = round_blocks(batch.column("chunk")[row].as_py(), stream.learned[first], turn, share)
-                    trainer.learn(stream.tokens, stream.doc_start, END_ID, chosen)
-            if trainer.seen:
-                total = attention.flat(trainer.p) * trainer.seen
-                yield pa.record_batch([pa.array([total.tobytes()], pa.binary()), pa.array([trainer.seen])], ["total", "seen"])
+        def learn(batches: Iterator[pa.RecordBatch], start=start, rate=rate) -> Iterator[pa.RecordBatch]:
+            return replica_sums(batches, start.value, frequencies.value, rate)
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total, seen = np.zeros(size), 0
@@ -216,7 +258,11 @@ def trained(chunks: DataFrame, frequencies: attention.Frequencies, rounds: int,
             yield pa.record_batch([pa.array([total.tobytes()], pa.binary()), pa.array([seen])], ["total", "seen"])
 
         kind = "total binary, seen bigint"
-        sums = chunks.select("chunk", *STREAM).mapInArrow(learn, kind).repartition(AVERAGERS).mapInArrow(add, kind).collect()
+        texts = chunks.select("doc_ids", *STREAM).mapInArrow(lambda b, turn=turn: training_texts(b, turn, rounds, replicas),
+                                                  "replica bigint, place bigint, tokens binary")
+        dealt = texts.repartitionById(parts, (F.col("replica") % parts).cast("int")).sortWithinPartitions("replica", "place")
+        sums = dealt.mapInArrow(learn, kind).repartition(AVERAGERS).mapInArrow(add, kind).collect()
+        start.unpersist()
         seen = sum(row["seen"] for row in sums)
         if seen:
             values = sum(np.frombuffer(row["total"]) for row in sums) / seen
@@ -224,7 +270,7 @@ def trained(chunks: DataFrame, frequencies: attention.Frequencies, rounds: int,
 
 
 def lm_scores(docs: DataFrame, ranks_file: str = RANKS_FILE, folds: int = 5, held_fold: int = 1, rounds: int = ROUNDS,
-              share: int = SHARE, word_share: float = WORD_SHARE, chunk_bytes: int = CHUNK_BYTES, id_col: str = "doc_id",
+              replica_words: int = REPLICA_WORDS, word_share: float = WORD_SHARE, chunk_bytes: int = CHUNK_BYTES, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, attention_score) of every text.
 
@@ -240,19 +286,18 @@ def lm_scores(docs: DataFrame, ranks_file: str = RANKS_FILE, folds: int = 5, hel
                                          f"doc_ids array<{id_type}>, {CHUNK_FIELDS}"), "chunks")
     word_rows = chunks.select("chunk", "counts", F.posexplode("hashes").alias("at", "hash")).select(
         "chunk", "at", "hash", F.get("counts", "at").alias("n"))
-    by_word = "partition by hash order by chunk rows between unbounded preceding and unbounded following"
-    known = materialize(word_rows.select("chunk", "at", "n", F.expr(f"sum(n) over ({by_word})").alias("count"), F.expr(
-        f"chunk = first(chunk) over ({by_word})").alias("first")), "word-counts")
-    size = known.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count_if(F.col("first") & (F.col("count") > 0)).alias("words")).first()
+    # Partial sums before the shuffle; the join back may split a word that every chunk has.
+    by_word = materialize(word_rows.groupBy("hash").agg(F.sum("n").alias("count")), "words")
+    known = materialize(word_rows.select("chunk", "at", "hash").join(by_word.hint("merge"), "hash").select("chunk", "at", "count"), "word-counts")
+    size = by_word.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("tokens"), F.count_if(F.col("count") > 0).alias("words")).first()
     tokens, smooth = size["tokens"], size["tokens"] + 0.5 * (size["words"] + 1)
 
     order = subword_counts(chunks)
-    frequencies = attention.Frequencies(order, END_ID + 1, pair_counts(chunks, order))
-    values = trained(chunks, frequencies, rounds, share)
-    shared = context.broadcast((attention.shaped(values), frequencies))
+    frequencies = context.broadcast(attention.Frequencies(order, END_ID + 1, pair_counts(chunks, order)))
+    values = attention.shaped(trained(chunks, frequencies, rounds, max(1, -(-tokens // replica_words))))
 
     def score(table: pa.Table, words: pa.Table) -> pa.Table:
-        p, f = shared.value
+        p, f = values, frequencies.value
         counts = np.zeros(len(words))
         counts[words["at"].to_numpy()] = words["count"].to_numpy()
         table = table.combine_chunks()

@@ -510,15 +510,38 @@ def test_lm_scores(docs, texts, nothing):
     assert lm_score.lm_scores(nothing).count() == 0
 
 
-def test_attention_learns_from_every_training_block():
-    rng = np.random.default_rng(3)
-    for chunk in (0, 7, (5 << 32) + 1):
-        learned = rng.random(5000) < 0.8
-        rounds = [lm_score.round_blocks(chunk, learned, turn, lm_score.SHARE) for turn in range(lm_score.ROUNDS)]
-        assert np.array_equal(np.sort(np.concatenate(rounds)), np.flatnonzero(learned))
+def test_attention_learns_from_every_training_text_once(spark, docs, texts):
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"), (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1).alias("held_out"))
+    chunks = rows.mapInArrow(lambda b: lm_score.chunked(b, lm_score.RANKS_FILE, 3000), f"doc_ids array<bigint>, {lm_score.CHUNK_FIELDS}").cache()
+    encoding = lm_score.encoder(lm_score.RANKS_FILE)
+    want = Counter(np.array([*(i for w in spaced(t) for i in encoding.encode_ordinary(" " + w)), lm_score.END_ID], "<u2").tobytes()
+                   for n, t in enumerate(texts) if zlib.crc32(str(n).encode()) % 5 != 1)
+    got = Counter()
+    for turn in range(lm_score.ROUNDS):
+        found = chunks.select("doc_ids", *lm_score.STREAM).mapInArrow(
+            lambda b, turn=turn: lm_score.training_texts(b, turn, lm_score.ROUNDS, 4), "replica bigint, place bigint, tokens binary").collect()
+        assert {r.replica for r in found} == {0, 1, 2, 3}
+        got.update(bytes(r.tokens) for r in found)
+    assert got == want
     assert lm_score.attention.BLOCK >= 32 and lm_score.attention.HEAD >= 160
 
 
+def test_lm_scores_do_not_depend_on_partitioning(spark, texts):
+    frame = spark.createDataFrame([(i if i % 9 else None, t) for i, t in enumerate(texts)] + [(5, "repeated row")] * 3, "doc_id bigint, text string")
+    runs = []
+    for parts, size in ((1, 1 << 20), (4, 3000), (32, 9000)):
+        got = lm_score.lm_scores(frame.repartition(parts), replica_words=4000, chunk_bytes=size).collect()
+        runs.append(sorted((r.doc_id if r.doc_id is not None else -1, r.n_tokens, round(r.base_score, 6), r.score, r.attention_score) for r in got))
+    for other in runs[1:]:
+        assert [r[:3] for r in other] == [r[:3] for r in runs[0]]
+        assert np.allclose([r[3:] for r in other], [r[3:] for r in runs[0]], rtol=0, atol=1e-3) and len(other) == len(texts) + 3
+        assert max(abs(a[3] - b[3]) / a[1] for a, b in zip(other, runs[0])) < 1e-6
+    ends = Counter(zlib.crc32(str(i if i % 9 else "").encode()) % 5 != 1 for i in range(len(texts)))[True] + 3 * (zlib.crc32(b"5") % 5 != 1)
+    blank = next(r for r in got if r.n_tokens == 1)
+    want = math.log10(0.5 * ends / blank.train_tokens + 0.5 * 10 ** blank.attention_score)
+    assert math.isclose(blank.score, want, rel_tol=1e-6)
+
+
 def test_attention_is_causal_normalised_and_block_free():
     from sparkscope.llm import attention as A
     rng = np.random.default_rng(2)
@@ -572,3 +595,79 @@ def test_attention_gradients():
 def test_columns_of_the_input_may_clash(spark, docs):
     clash = docs.select("doc_id", "text", "source", *[F.lit(1).alias(c) for c in ("keep_id", "component_id", "target", "taken", "words", "hash", "held_out")])
     assert exact_dedup.exact_duplicates(clash).count() == jaccard_join.jaccard_components(clash).count() == mixing.mix_sources(clash).count()
+
+
+# --- contexts of personal data ---------------------------------------------------------
+
+@pytest.mark.parametrize("gap", [" ", " " * 2000, " -- " * 900])
+def test_contexts_reach_words_at_any_distance(gap):
+    words = [f"word{i}" for i in range(12)]
+    text = gap.join([*words, "x@y.example.com", *reversed(words)])
+    found = pii.contexts(text, pii.base_spans(text), 8)
+    assert [t["term"] for t in found[0]["terms"]] == [*words[-8:], *reversed(words[-8:])]
+    long = "a" * 5000 + " x@y.example.com " + "b" * 5000
+    assert [len(t["term"]) for t in pii.contexts(long, pii.base_spans(long), 8)[0]["terms"]] == [5000, 5000]
+
+
+# --- license containment by brute force -------------------------------------------------
+
+def license_shingles(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.translate(LOWER))
+    return [tuple(words[i: i + 3]) for i in range(len(words) - 2)]
+
+
+def test_license_containment_by_brute_force(spark):
+    """Every template with four fifths of its shingles in one passage is found, none with fewer in the whole text."""
+    rng = random.Random(12)
+    templates = license_scan.NOTICES + license_scan.LICENSES
+    filler = [f"f{i}" for i in range(400)]
+    texts = []
+    for share in (0.6, 0.79, 0.81, 0.9, 1.0):
+        for _, notice in templates:
+            words = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", notice)
+            n = len(words) - 2
+            kept = words[: math.floor(share * n) + 2] if share < 0.8 else words[: math.ceil(share * n) + 2]
+            lead = [rng.choice(filler) for _ in range(rng.randrange(0, 60))]
+            texts.append(" ".join([*lead, *kept, *(rng.choice(filler) for _ in range(rng.randrange(0, 60)))]))
+    found = {(r.doc_id, r.license) for r in license_scan.license_matches(table(spark, texts), templates).collect()}
+    wanted = lost = 0
+    for i, text in enumerate(texts):
+        own = license_shingles(text)
+        for name, notice in templates:
+            needed = set(license_shingles(notice))
+            if len(needed & set(own)) < 0.8 * len(needed):
+                assert (i, name) not in found
+                continue
+            size = len(license_shingles(notice))
+            if any(len(needed & set(own[p: p + size])) >= 0.8 * len(needed) for p in range(max(1, len(own) - size + 1))):
+                wanted, lost = wanted + 1, lost + ((i, name) not in found)
+    assert wanted > 100 and lost <= 0.005 * wanted
+
+
+# --- stars verified inside a block ------------------------------------------------------
+
+def test_join_in_block_connects_what_links_do():
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        n = int(rng.integers(2, 14))
+        base = rng.integers(1, 1 << 60, 40, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([base[rng.random(40) < 0.97], rng.integers(1, 1 << 60, int(rng.integers(0, 4)), dtype=np.uint64)]))
+                for _ in range(n)]
+        doc, values = np.repeat(np.arange(n), [len(x) for x in sets]), np.concatenate(sets)
+        pairs = [(a, b) for a in range(n) for b in range(n) if a != b and rng.random() < 0.5] * 2
+        lead, other = (np.array([p[i] for p in pairs], np.int64) for i in (0, 1))
+        tree, inside = jaccard_join.join_in_block(lead, other, doc, values, 9, 10)
+        group = list(range(n))
+        for a, b in pairs:
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 10 * both >= 9 * (len(sets[a]) + len(sets[b]) - both):
+                group = [group[a] if g == group[b] else g for g in group]
+        assert inside.tolist() == [group[a] == group[b] for a, b in pairs]
+        linked = list(range(n))
+        for (a, b), link in zip(pairs, tree):
+            if link:
+                assert linked[a] != linked[b]  # no link is told twice or closes a ring
+                linked = [linked[a] if g == linked[b] else g for g in linked]
+        assert [[linked[a] == linked[b] for b in range(n)] for a in range(n)] == [[group[a] == group[b] for b in range(n)] for a in range(n)]
+    tree, inside = jaccard_join.join_in_block(*(np.zeros(0, np.int64),) * 3, np.zeros(0, np.uint64), 9, 10)
+    assert not len(tree) and not len(inside)
