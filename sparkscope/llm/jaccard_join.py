@@ -14,8 +14,8 @@ kept as the XOR of its elements' hashes, and unrelated documents do not meet by
    fingerprint and count as one from here on.
 2. A second scan sends the piece keys into a shuffle; they are not written otherwise. A task
    links and verifies the sets of a key within each block itself and sends one of them, so a
-   key that a third of all documents share costs a row a block. Within a key every set is linked to the
-   smallest fingerprint (a star, never all pairs), sizes and sketches rule pairs out by their
+   key that a third of all documents share costs a row a block. Within a key every set is linked to
+   the one that shares most keys in its block (a star, never all pairs), sizes and sketches rule pairs out by their
    Hamming bound, and the exact shingle sets of what is left decide: only these are built.
 3. Verified links form components. Keys that still hold several components get the
    missing comparisons: sets outside the key's largest component against the others.
@@ -195,10 +195,11 @@ def join_in_block(lead: np.ndarray, other: np.ndarray, doc: np.ndarray, values:
 
 
 def keyed(batches: Iterator[pa.RecordBatch], words: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """(deal, key, print, other, state) of every piece; of equal sets in a block one gives the keys.
+    """(deal, key, print, other, state, score) of every piece; of equal sets in a block one gives the keys.
 
-    Sets of a block that share a key are put in a star here, around the smallest of them: such a
-    row (``other`` is set) is dealt anywhere, and only the smallest goes to the key's task.
+    Sets of a block that share a key are put in a star here, around the one with the largest
+    ``score``, the number of keys it shares in the block: such a row (``other`` is set) is dealt
+    anywhere, and only the middle of the star goes to the key's task.
     Their sets are at hand, so the stars are verified: ``state`` says whether a row is a link,
     lies in a group that links connect, or is still open.
     """
@@ -214,7 +215,10 @@ def keyed(batches: Iterator[pa.RecordBatch], words: int, num: int, den: int) ->
             doc, values = doc[own], values[own]
             d, keys = piece_keys(doc, values, np.bincount(doc, minlength=n), num, den)
             signed = prints.view(np.int64)
-            order = np.lexsort((signed[d], keys))
+            # A set that shares many keys lies in the middle of its group, so that most others link with it.
+            _, run, many = np.unique(keys, return_inverse=True, return_counts=True)
+            score = np.bincount(d[many[run] > 1], minlength=n).astype(np.int32)
+            order = np.lexsort((signed[d], -score[d], keys))
             keys, d = keys[order], d[order]
             start = np.ones(len(keys), bool)
             start[1:] = keys[1:] != keys[:-1]
@@ -226,7 +230,8 @@ def keyed(batches: Iterator[pa.RecordBatch], words: int, num: int, den: int) ->
             state[~start] = np.where(tree, LINK, np.where(inside, INSIDE, OPEN))
             deal = np.where(start, keys, mix(keys ^ prints[d]))
             yield pa.record_batch([pa.array(deal.view(np.int64)), pa.array(keys.view(np.int64)), pa.array(signed[lead]),
-                                   pa.array(signed[d], mask=start), pa.array(state)], ["deal", "key", "print", "other", "state"])
+                                   pa.array(signed[d], mask=start), pa.array(state), pa.array(score[lead])],
+                                  ["deal", "key", "print", "other", "state", "score"])
 
 
 def set_lists(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -239,7 +244,7 @@ def set_lists(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
 
 
 def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (key, print) rows to (key, first print of the key, other print); links that are there already pass."""
+    """Rows sorted by key and score to (key, first print of the key, other print); links that are there already pass."""
     last_key = pivot = last = None
     for batch in batches:
         linked = batch.column("other").is_valid()
@@ -256,7 +261,7 @@ def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = np.cumsum(fresh) - 1
         pivots = np.where(run >= 0, own[starts[np.maximum(run, 0)]] if len(starts) else 0, pivot if pivot is not None else 0)
         before = np.concatenate([[last if last is not None else own[0]], own[:-1]])
-        keep = ~fresh & (own != before)
+        keep = ~fresh & (own != before) & (own != pivots)
         last_key, last, pivot = key[-1], own[-1], pivots[-1]
         yield pa.record_batch([pa.array(key[keep]), pa.array(pivots[keep]), pa.array(own[keep]),
                                pa.array(np.full(int(keep.sum()), OPEN, np.int32))], ["key", "a", "b", "state"])
@@ -334,8 +339,8 @@ def _components(docs: DataFrame, words: int, num: int, den: int, id_col: str, te
         f"{kinds}, print bigint, n bigint, sketch array<bigint>, wide array<bigint>"), "sketches")
     filled = scanned.where("n > 0")
     pieces = rows.select("text").mapInArrow(lambda batches: keyed(batches, words, num, den),
-                                            "deal bigint, key bigint, print bigint, other bigint, state int")
-    star = materialize(pieces.repartition("deal").sortWithinPartitions("key", "print").mapInArrow(
+                                            "deal bigint, key bigint, print bigint, other bigint, state int, score int")
+    star = materialize(pieces.repartition("deal").sortWithinPartitions("key", F.desc("score"), "print").mapInArrow(
         stars, "key bigint, a bigint, b bigint, state int"), "stars")
     met = materialize(star.select(F.col("a").alias("print")).union(star.select("b")).distinct(), "met")
     sketches = materialize(filled.select("doc_id", "print", "n", "sketch").join(sized(met), "print", "left_semi")
