@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkscope.functions.columns import (
@@ -379,16 +379,19 @@ def within_sql(probs, table_sql: str = "lineitem", by: str = "") -> str:
       FROM {table_sql}, (SELECT unnest({list(probs)}::DOUBLE[]) AS p) GROUP BY {key}p""", QUANTILE_COLUMNS)
 
 
-def within(checked: DataFrame, allowed: float) -> DataFrame:
+def within(checked: DataFrame, allowed: float | Column) -> DataFrame:
     return checked.withColumn("within", F.col("rank_error") <= allowed).drop("value", "rank_error")
 
 
-@query(within_sql([0.25, 0.5, 0.75]))
+@query(union_sql("""SELECT '{c}' AS "column", p, value, n, true AS within FROM (
+  SELECT unnest([0.25, 0.5, 0.75]::DOUBLE[]) AS p, unnest(quantile_disc({c}, [0.25, 0.5, 0.75])) AS value, count({c}) AS n
+  FROM lineitem)""", QUANTILE_COLUMNS))
 def quantiles_sketch(spark, sf):
-    """The sketch at its usual accuracy: the ranks of its values are counted in the data."""
-    lines = table(spark, sf, "lineitem")
-    found = quantiles.quantiles(lines, QUANTILE_COLUMNS, [0.25, 0.5, 0.75])
-    return within(quantiles.rank_errors(lines, found), 1 / quantiles.SKETCH_ACCURACY)
+    """Exact quantiles found from the sketch, and whether the sketch's own are within its error of rows / accuracy, rounded up."""
+    lines, probs = table(spark, sf, "lineitem"), [0.25, 0.5, 0.75]
+    found = quantiles.refined_quantiles(lines, QUANTILE_COLUMNS, probs)
+    checked = quantiles.rank_errors(lines, quantiles.quantiles(lines, QUANTILE_COLUMNS, probs))
+    return found.join(within(checked, F.ceil(F.col("n") / quantiles.SKETCH_ACCURACY) / F.col("n")), ["column", "p"])
 
 
 def daily_summaries(spark, sf) -> DataFrame:

@@ -128,6 +128,20 @@ def test_merged_summaries_equal_direct_ones(values):
     assert sketches.summaries(values.limit(0), ["x"]).count() == 0
 
 
+@pytest.mark.parametrize("accuracy", [4, 10_000])
+def test_refined_quantiles_are_exact(values, accuracy):
+    for by in ([], ["grp"]):
+        want = quantiles.exact_quantiles(values, ["x", "y"], [0.0, 0.1, 0.5, 1.0], by)
+        found = quantiles.refined_quantiles(values, ["x", "y"], [0.0, 0.1, 0.5, 1.0], by, accuracy, max_ranked=50)
+        assert Counter(found.collect()) == Counter(want.collect())
+    assert quantiles.refined_quantiles(values.limit(0), ["x"], [0.5]).count() == 0
+
+
+def test_quantiles_sketch_returns_the_quantiles(spark):
+    from sparkscope.plans import catalog
+    assert {"column", "p", "value", "n", "within"} == set(catalog.quantiles_sketch(spark, "/root/testdata/sf0.001").columns)
+
+
 def test_rank_errors_find_wrong_quantiles(values):
     exact = quantiles.exact_quantiles(values, ["x", "y"], [0.1, 0.5], ["grp"])
     assert quantiles.rank_errors(values, exact, ["grp"]).where("rank_error <> 0").count() == 0
