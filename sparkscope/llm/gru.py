@@ -9,6 +9,7 @@ windows'.
 from __future__ import annotations
 
 import io
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -161,9 +162,9 @@ def sum_rows(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at[order][cut], np.add.reduceat(values[order], cut, axis=0)
 
 
-def score_windows(p: dict, words: Words, batch: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+def score_windows(p: dict, words: Words, batch: int = 2048, vocabulary: Vocabulary | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(logit, document) of every window."""
-    vocabulary = Vocabulary(words)
+    vocabulary = Vocabulary(words) if vocabulary is None else vocabulary
     inputs = vocabulary.inputs(p)
     first, length, doc = windows_of(words)
     logits = np.empty(len(first), np.float32)
@@ -175,15 +176,27 @@ def score_windows(p: dict, words: Words, batch: int = 2048) -> tuple[np.ndarray,
     return logits, doc
 
 
-def log_odds(at: np.ndarray, doc: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Clipped log odds of label 1 for each bucket by the documents it occurs in."""
-    pair = np.unique(doc.astype(np.int64) * BUCKETS + at)
-    bucket, own = pair % BUCKETS, label[pair // BUCKETS]
-    one, all_ = np.bincount(bucket[own == 1], minlength=BUCKETS), np.bincount(bucket, minlength=BUCKETS)
+def log_odds(parts: Iterable[tuple[np.ndarray, np.ndarray]], label: np.ndarray) -> np.ndarray:
+    """Clipped log odds of label 1 for each bucket by the documents it occurs in; parts: (bucket, document) of some documents each."""
+    one, all_ = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for at, doc in parts:
+        pair = np.unique(doc.astype(np.int64) * BUCKETS + at)
+        bucket, own = pair % BUCKETS, label[pair // BUCKETS]
+        one += np.bincount(bucket[own == 1], minlength=BUCKETS)
+        all_ += np.bincount(bucket, minlength=BUCKETS)
     a, b = (one + 0.5) / ((label == 1).sum() + 1), (all_ - one + 0.5) / ((label == 0).sum() + 1)
     return np.where(all_ >= 3, np.clip(np.log(a / b), -4, 4), 0).astype(np.float32) / 2
 
 
+def document_parts(words: Words, least: int = 50_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word, document) arrays of whole documents, of at least so many words but for the last."""
+    low, docs = 0, len(words.counts)
+    while low < docs:
+        high = min(docs, max(low + 1, int(np.searchsorted(words.doc_first, words.doc_first[low] + least))))
+        yield np.arange(words.doc_first[low], words.doc_first[high]), np.repeat(np.arange(low, high), words.counts[low:high])
+        low = high
+
+
 def train(texts: list[bytes], label: np.ndarray, epochs: int, least_steps: int = 300, rate: float = 0.01, seed: int = 7,
           batch: int = 64) -> dict:
     """Fit on whole texts: of each text the windows with the largest logits take part in an epoch's steps.
@@ -195,17 +208,21 @@ def train(texts: list[bytes], label: np.ndarray, epochs: int, least_steps: int =
     p = start_values(rng)
     words = Words(texts)
     vocabulary = Vocabulary(words)
-    of_word = words.doc
-    p["words"][:, 0] += log_odds(vocabulary.word[vocabulary.index], of_word, label)
-    grams = np.diff(vocabulary.gram_start)[vocabulary.index]
-    at = np.repeat(vocabulary.gram_start[:-1][vocabulary.index], grams) + (
-        np.arange(grams.sum()) - np.repeat(np.cumsum(grams) - grams, grams))
-    p["chars"][:, 0] += log_odds(vocabulary.gram[at], np.repeat(of_word, grams), label)
+
+    def gram_parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at, doc in document_parts(words):
+            own = vocabulary.index[at]
+            grams = np.diff(vocabulary.gram_start)[own]
+            inside = np.arange(grams.sum()) - np.repeat(np.cumsum(grams) - grams, grams)
+            yield vocabulary.gram[np.repeat(vocabulary.gram_start[own], grams) + inside], np.repeat(doc, grams)
+
+    p["words"][:, 0] += log_odds(((vocabulary.word[vocabulary.index[at]], doc) for at, doc in document_parts(words)), label)
+    p["chars"][:, 0] += log_odds(gram_parts(), label)
     first, length, doc = windows_of(words)
     adam = Adam(p, rate)
     epochs = max(epochs, -(-least_steps * batch // max(1, len(np.unique(doc)))))
     for _ in range(epochs):
-        logits = score_windows(p, words)[0]
+        logits = score_windows(p, words, vocabulary=vocabulary)[0]
         order = np.lexsort((-logits, doc))
         rank = np.arange(len(doc)) - np.searchsorted(doc[order], doc[order])
         chosen = rng.permutation(order[rank < np.where(label[doc[order]] == 1, 1, 2)])

@@ -95,11 +95,20 @@ class Words:
         return np.repeat(np.arange(len(self.doc_first) - 1), self.counts)
 
     def hashes(self) -> np.ndarray:
-        forth, back = powers(len(self.data) + 1)
-        with np.errstate(over="ignore"):
-            total = np.zeros(len(self.data) + 1, np.uint64)
-            np.cumsum(_VALUE[self.data] * forth[: len(self.data)], out=total[1:])
-            return mix((total[self.end] - total[self.start]) * back[self.start])
+        """The hash of every word, a block of words at a time: a hash does not depend on where its word begins."""
+        out, low = np.empty(len(self), np.uint64), 0
+        while low < len(self):
+            begin = self.start[low]
+            high = max(low + 1, int(np.searchsorted(self.end, begin + BLOCK_BYTES, "right")))
+            data = self.data[begin: self.end[high - 1]]
+            forth, back = powers(len(data) + 1)
+            with np.errstate(over="ignore"):
+                total = np.zeros(len(data) + 1, np.uint64)
+                np.cumsum(_VALUE[data] * forth[: len(data)], out=total[1:])
+                start = self.start[low:high] - begin
+                out[low:high] = mix((total[self.end[low:high] - begin] - total[start]) * back[start])
+            low = high
+        return out
 
     def bytes_of(self, i: int) -> bytes:
         return self.data[self.start[i]: self.end[i]].tobytes()

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -304,6 +305,29 @@ def test_toxicity_learns_and_keeps_folds_apart(spark, nothing):
         assert {r.score for r in toxicity.toxicity_scores(frame.limit(20), some).collect()} == {0.0}
 
 
+def test_word_hashes_and_log_odds_take_a_block_at_a_time():
+    rng = np.random.default_rng(5)
+    texts = [b" ".join(b"w%d" % i for i in rng.integers(0, 3000, rng.integers(0, 900))) for _ in range(1200)] + [b"x" * (2 << 20) + b" y"]
+    alone = [h for text in texts[:50] + texts[-1:] for h in Words([text]).hashes().tolist()]
+    words = Words(texts)
+    words.hashes()
+    tracemalloc.start()
+    hashes = words.hashes()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    gru.train(texts[:-1], np.arange(1200) % 2, 1, 1)
+    trained = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hashes.tolist()[: words.doc_first[50]] + hashes.tolist()[words.doc_first[-2]:] == alone
+    assert peak < 100e6 and trained < 150e6
+    index, doc = rng.integers(0, gru.BUCKETS, len(words)), words.doc
+    label = np.arange(len(texts)) % 2
+    parts = list(gru.document_parts(words, 1000))
+    assert np.array_equal(np.concatenate([at for at, _ in parts]), np.arange(len(words))) and len(parts) > 100
+    whole = gru.log_odds([(index, doc)], label)
+    assert whole.any() and np.array_equal(whole, gru.log_odds(((index[at], own) for at, own in parts), label))
+
+
 def test_gru_gradients():
     rng = np.random.default_rng(3)
     words = Words([b"a bb ccc a bb", b"dddd a"])
