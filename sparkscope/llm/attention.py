@@ -114,7 +114,7 @@ def forward(p: dict, tables: tuple, types: np.ndarray, classes: np.ndarray, open
     return z, (q, k, v, score, h)
 
 
-def log_probabilities(p: dict, f: Frequencies, tokens: np.ndarray, doc_start: np.ndarray, start_id: int, batch: int = 96) -> np.ndarray:
+def log_probabilities(p: dict, f: Frequencies, tokens: np.ndarray, doc_start: np.ndarray, start_id: int, batch: int = 32) -> np.ndarray:
     """Log10 probability of every token given those before it in its document."""
     inputs = np.empty_like(tokens)
     inputs[1:] = tokens[:-1]
@@ -140,30 +140,47 @@ def log_probabilities(p: dict, f: Frequencies, tokens: np.ndarray, doc_start: np
 
 
 def gradients(p: dict, f: Frequencies, types: np.ndarray, classes: np.ndarray, opening: np.ndarray, slots: np.ndarray,
-              real: np.ndarray) -> dict[str, np.ndarray]:
-    z, (q, k, v, share, h) = forward(p, projected(p, f), types, classes, opening)
+              real: np.ndarray, at_once: int = 32) -> dict[str, np.ndarray]:
+    """Gradients of the mean loss of the real targets, summed over a few blocks at a time, which stay in the processor's cache."""
+    tables = projected(p, f)
+    weight = (real / max(1, real.sum())).astype(np.float32)
+    sums: dict[str, np.ndarray] = {}
+    dx = np.empty((*types.shape, DIM), np.float32)
+    for at in range(0, len(types), at_once):
+        part = slice(at, at + at_once)
+        g, dx[part] = some_gradients(p, tables, types[part], classes[part], opening[part], slots[part], weight[part])
+        for k, x in g.items():
+            sums[k] = sums[k] + x if k in sums else x
+    sums["emb"] = np.stack([np.bincount(types.ravel(), dx[..., i].ravel(), TYPES) for i in range(DIM)], axis=1).astype(np.float32)
+    return sums
+
+
+def some_gradients(p: dict, tables: tuple, types: np.ndarray, classes: np.ndarray, opening: np.ndarray, slots: np.ndarray,
+                   weight: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Gradients of all but the embeddings for targets of some weight, and of the embedded inputs."""
+    z, (q, k, v, share, h) = forward(p, tables, types, classes, opening)
     x = p["emb"][types]
     if z.max() > 80:  # exp must stay finite
         z -= z.max(axis=1, keepdims=True)
     dz = np.exp(z, out=z)
-    weight = (real.ravel() / max(1, real.sum())).astype(np.float32)
+    weight = weight.ravel()
     dz *= (weight / dz.sum(axis=1))[:, None]
     dz[np.arange(len(dz)), slots.ravel()] -= weight
     g = {"wo": h.reshape(-1, DIM).T @ dz, "bo": dz.sum(0)}
     dh = (dz @ p["wo"].T).reshape(h.shape)
     dshare = dh @ v.swapaxes(1, 2)
     dv = share.swapaxes(1, 2) @ dh
-    dscore = share * (dshare - (dshare * share).sum(axis=2, keepdims=True))
-    g["rel"] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), dscore.sum(0).ravel(), 2 * BLOCK).astype(np.float32)
-    dscore *= DIM ** -0.5
-    dq, dk = dscore @ k, dscore.swapaxes(1, 2) @ q
+    dshare -= np.einsum("bqk,bqk->bq", dshare, share)[..., None]
+    dshare *= share
+    g["rel"] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), dshare.sum(0).ravel(), 2 * BLOCK).astype(np.float32)
+    dshare *= DIM ** -0.5
+    dq, dk = dshare @ k, dshare.swapaxes(1, 2) @ q
     flat = x.reshape(-1, DIM)
     g["wq"] = x[:, BLOCK:].reshape(-1, DIM).T @ dq.reshape(-1, DIM)
     g["wk"], g["wv"] = flat.T @ dk.reshape(-1, DIM), flat.T @ dv.reshape(-1, DIM)
-    dx = dk @ p["wk"].T + dv @ p["wv"].T
-    dx[:, BLOCK:] += dq @ p["wq"].T + dh
-    g["emb"] = np.stack([np.bincount(types.ravel(), dx[..., i].ravel(), TYPES) for i in range(DIM)], axis=1).astype(np.float32)
-    return g
+    dx = (dk.reshape(-1, DIM) @ p["wk"].T + dv.reshape(-1, DIM) @ p["wv"].T).reshape(x.shape)
+    dx[:, BLOCK:] += (dq.reshape(-1, DIM) @ p["wq"].T).reshape(dq.shape) + dh
+    return g, dx
 
 
 class Trainer:

@@ -3,7 +3,7 @@
 1. One scan cuts every text into words and writes it in chunks of documents: word numbers in
    the chunk's own vocabulary, and for each distinct word its hash, its training count and
    its subword ids of a public tokenizer. Words are tokenised once per chunk.
-2. Word counts: each chunk sends its distinct words to their owners by hash and gets the
+2. Word counts: each chunk sends its distinct words to their owners by hash, once, and gets the
    corpus count back; so do subword and (class, subword) pair counts, whose number is bounded
    by the vocabulary.
 3. Training (``attention.py``, numpy): training texts are dealt by a hash of id and tokens to
@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkscope.llm import attention
@@ -286,10 +286,12 @@ def lm_scores(docs: DataFrame, ranks_file: str = RANKS_FILE, folds: int = 5, hel
                                          f"doc_ids array<{id_type}>, {CHUNK_FIELDS}"), "chunks")
     word_rows = chunks.select("chunk", "counts", F.posexplode("hashes").alias("at", "hash")).select(
         "chunk", "at", "hash", F.get("counts", "at").alias("n"))
-    # Partial sums before the shuffle; the join back may split a word that every chunk has.
-    by_word = materialize(word_rows.groupBy("hash").agg(F.sum("n").alias("count")), "words")
-    known = materialize(word_rows.select("chunk", "at", "hash").join(by_word.hint("merge"), "hash").select("chunk", "at", "count"), "word-counts")
-    size = by_word.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("tokens"), F.count_if(F.col("count") > 0).alias("words")).first()
+    # One shuffle by hash; a word has a row for each chunk that holds it, at most.
+    of_word = Window.partitionBy("hash")
+    known = materialize(word_rows.select(
+        "chunk", "at", (F.row_number().over(of_word.orderBy("chunk", "at")) == 1).alias("first"), F.sum("n").over(of_word).alias("count")),
+        "word-counts")
+    size = known.where("first").agg(F.coalesce(F.sum("count"), F.lit(0)).alias("tokens"), F.count_if(F.col("count") > 0).alias("words")).first()
     tokens, smooth = size["tokens"], size["tokens"] + 0.5 * (size["words"] + 1)
 
     order = subword_counts(chunks)

@@ -328,6 +328,21 @@ def test_word_hashes_and_log_odds_take_a_block_at_a_time():
     assert whole.any() and np.array_equal(whole, gru.log_odds(((index[at], own) for at, own in parts), label))
 
 
+def test_attention_gradients_are_summed_over_blocks():
+    from sparkscope.llm import attention
+    rng = np.random.default_rng(4)
+    tokens = rng.integers(0, 300, 2000)
+    f = attention.Frequencies(np.arange(250), 400, (np.minimum(tokens[:-1], attention.HEAD), tokens[1:], np.ones(1999, np.int64)))
+    first, low, high = attention.block_starts(np.array([0, 700, 700, 701, 2000]))
+    keys, opening, real = attention.context(tokens, first, low, high)
+    p = attention.start_values()
+    given = (p, f, f.type(tokens)[keys], f.slot(tokens)[keys], opening, f.slot(tokens)[keys[:, attention.BLOCK:]], real)
+    whole = attention.gradients(*given, at_once=1000)
+    assert set(whole) == set(attention.FIELDS)
+    for name, x in attention.gradients(*given, at_once=7).items():
+        assert np.abs(x).max() > 0 and np.allclose(x, whole[name], rtol=1e-3, atol=1e-6), name
+
+
 def test_gru_gradients():
     rng = np.random.default_rng(3)
     words = Words([b"a bb ccc a bb", b"dddd a"])
