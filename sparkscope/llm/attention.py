@@ -82,7 +82,9 @@ def block_starts(doc_start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
 _DISTANCE = BLOCK + np.arange(BLOCK)[:, None] - np.arange(2 * BLOCK)[None, :]  # query minus key
 
 
-_FUTURE = np.where(_DISTANCE >= 0, 0, -1e9).astype(np.float32)
+_VISIBLE = (_DISTANCE >= 0).astype(np.float32)
+#: Exponents up to this are taken as they are; beyond it the largest of a row is subtracted first.
+CALM = 40.0
 
 
 def context(inputs: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,26 +94,48 @@ def context(inputs: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.nda
 
 
 def projected(p: dict, f: Frequencies) -> tuple:
-    """Queries, keys and values of every input type, and the slots' bias after every class."""
-    return *(p["emb"] @ p[w] for w in ("wq", "wk", "wv")), f.bigram + p["bo"]
+    """What a type is as a query and as a key, by distance and class, and whether exponents of scores and of slots are surely small.
+
+    Queries come with their embedding, keys with their value and a one, which sums the weights of a query.
+    """
+    q, k, v = (p["emb"] @ p[w] for w in ("wq", "wk", "wv"))
+    q *= DIM ** -0.5
+
+    def longest(x: np.ndarray) -> float:
+        return float(np.sqrt((x * x).sum(axis=1).max()))
+    score = longest(q) * longest(k) + np.abs(p["rel"]).max()
+    slot = (longest(v) + longest(p["emb"])) * longest(p["wo"].T) + np.abs(p["bo"]).max()
+    return (np.concatenate([q, p["emb"]], axis=1), np.concatenate([k, v, np.ones((TYPES, 1), np.float32)], axis=1),
+            p["rel"][np.maximum(_DISTANCE, 0)], f.bigram + p["bo"], score < CALM, slot < CALM)
 
 
 def forward(p: dict, tables: tuple, types: np.ndarray, classes: np.ndarray, opening: np.ndarray) -> tuple:
     """Unnormalised log probabilities of the slots at each query; ``types``, ``classes``: of keys."""
-    q, k, v, bias = tables
-    q, k, v = q[types[:, BLOCK:]], k[types], v[types]
-    score = q @ k.swapaxes(1, 2)
-    score *= DIM ** -0.5
-    score += p["rel"][np.maximum(_DISTANCE, 0)] + _FUTURE
-    score[opening, :, :BLOCK] = -1e9
-    score -= score.max(axis=2, keepdims=True)  # a query sees itself at least
-    np.exp(score, out=score)
-    score /= score.sum(axis=2, keepdims=True)
-    h = score @ v
-    h += p["emb"][types[:, BLOCK:]]
+    queries, keys, rel, bias, calm, _ = tables
+    queries, keys = queries.take(types[:, BLOCK:], axis=0), keys.take(types, axis=0)
+    share = queries[..., :DIM] @ keys[..., :DIM].swapaxes(1, 2)
+    if calm or share.max() + rel.max() < CALM and share.min() + rel.min() > -CALM:
+        np.exp(share, out=share)
+        share *= np.exp(rel) * _VISIBLE
+        share[opening, :, :BLOCK] = 0
+    else:
+        share += np.where(_VISIBLE > 0, rel, -1e9)
+        share[opening, :, :BLOCK] = -1e9
+        share -= share.max(axis=2, keepdims=True)  # a query sees itself at least
+        np.exp(share, out=share)
+    sums = share @ keys[..., DIM:]
+    scale = 1 / sums[..., DIM:]
+    mean = sums[..., :DIM] * scale
+    h = mean + queries[..., DIM:]
     z = h.reshape(-1, DIM) @ p["wo"]
-    z += bias[classes[:, BLOCK:].ravel()]
-    return z, (q, k, v, score, h)
+    z += bias.take(classes[:, BLOCK:].ravel(), axis=0)
+    return z, (queries, keys, share, scale, mean, h)
+
+
+def settle(z: np.ndarray, calm: bool) -> None:
+    """Shift rows where exponentials of the slots might not stay finite."""
+    if not calm and (z.max() > 80 or z.max(axis=1).min() < -80):
+        z -= z.max(axis=1, keepdims=True)
 
 
 def log_probabilities(p: dict, f: Frequencies, tokens: np.ndarray, doc_start: np.ndarray, start_id: int, batch: int = 32) -> np.ndarray:
@@ -122,16 +146,15 @@ def log_probabilities(p: dict, f: Frequencies, tokens: np.ndarray, doc_start: np
     types, classes, slots = f.type(inputs), f.slot(inputs), f.slot(tokens)
     out = np.empty(len(tokens), np.float32)
     first, low, high = block_starts(doc_start)
-    tables = projected(p, f)
+    tables, ones = projected(p, f), np.ones(HEAD + 1, np.float32)
     for at in range(0, len(first), batch):
         part = slice(at, at + batch)
         keys, opening, real = context(inputs, first[part], low[part], high[part])
         z, _ = forward(p, tables, types[keys], classes[keys], opening)
-        if z.max() > 80:  # exp must stay finite; trained logits are far below
-            z -= z.max(axis=1, keepdims=True)
         targets = keys[:, BLOCK:].ravel()
+        settle(z, tables[-1])
         picked = z[np.arange(len(z)), slots[targets]]
-        picked -= np.log(np.exp(z, out=z).sum(axis=1))
+        picked -= np.log(np.exp(z, out=z) @ ones)
         own = real.ravel()
         out[targets[own]] = picked[own]
     rest = np.flatnonzero(slots == HEAD)
@@ -158,28 +181,29 @@ def gradients(p: dict, f: Frequencies, types: np.ndarray, classes: np.ndarray, o
 def some_gradients(p: dict, tables: tuple, types: np.ndarray, classes: np.ndarray, opening: np.ndarray, slots: np.ndarray,
                    weight: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """Gradients of all but the embeddings for targets of some weight, and of the embedded inputs."""
-    z, (q, k, v, share, h) = forward(p, tables, types, classes, opening)
-    x = p["emb"][types]
-    if z.max() > 80:  # exp must stay finite
-        z -= z.max(axis=1, keepdims=True)
-    dz = np.exp(z, out=z)
-    weight = weight.ravel()
-    dz *= (weight / dz.sum(axis=1))[:, None]
-    dz[np.arange(len(dz)), slots.ravel()] -= weight
-    g = {"wo": h.reshape(-1, DIM).T @ dz, "bo": dz.sum(0)}
-    dh = (dz @ p["wo"].T).reshape(h.shape)
-    dshare = dh @ v.swapaxes(1, 2)
-    dv = share.swapaxes(1, 2) @ dh
-    dshare -= np.einsum("bqk,bqk->bq", dshare, share)[..., None]
-    dshare *= share
-    g["rel"] = np.bincount(np.maximum(_DISTANCE, 0).ravel(), dshare.sum(0).ravel(), 2 * BLOCK).astype(np.float32)
-    dshare *= DIM ** -0.5
-    dq, dk = dshare @ k, dshare.swapaxes(1, 2) @ q
-    flat = x.reshape(-1, DIM)
-    g["wq"] = x[:, BLOCK:].reshape(-1, DIM).T @ dq.reshape(-1, DIM)
-    g["wk"], g["wv"] = flat.T @ dk.reshape(-1, DIM), flat.T @ dv.reshape(-1, DIM)
-    dx = (dk.reshape(-1, DIM) @ p["wk"].T + dv.reshape(-1, DIM) @ p["wv"].T).reshape(x.shape)
-    dx[:, BLOCK:] += (dq.reshape(-1, DIM) @ p["wq"].T).reshape(dq.shape) + dh
+    z, (queries, keys, share, scale, mean, h) = forward(p, tables, types, classes, opening)
+    settle(z, tables[-1])
+    e, weight = np.exp(z, out=z), weight.ravel()
+    total = e @ np.ones(HEAD + 1, np.float32)
+    e[np.arange(len(e)), slots.ravel()] -= total  # by ``weight / total`` the gradient of the slots
+    weight = (weight / total)[:, None]
+    out = np.concatenate([h.reshape(-1, DIM) * weight, weight], axis=1).T @ e
+    dh = e @ p["wo"].T
+    dh *= weight
+    dh = dh.reshape(h.shape)
+    dsums = np.concatenate([dh, -np.einsum("bqd,bqd->bq", dh, mean)[..., None]], axis=2)
+    dsums *= scale
+    dscore = dsums @ keys[..., DIM:].swapaxes(1, 2)
+    dscore *= share
+    g = {"wo": out[:DIM], "bo": out[DIM],
+         "rel": np.bincount(np.maximum(_DISTANCE, 0).ravel(), dscore.sum(0).ravel(), 2 * BLOCK).astype(np.float32)}
+    dq = (dscore @ keys[..., :DIM]).reshape(-1, DIM)
+    dq *= DIM ** -0.5
+    dkv = np.concatenate([dscore.swapaxes(1, 2) @ queries[..., :DIM], share.swapaxes(1, 2) @ dsums[..., :DIM]], axis=2).reshape(-1, 2 * DIM)
+    both = p["emb"].take(types.ravel(), axis=0).T @ dkv
+    g["wq"], g["wk"], g["wv"] = queries[..., DIM:].reshape(-1, DIM).T @ dq, both[:, :DIM], both[:, DIM:]
+    dx = (dkv @ np.concatenate([p["wk"], p["wv"]], axis=1).T).reshape(*types.shape, DIM)
+    dx[:, BLOCK:] += (dq @ p["wq"].T).reshape(dh.shape) + dh
     return g, dx
 
 

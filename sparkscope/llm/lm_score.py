@@ -3,10 +3,10 @@
 1. One scan cuts every text into words and writes it in chunks of documents: word numbers in
    the chunk's own vocabulary, and for each distinct word its hash, its training count and
    its subword ids of a public tokenizer. Words are tokenised once per chunk.
-2. Word counts: each chunk sends its distinct words to their owners by hash, once, and gets the
-   corpus count back; so do subword and (class, subword) pair counts, whose number is bounded
-   by the vocabulary.
-3. Training (``attention.py``, numpy): training texts are dealt by a hash of id and tokens to
+2. Word counts: each chunk sends its distinct words to their owners by ranges of the hash, packed
+   into one row an owner, and gets their corpus counts back in the same order. Subword and
+   (class, subword) pair counts are summed, their number is bounded by the vocabulary.
+3. Training (``attention.py``, numpy): training texts are dealt by a hash of id and words to
    rounds and to replicas of the model, one for so many training words. In each round every
    replica learns from its texts of that round, in the order of their hashes, and the replicas
    are averaged by the tokens they saw. After the last round every text was learned from once.
@@ -48,16 +48,16 @@ ROUNDS = 3
 #: Training words for each replica of the model, and tokens whose blocks it takes in mixed order.
 REPLICA_WORDS, TOKENS_AT_ONCE = 4_000_000, 400_000
 RATES = (0.01, 0.006, 0.003)
-#: Words whose subwords a worker remembers between chunks, and the longest of them.
-REMEMBERED, REMEMBERED_BYTES = 300_000, 20
 WORD_SHARE = 0.5
-END_HASH = 1
+#: The end of a text as a word: the last hash.
+END_HASH = np.uint64((1 << 64) - 1)
+#: Chunks for each owner of word counts.
+OWNER_CHUNKS = 8
 AVERAGERS = 16
-CHUNK_FIELDS = ("chunk bigint, held_out array<boolean>, n_tokens array<bigint>, words binary, hashes array<bigint>, "
-                "counts array<bigint>, n_words bigint, lengths binary, subwords binary")
+CHUNK_FIELDS = ("chunk bigint, held_out array<boolean>, n_tokens array<bigint>, places array<bigint>, words binary, hashes binary, "
+                "counts binary, n_words bigint, lengths binary, subwords binary")
 
 
-_known_words: dict[bytes, bytes] = {}
 _ZSTD = pa.Codec("zstd")
 
 
@@ -70,14 +70,50 @@ def unpacked(value: pa.Scalar, kind: str, size: int) -> np.ndarray:
     return np.frombuffer(_ZSTD.decompress(value.as_py(), size * width, asbytes=True), kind)
 
 
-def subword_ids(encoding, word: bytes) -> bytes:
-    """The subword ids of a word, as bytes of 16-bit numbers."""
-    ids = _known_words.get(word)
-    if ids is None:
-        ids = np.array(encoding.encode_ordinary(" " + word.decode("utf-8", "replace")), "<u2").tobytes()
-        if len(word) <= REMEMBERED_BYTES and len(_known_words) < REMEMBERED:
-            _known_words[word] = ids  # the first words met are the frequent ones
-    return ids
+def spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All positions of the ranges ``begin`` to ``begin + size``, one after the other."""
+    last = np.cumsum(size)
+    return np.repeat((begin - last + size).astype(np.int32), size) + np.arange(last[-1] if len(size) else 0, dtype=np.int32)
+
+
+def odd_words(text: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Which words may hold white space of the tokenizer that is none of ours, like a no-break space."""
+    a, b = text[:-1], text[1:]
+    found = np.flatnonzero((a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) | (a == 0xE2) & (b >> 1 == 0x40) | (a == 0xE3) & (b == 0x80))
+    odd = np.zeros(len(begin), bool)
+    odd[np.searchsorted(begin, found, "right") - 1] = True
+    return odd
+
+
+def word_starts(encoding) -> np.ndarray:
+    """Which subword ids begin with a space."""
+    out = np.zeros(1 << 16, bool)
+    out[[i for i in range(encoding.n_vocab) if encoding.decode_single_token_bytes(i)[:1] == b" "]] = True
+    return out
+
+
+def subwords_of(encoding, opens: np.ndarray, words: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of subwords and subword ids of some words, each with a space before it.
+
+    The tokenizer cuts before every single space, so that most words are encoded in one
+    text; its ids that begin with a space show where the words begin.
+    """
+    size = words.end[at] - words.start[at] + 1
+    begin = np.cumsum(size) - size
+    text = words.data[spread(words.start[at] - 1, size)]
+    text[begin] = 0x20
+    odd = odd_words(text, begin)
+    ids = np.array(encoding.encode_ordinary(text[np.repeat(~odd, size)].tobytes().decode("utf-8", "replace")), "<u2")
+    first = np.flatnonzero(opens[ids])
+    lengths = np.empty(len(at), np.int32)
+    lengths[~odd] = np.diff(first, append=len(ids))
+    if not odd.any():
+        return lengths, ids
+    alone = [encoding.encode_ordinary(text[begin[i]: begin[i] + size[i]].tobytes().decode("utf-8", "replace")) for i in np.flatnonzero(odd)]
+    lengths[odd] = [len(x) for x in alone]
+    out, own = np.empty(lengths.sum(), "<u2"), np.repeat(odd, lengths)
+    out[~own], out[own] = ids, np.concatenate(alone)
+    return lengths, out
 
 
 def block_hashes(texts: list[bytes]) -> tuple[list[Words], np.ndarray, np.ndarray]:
@@ -88,14 +124,18 @@ def block_hashes(texts: list[bytes]) -> tuple[list[Words], np.ndarray, np.ndarra
 
 
 def chunked(batches: Iterator[pa.RecordBatch], ranks_file: str, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
-    """Chunk rows: the last vocabulary entry is the end of a text."""
+    """Chunk rows: the vocabulary is in the order of its hashes, the end of a text is its last entry."""
     encoding, number = encoder(ranks_file), TaskContext.get().partitionId() << 32
+    opens = word_starts(encoding)
     for batch in batches:
         texts, held = text_values(batch.column("text")), batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         for low, high in blocks(texts, chunk_bytes):
             parts, own_hashes, sizes = block_hashes(texts[low:high])
             hashes, first, index = np.unique(own_hashes, return_index=True, return_inverse=True)
             end = len(hashes)
+            doc_end = np.cumsum(sizes)
+            places = [int.from_bytes(hashlib.blake2b(f"{i}:".encode() + own_hashes[stop - size: stop].tobytes(), digest_size=8).digest(), "big") >> 1
+                      for i, size, stop in zip(batch.column("doc_id")[low:high].to_pylist(), sizes, doc_end, strict=True)]
             sizes = sizes + 1
             stream = np.full(sizes.sum(), end, np.int32)
             last = np.cumsum(sizes) - 1
@@ -104,22 +144,51 @@ def chunked(batches: Iterator[pa.RecordBatch], ranks_file: str, chunk_bytes: int
             stream[inside] = index
             learned = np.repeat(~held[low:high], sizes)
             counts = np.bincount(stream[learned], minlength=end + 1)
+            order = np.argsort(first)
             begin = np.cumsum([0, *map(len, parts)])
-            at = np.searchsorted(begin, first, "right") - 1
-            ids = [subword_ids(encoding, parts[k].bytes_of(i - begin[k])) for k, i in zip(at.tolist(), first.tolist(), strict=True)]
-            ids.append(np.array([END_ID], "<u2").tobytes())
-            lengths = np.array([len(x) // 2 for x in ids], np.int32)
+            edges = np.searchsorted(first[order], begin)
+            met = [subwords_of(encoding, opens, part, first[order[a:b]] - at)
+                   for part, at, a, b in zip(parts, begin.tolist(), edges[:-1], edges[1:], strict=False) if a < b]
+            of_met = np.concatenate([np.zeros(0, np.int32), *(x for x, _ in met)])  # in the order of the texts
+            ids = np.concatenate([np.zeros(0, "<u2"), *(x for _, x in met)])
+            lengths, at = np.empty(end, np.int32), np.empty(end, np.int64)
+            lengths[order], at[order] = of_met, np.cumsum(of_met) - of_met
+            ids = np.append(ids[spread(at, lengths)], np.array([END_ID], "<u2"))
             own = pa.ListArray.from_arrays(pa.array([0, high - low], pa.int32()), batch.column("doc_id")[low:high])
-            lists = [pa.array([x.tolist()], pa.list_(kind)) for x, kind in (
-                (held[low:high], pa.bool_()), (sizes, pa.int64()))]
-            hashed = np.append(hashes, np.uint64(END_HASH)).view(np.int64)
-            whole = [pa.ListArray.from_arrays(pa.array([0, end + 1], pa.int32()), pa.array(x)) for x in (hashed, counts)]
+            lists = [pa.array([x], pa.list_(kind)) for x, kind in ((held[low:high], pa.bool_()), (sizes, pa.int64()), (places, pa.int64()))]
             yield pa.record_batch([
-                own, pa.array([number], pa.int64()), *lists, packed(stream), *whole,
-                pa.array([end + 1], pa.int64()), packed(lengths), packed(np.frombuffer(b"".join(ids), "<u2"))],
-                ["doc_ids", "chunk", "held_out", "n_tokens", "words", "hashes", "counts", "n_words", "lengths", "subwords"])
+                own, pa.array([number], pa.int64()), *lists, packed(stream), pa.array([np.append(hashes, END_HASH).tobytes()], pa.binary()),
+                packed(counts), pa.array([end + 1], pa.int64()), packed(np.append(lengths, np.int32(1))), packed(ids)],
+                ["doc_ids", "chunk", "held_out", "n_tokens", "places", "words", "hashes", "counts", "n_words", "lengths", "subwords"])
             number += 1
-    _known_words.clear()  # the worker lives on
+
+
+def sent_words(batches: Iterator[pa.RecordBatch], owners: int) -> Iterator[pa.RecordBatch]:
+    """(owner, chunk, n, hashes, counts): a chunk's words by the range of hashes that an owner counts."""
+    for batch in batches:
+        for row in range(len(batch)):
+            hashes = np.frombuffer(batch.column("hashes")[row].as_py(), "<u8")
+            counts = unpacked(batch.column("counts")[row], "<i8", len(hashes))
+            n = np.bincount(((hashes >> np.uint64(32)) * np.uint64(owners) >> np.uint64(32)).astype(np.int64), minlength=owners)
+            owner = np.flatnonzero(n)
+            cuts = np.cumsum(n[owner])[:-1]
+            yield pa.record_batch([
+                pa.array(owner), pa.array(np.full(len(owner), batch.column("chunk")[row].as_py(), np.int64)), pa.array(n[owner]),
+                pa.array([x.tobytes() for x in np.split(hashes, cuts)], pa.binary()),
+                pa.concat_arrays([packed(x) for x in np.split(counts, cuts)])], ["owner", "chunk", "n", "hashes", "counts"])
+
+
+def summed_words(table: pa.Table) -> pa.Table:
+    """An owner's rows with the words' counts over all chunks; its first row has its numbers of training words and of distinct ones."""
+    n, counts = table["n"].to_numpy(), table["counts"]
+    hashes = np.frombuffer(b"".join(table["hashes"].to_pylist()), "<u8")
+    values, index = np.unique(hashes, return_inverse=True)
+    total = np.zeros(len(values), np.int64)
+    np.add.at(total, index, np.concatenate([unpacked(counts[row], "<i8", size) for row, size in enumerate(n.tolist())]))
+    found = pa.concat_arrays([packed(x) for x in np.split(total[index], np.cumsum(n)[:-1])])
+    first = np.arange(len(n)) == 0
+    return pa.table([table["owner"], table["chunk"], table["n"], found, pa.array(first * total.sum()), pa.array(first * np.count_nonzero(total))],
+                    ["owner", "chunk", "n", "found", "tokens", "words"])
 
 
 class Stream:
@@ -133,17 +202,14 @@ class Stream:
         self.words = unpacked(value("words"), "<i4", int(self.sizes.sum()))
         lengths = unpacked(value("lengths"), "<i4", value("n_words").as_py()).astype(np.int64)
         subwords = unpacked(value("subwords"), "<u2", int(lengths.sum()))
-        begin = np.cumsum(lengths) - lengths
         own = lengths[self.words]
         self.word_start = np.concatenate([[0], np.cumsum(own)])
-        at = np.repeat(begin[self.words] - self.word_start[:-1], own) + np.arange(self.word_start[-1])
-        self.tokens = subwords[at].astype(np.int32)
+        self.tokens = subwords[spread((np.cumsum(lengths) - lengths)[self.words], own)].astype(np.int32)
         self.doc_words = np.concatenate([[0], np.cumsum(self.sizes)])
         self.doc_start = self.word_start[self.doc_words]
-        self.learned = np.repeat(~self.held, np.diff(self.doc_start))
 
 
-STREAM = ["held_out", "n_tokens", "n_words", "words", "lengths", "subwords"]
+STREAM = ["held_out", "n_tokens", "places", "n_words", "words", "lengths", "subwords"]
 
 
 def subword_counts(chunks: DataFrame) -> np.ndarray:
@@ -152,14 +218,14 @@ def subword_counts(chunks: DataFrame) -> np.ndarray:
         total = np.zeros(END_ID + 1, np.int64)
         for batch in batches:
             for row in range(len(batch)):
-                counts = batch.column("counts")[row].values.to_numpy()
+                counts = unpacked(batch.column("counts")[row], "<i8", batch.column("n_words")[row].as_py())
                 lengths = unpacked(batch.column("lengths")[row], "<i4", len(counts))
                 ids = unpacked(batch.column("subwords")[row], "<u2", int(lengths.sum()))
                 total += np.bincount(ids, np.repeat(counts, lengths), len(total)).astype(np.int64)
         known = np.flatnonzero(total)
         yield pa.record_batch([pa.array(known), pa.array(total[known])], ["id", "n"])
 
-    rows = chunks.select("counts", "lengths", "subwords").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(
+    rows = chunks.select("counts", "n_words", "lengths", "subwords").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(
         F.sum("n").alias("n")).toArrow()
     ids, n = rows["id"].to_numpy(), rows["n"].to_numpy()
     return ids[np.lexsort((ids, -n))]
@@ -171,15 +237,20 @@ def pair_counts(chunks: DataFrame, order: np.ndarray) -> tuple[np.ndarray, np.nd
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = END_ID + 1
-        classes = np.full(size, attention.HEAD, np.int64)
-        classes[sent.value] = np.arange(len(sent.value))
+        classes = np.full(size, attention.HEAD, np.int32)
+        classes[sent.value] = np.arange(len(sent.value), dtype=np.int32)
+        known, total = np.zeros(0, np.int32), np.zeros(0, np.int64)
         for batch in batches:
             for row in range(len(batch)):
                 stream = Stream(batch, row)
-                before = np.append(END_ID, stream.tokens[:-1])  # a document follows the end of another
-                pairs = (classes[before[stream.learned]] * size + stream.tokens[stream.learned])
-                values, n = np.unique(pairs, return_counts=True)
-                yield pa.record_batch([pa.array(values), pa.array(n)], ["pair", "n"])
+                tokens = stream.tokens
+                before = np.append(np.int32(END_ID), tokens[:-1])  # a document follows the end of another
+                learned = np.repeat(~stream.held, np.diff(stream.doc_start))
+                values, n = np.unique((classes[before] * np.int32(size) + tokens)[learned], return_counts=True)
+                known, index = np.unique(np.concatenate([known, values]), return_inverse=True)
+                counts, total = np.concatenate([total, n]), np.zeros(len(known), np.int64)
+                np.add.at(total, index, counts)
+        yield pa.record_batch([pa.array(known.astype(np.int64)), pa.array(total)], ["pair", "n"])
 
     rows = chunks.select(*STREAM).mapInArrow(count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     pairs = rows["pair"].to_numpy()
@@ -187,19 +258,18 @@ def pair_counts(chunks: DataFrame, order: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def training_texts(batches: Iterator[pa.RecordBatch], turn: int, rounds: int, replicas: int) -> Iterator[pa.RecordBatch]:
-    """(replica, place, tokens) of the training texts of a round, by a hash of id and tokens (so that copies spread)."""
+    """(replica, place, tokens) of the training texts of a round, by a hash of id and words (so that copies spread)."""
     for batch in batches:
         for row in range(len(batch)):
-            stream, replica, place, texts = Stream(batch, row), [], [], []
-            tokens, ids = stream.tokens.astype("<u2"), batch.column("doc_ids")[row].as_py()
-            for doc in np.flatnonzero(~stream.held):
-                own = tokens[stream.doc_start[doc]: stream.doc_start[doc + 1]].tobytes()
-                number = int.from_bytes(hashlib.blake2b(f"{ids[doc]}:".encode() + own, digest_size=8).digest(), "big")
-                if number % rounds == turn:
-                    replica.append(number // rounds % replicas)
-                    place.append((number >> 1) - (1 << 62))
-                    texts.append(own)
-            yield pa.record_batch([pa.array(replica, pa.int64()), pa.array(place, pa.int64()), pa.array(texts, pa.binary())],
+            places, sizes = (batch.column(x)[row].values.to_numpy() for x in ("places", "n_tokens"))
+            docs = np.flatnonzero(~np.array(batch.column("held_out")[row].as_py(), bool) & (places % rounds == turn))
+            lengths = unpacked(batch.column("lengths")[row], "<i4", batch.column("n_words")[row].as_py())
+            subwords = unpacked(batch.column("subwords")[row], "<u2", int(lengths.sum()))
+            words = unpacked(batch.column("words")[row], "<i4", int(sizes.sum()))[spread((np.cumsum(sizes) - sizes)[docs], sizes[docs])]
+            tokens = subwords[spread((np.cumsum(lengths) - lengths)[words], lengths[words])].tobytes()
+            end = np.concatenate([[0], np.cumsum(lengths[words], dtype=np.int64)])[np.cumsum(sizes[docs])] * 2
+            texts = [tokens[a:b] for a, b in zip([0, *end[:-1].tolist()], end.tolist(), strict=False)]
+            yield pa.record_batch([pa.array(places[docs] // rounds % replicas), pa.array(places[docs]), pa.array(texts, pa.binary())],
                                   ["replica", "place", "tokens"])
 
 
@@ -284,14 +354,12 @@ def lm_scores(docs: DataFrame, ranks_file: str = RANKS_FILE, folds: int = 5, hel
                        (id_remainder(id_col, folds) == held_fold).alias("held_out"))
     chunks = materialize(rows.mapInArrow(lambda batches: chunked(batches, ranks_file, chunk_bytes),
                                          f"doc_ids array<{id_type}>, {CHUNK_FIELDS}"), "chunks")
-    word_rows = chunks.select("chunk", "counts", F.posexplode("hashes").alias("at", "hash")).select(
-        "chunk", "at", "hash", F.get("counts", "at").alias("n"))
-    # One shuffle by hash; a word has a row for each chunk that holds it, at most.
-    of_word = Window.partitionBy("hash")
-    known = materialize(word_rows.select(
-        "chunk", "at", (F.row_number().over(of_word.orderBy("chunk", "at")) == 1).alias("first"), F.sum("n").over(of_word).alias("count")),
-        "word-counts")
-    size = known.where("first").agg(F.coalesce(F.sum("count"), F.lit(0)).alias("tokens"), F.count_if(F.col("count") > 0).alias("words")).first()
+    owners = max(1, -(-chunks.count() // OWNER_CHUNKS))
+    sent = chunks.select("chunk", "hashes", "counts").mapInArrow(lambda batches: sent_words(batches, owners),
+                                                                 "owner bigint, chunk bigint, n bigint, hashes binary, counts binary")
+    known = materialize(sent.groupBy("owner").applyInArrow(
+        summed_words, "owner bigint, chunk bigint, n bigint, found binary, tokens bigint, words bigint"), "word-counts")
+    size = known.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("words"), F.lit(0)).alias("words")).first()
     tokens, smooth = size["tokens"], size["tokens"] + 0.5 * (size["words"] + 1)
 
     order = subword_counts(chunks)
@@ -300,9 +368,8 @@ def lm_scores(docs: DataFrame, ranks_file: str = RANKS_FILE, folds: int = 5, hel
 
     def score(table: pa.Table, words: pa.Table) -> pa.Table:
         p, f = values, frequencies.value
-        counts = np.zeros(len(words))
-        counts[words["at"].to_numpy()] = words["count"].to_numpy()
-        table = table.combine_chunks()
+        words, table = words.sort_by("owner"), table.combine_chunks()
+        counts = np.concatenate([unpacked(x, "<i8", n) for x, n in zip(words["found"], words["n"].to_pylist(), strict=True)])
         stream = Stream(table, 0)
         own = counts[stream.words]
         base = np.log10((own + 0.5) / smooth)
@@ -318,6 +385,7 @@ def lm_scores(docs: DataFrame, ranks_file: str = RANKS_FILE, folds: int = 5, hel
             pa.array(np.full(len(starts), tokens, np.int64)), *(pa.array(np.add.reduceat(x, starts)) for x in (base, mixed, by_word))],
             ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "attention_score"])
 
-    return chunks.select("chunk", "doc_ids", *STREAM).groupBy("chunk").cogroup(known.select("chunk", "at", "count").groupBy("chunk")).applyInArrow(
+    return chunks.select("chunk", "doc_ids", *STREAM).groupBy("chunk").cogroup(
+        known.select("chunk", "owner", "n", "found").groupBy("chunk")).applyInArrow(
         score, f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
                "score double, attention_score double")

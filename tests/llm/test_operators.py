@@ -581,6 +581,60 @@ def test_lm_scores_do_not_depend_on_partitioning(spark, texts):
     assert math.isclose(blank.score, want, rel_tol=1e-6)
 
 
+def test_word_counts_travel_packed(docs, texts, monkeypatch):
+    written, write = {}, lm_score.materialize
+
+    def seen(df, label="table", partition_by=()):
+        written[label] = write(df, label, partition_by)
+        return written[label]
+    monkeypatch.setattr(lm_score, "materialize", seen)
+    assert lm_score.lm_scores(docs, chunk_bytes=3000).count() == len(texts)
+    chunks = written["chunks"].count()
+    words = len({w for t in texts for w in spaced(t)})
+    rows = written["word-counts"].count()
+    assert rows < written["chunks"].agg(F.sum("n_words")).first()[0] / 4 and words > chunks
+    assert chunks > lm_score.OWNER_CHUNKS and rows <= chunks * -(-chunks // lm_score.OWNER_CHUNKS)  # several owners
+
+
+def test_words_encoded_together_have_their_own_subwords():
+    from sparkscope.llm.textkit import Words
+    encoding = lm_score.encoder(lm_score.RANKS_FILE)
+    spaces = ["\u0085", "\u00a0", "\u1680", "\u2003", "\u2029", "\u202f", "\u205f", "\u3000", "\x1c", "\u00a0\u00a0"]
+    words = [*(w for s in spaces for w in (s, f"a{s}", f"{s}a", f"1{s}b'll", f"{s}{s}x{s}")), "don't", "'s", "12ab", "\u201cq\u201d", "\u00e9t\u00e9", "x", "--", "\u65e5\u672c"]
+    raw = [w.encode() for w in words] + [b"\xe2\x82", b"a\xff", b"\xc2", b"\x80b"]
+    own = Words([b" ".join(raw[:20]), b"", b" ".join(raw[20:])])
+    at = np.arange(len(raw))[::-1].copy()
+    lengths, ids = lm_score.subwords_of(encoding, lm_score.word_starts(encoding), own, at)
+    alone = [encoding.encode_ordinary(" " + raw[i].decode("utf-8", "replace")) for i in at]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == alone
+
+
+@pytest.mark.parametrize("times", [1, 30, 300])
+def test_attention_matches_a_plain_computation_for_weights_of_any_size(times):
+    from sparkscope.llm import attention as A
+    rng = np.random.default_rng(6)
+    f = A.Frequencies(np.arange(200), 250, (rng.integers(0, A.HEAD + 1, 900), rng.integers(0, 200, 900), rng.integers(1, 9, 900)))
+    p = A.start_values()
+    for name in ("wq", "wo"):
+        p[name] *= times
+    tokens, starts = rng.integers(0, 250, 140), [0, 75, 140]
+    got = A.log_probabilities(p, f, tokens, np.array(starts), 5)
+    e = p["emb"].astype(np.float64)
+    for low, high in zip(starts, starts[1:], strict=False):
+        inputs = np.append(5, tokens[low: high - 1])
+        x = e[f.type(inputs)]
+        for t in range(high - low):
+            context = x[max(0, t // A.BLOCK * A.BLOCK - A.BLOCK): t + 1]
+            score = (context @ p["wk"]) @ (x[t] @ p["wq"]) * A.DIM ** -0.5 + p["rel"][:len(context)][::-1]
+            share = np.exp(score - score.max())
+            z = (share / share.sum() @ (context @ p["wv"]) + x[t]) @ p["wo"] + p["bo"] + f.bigram[f.slot(inputs[t])]
+            slot = f.slot(tokens[low + t])
+            want = z[slot] - z.max() - np.log(np.exp(z - z.max()).sum())
+            if slot == A.HEAD:
+                want += f.tail[f.slot(inputs[t]), f.tail_column(tokens[low + t])]
+            assert math.isclose(got[low + t], want / math.log(10), rel_tol=1e-3, abs_tol=1e-3)
+
+
 def test_attention_is_causal_normalised_and_block_free():
     from sparkscope.llm import attention as A
     rng = np.random.default_rng(2)
