@@ -114,7 +114,7 @@ def forward(p: dict, tables: tuple, types: np.ndarray, classes: np.ndarray, open
     queries, keys, rel, bias, calm, _ = tables
     queries, keys = queries.take(types[:, BLOCK:], axis=0), keys.take(types, axis=0)
     share = queries[..., :DIM] @ keys[..., :DIM].swapaxes(1, 2)
-    if calm or share.max() + rel.max() < CALM and share.min() + rel.min() > -CALM:
+    if calm or max(share.max(), -share.min()) + np.abs(rel).max() < CALM:
         np.exp(share, out=share)
         share *= np.exp(rel) * _VISIBLE
         share[opening, :, :BLOCK] = 0

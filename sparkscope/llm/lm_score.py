@@ -33,8 +33,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkscope.llm import attention
@@ -54,6 +55,8 @@ END_HASH = np.uint64((1 << 64) - 1)
 #: Chunks for each owner of word counts.
 OWNER_CHUNKS = 8
 AVERAGERS = 16
+#: Words of whole documents whose subwords are held at a time; only a single longer text has more.
+WORDS_AT_ONCE = 150_000
 CHUNK_FIELDS = ("chunk bigint, held_out array<boolean>, n_tokens array<bigint>, places array<bigint>, words binary, hashes binary, "
                 "counts binary, n_words bigint, lengths binary, subwords binary")
 
@@ -79,7 +82,8 @@ def spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 def odd_words(text: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """Which words may hold white space of the tokenizer that is none of ours, like a no-break space."""
     a, b = text[:-1], text[1:]
-    found = np.flatnonzero((a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) | (a == 0xE2) & (b >> 1 == 0x40) | (a == 0xE3) & (b == 0x80))
+    found = np.flatnonzero((a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A)
+                           | (a == 0xE2) & (b >> 1 == 0x40) | (a == 0xE3) & (b == 0x80))
     odd = np.zeros(len(begin), bool)
     odd[np.searchsorted(begin, found, "right") - 1] = True
     return odd
@@ -128,9 +132,10 @@ def chunked(batches: Iterator[pa.RecordBatch], ranks_file: str, chunk_bytes: int
     encoding, number = encoder(ranks_file), TaskContext.get().partitionId() << 32
     opens = word_starts(encoding)
     for batch in batches:
-        texts, held = text_values(batch.column("text")), batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-        for low, high in blocks(texts, chunk_bytes):
-            parts, own_hashes, sizes = block_hashes(texts[low:high])
+        held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+        for low, high in blocks(list(map(range, lengths)), chunk_bytes):  # a chunk's texts only
+            parts, own_hashes, sizes = block_hashes(text_values(batch.column("text")[low:high]))
             hashes, first, index = np.unique(own_hashes, return_index=True, return_inverse=True)
             end = len(hashes)
             doc_end = np.cumsum(sizes)
@@ -192,21 +197,31 @@ def summed_words(table: pa.Table) -> pa.Table:
 
 
 class Stream:
-    """The subword tokens of a chunk row, and the words and documents they belong to."""
+    """The words of a chunk row, their documents and, a part of these at a time, their subword tokens."""
 
     def __init__(self, batch: pa.RecordBatch | pa.Table, row: int):
         def value(name):
             return batch.column(name)[row]
         self.held = np.array(value("held_out").as_py(), bool)
-        self.sizes = value("n_tokens").values.to_numpy() if len(self.held) else np.zeros(0, np.int64)
-        self.words = unpacked(value("words"), "<i4", int(self.sizes.sum()))
-        lengths = unpacked(value("lengths"), "<i4", value("n_words").as_py()).astype(np.int64)
-        subwords = unpacked(value("subwords"), "<u2", int(lengths.sum()))
-        own = lengths[self.words]
-        self.word_start = np.concatenate([[0], np.cumsum(own)])
-        self.tokens = subwords[spread((np.cumsum(lengths) - lengths)[self.words], own)].astype(np.int32)
-        self.doc_words = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.doc_start = self.word_start[self.doc_words]
+        sizes = value("n_tokens").values.to_numpy()
+        self.sizes, self.doc_words = sizes, np.concatenate([[0], np.cumsum(sizes)])
+        self.words = unpacked(value("words"), "<i4", int(sizes.sum()))
+        self.lengths = unpacked(value("lengths"), "<i4", value("n_words").as_py())
+        self.subwords = unpacked(value("subwords"), "<u2", int(self.lengths.sum()))
+        self.begin = np.cumsum(self.lengths) - self.lengths
+
+    def tokens(self, words: np.ndarray) -> np.ndarray:
+        return self.subwords[spread(self.begin[words], self.lengths[words])]
+
+    def parts(self, at_once: int = WORDS_AT_ONCE) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Ranges of documents with their words, tokens, starts of words in the tokens and of documents in the words."""
+        low = 0
+        while low < len(self.sizes):
+            high = max(low + 1, int(np.searchsorted(self.doc_words, self.doc_words[low] + at_once, "right")) - 1)
+            words = self.words[self.doc_words[low]: self.doc_words[high]]
+            word_start = np.concatenate([[0], np.cumsum(self.lengths[words], dtype=np.int64)])
+            yield slice(low, high), words, self.tokens(words).astype(np.int32), word_start, self.doc_words[low: high + 1] - self.doc_words[low]
+            low = high
 
 
 STREAM = ["held_out", "n_tokens", "places", "n_words", "words", "lengths", "subwords"]
@@ -243,13 +258,13 @@ def pair_counts(chunks: DataFrame, order: np.ndarray) -> tuple[np.ndarray, np.nd
         for batch in batches:
             for row in range(len(batch)):
                 stream = Stream(batch, row)
-                tokens = stream.tokens
-                before = np.append(np.int32(END_ID), tokens[:-1])  # a document follows the end of another
-                learned = np.repeat(~stream.held, np.diff(stream.doc_start))
-                values, n = np.unique((classes[before] * np.int32(size) + tokens)[learned], return_counts=True)
-                known, index = np.unique(np.concatenate([known, values]), return_inverse=True)
-                counts, total = np.concatenate([total, n]), np.zeros(len(known), np.int64)
-                np.add.at(total, index, counts)
+                for docs, _, tokens, word_start, doc_words in stream.parts():
+                    before = np.append(np.int32(END_ID), tokens[:-1])  # a document follows the end of another
+                    learned = np.repeat(~stream.held[docs], np.diff(word_start[doc_words]))
+                    values, n = np.unique((classes[before] * np.int32(size) + tokens)[learned], return_counts=True)
+                    known, index = np.unique(np.concatenate([known, values]), return_inverse=True)
+                    counts, total = np.concatenate([total, n]), np.zeros(len(known), np.int64)
+                    np.add.at(total, index, counts)
         yield pa.record_batch([pa.array(known.astype(np.int64)), pa.array(total)], ["pair", "n"])
 
     rows = chunks.select(*STREAM).mapInArrow(count, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
@@ -261,13 +276,11 @@ def training_texts(batches: Iterator[pa.RecordBatch], turn: int, rounds: int, re
     """(replica, place, tokens) of the training texts of a round, by a hash of id and words (so that copies spread)."""
     for batch in batches:
         for row in range(len(batch)):
-            places, sizes = (batch.column(x)[row].values.to_numpy() for x in ("places", "n_tokens"))
-            docs = np.flatnonzero(~np.array(batch.column("held_out")[row].as_py(), bool) & (places % rounds == turn))
-            lengths = unpacked(batch.column("lengths")[row], "<i4", batch.column("n_words")[row].as_py())
-            subwords = unpacked(batch.column("subwords")[row], "<u2", int(lengths.sum()))
-            words = unpacked(batch.column("words")[row], "<i4", int(sizes.sum()))[spread((np.cumsum(sizes) - sizes)[docs], sizes[docs])]
-            tokens = subwords[spread((np.cumsum(lengths) - lengths)[words], lengths[words])].tobytes()
-            end = np.concatenate([[0], np.cumsum(lengths[words], dtype=np.int64)])[np.cumsum(sizes[docs])] * 2
+            stream, places = Stream(batch, row), batch.column("places")[row].values.to_numpy()
+            docs = np.flatnonzero(~stream.held & (places % rounds == turn))
+            words = stream.words[spread(stream.doc_words[docs], stream.sizes[docs])]
+            tokens = stream.tokens(words).tobytes()
+            end = np.concatenate([[0], np.cumsum(stream.lengths[words], dtype=np.int64)])[np.cumsum(stream.sizes[docs])] * 2
             texts = [tokens[a:b] for a, b in zip([0, *end[:-1].tolist()], end.tolist(), strict=False)]
             yield pa.record_batch([pa.array(places[docs] // rounds % replicas), pa.array(places[docs]), pa.array(texts, pa.binary())],
                                   ["replica", "place", "tokens"])
@@ -295,7 +308,7 @@ def replica_sums(batches: Iterator[pa.RecordBatch], start: np.ndarray, frequenci
             yield pa.record_batch([pa.array([total.tobytes()], pa.binary()), pa.array([trainer.seen])], ["total", "seen"])
 
     for batch in batches:
-        for replica, text in zip(batch.column("replica").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
+        for replica, text in zip(batch.column("replica").to_pylist(), (x.as_py() for x in batch.column("tokens")), strict=True):
             if replica != own:
                 yield from done()
                 own, trainer, waiting = replica, attention.Trainer(attention.shaped(start), frequencies, rate), 0
@@ -370,19 +383,20 @@ def lm_scores(docs: DataFrame, ranks_file: str = RANKS_FILE, folds: int = 5, hel
         p, f = values, frequencies.value
         words, table = words.sort_by("owner"), table.combine_chunks()
         counts = np.concatenate([unpacked(x, "<i8", n) for x, n in zip(words["found"], words["n"].to_pylist(), strict=True)])
-        stream = Stream(table, 0)
-        own = counts[stream.words]
-        base = np.log10((own + 0.5) / smooth)
-        logs = attention.log_probabilities(p, f, stream.tokens, stream.doc_start, END_ID).astype(np.float64)
-        by_word = np.add.reduceat(logs, stream.word_start[:-1])
-        with np.errstate(divide="ignore"):
-            seen = np.log10(own / max(1, tokens) * word_share)
-        mixed = np.logaddexp(seen * np.log(10), (by_word + np.log10(1 - word_share)) * np.log(10)) / np.log(10)
-        starts = stream.doc_words[:-1]
-        ids = table["doc_ids"].chunk(0).values
+        stream, sums = Stream(table, 0), []
+        for _, own_words, subwords, word_start, doc_words in stream.parts():
+            own, starts = counts[own_words], doc_words[:-1]
+            base = np.log10((own + 0.5) / smooth)
+            logs = attention.log_probabilities(p, f, subwords, word_start[doc_words], END_ID).astype(np.float64)
+            by_word = np.add.reduceat(logs, word_start[:-1])
+            with np.errstate(divide="ignore"):
+                seen = np.log10(own / max(1, tokens) * word_share)
+            mixed = np.logaddexp(seen * np.log(10), (by_word + np.log10(1 - word_share)) * np.log(10)) / np.log(10)
+            sums.append([np.add.reduceat(x, starts) for x in ((own > 0).astype(np.int64), base, mixed, by_word)])
+        known_words, *scores = (np.concatenate(x) for x in zip(*sums, strict=True))
         return pa.table([
-            ids, pa.array(stream.held), pa.array(stream.sizes), pa.array(np.add.reduceat((own > 0).astype(np.int64), starts)),
-            pa.array(np.full(len(starts), tokens, np.int64)), *(pa.array(np.add.reduceat(x, starts)) for x in (base, mixed, by_word))],
+            table["doc_ids"].chunk(0).values, pa.array(stream.held), pa.array(stream.sizes), pa.array(known_words),
+            pa.array(np.full(len(known_words), tokens, np.int64)), *map(pa.array, scores)],
             ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "attention_score"])
 
     return chunks.select("chunk", "doc_ids", *STREAM).groupBy("chunk").cogroup(

@@ -609,6 +609,21 @@ def test_words_encoded_together_have_their_own_subwords():
     assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == alone
 
 
+def test_subwords_of_a_chunk_are_held_a_part_at_a_time(spark, docs, texts):
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"), F.lit(False).alias("held_out"))
+    chunks = rows.coalesce(1).mapInArrow(lambda b: lm_score.chunked(b, lm_score.RANKS_FILE, 1 << 20), f"doc_ids array<bigint>, {lm_score.CHUNK_FIELDS}").toArrow()
+    stream = lm_score.Stream(chunks, 0)
+    parts = list(stream.parts(500))
+    longest = max(stream.sizes)
+    assert len(parts) > 3 and all(len(words) <= max(500, longest) for _, words, *_ in parts)
+    whole, = stream.parts(1 << 40)
+    assert np.array_equal(np.concatenate([x[2] for x in parts]), whole[2]) and np.array_equal(np.concatenate([x[1] for x in parts]), stream.words)
+    assert [docs.start for docs, *_ in parts[1:]] == [docs.stop for docs, *_ in parts[:-1]] and parts[-1][0].stop == len(stream.sizes)
+    for docs, words, tokens, word_start, doc_words in parts:
+        assert word_start[-1] == len(tokens) and doc_words[-1] == len(words) and np.array_equal(np.diff(doc_words), stream.sizes[docs])
+        assert np.all(tokens[word_start[doc_words[1:]] - 1] == lm_score.END_ID)
+
+
 @pytest.mark.parametrize("times", [1, 30, 300])
 def test_attention_matches_a_plain_computation_for_weights_of_any_size(times):
     from sparkscope.llm import attention as A
